@@ -16,11 +16,6 @@ ENTITY_DDL = "struct<type:string,value:string,score:double>"
 HIT_COLUMNS = ["hit_ssn", "hit_routing", "hit_passport", "hit_mrn", "hit_phi", "hit_ssn_word"]
 
 
-def _first_match(text: Column, pattern: str) -> Column:
-    found = F.regexp_extract(text, pattern, 1)
-    return F.nullif(found, F.lit(""))
-
-
 def _any_of(text: Column, needles: list[str]) -> Column:
     test = F.contains(text, F.lit(needles[0]))
     for needle in needles[1:]:
@@ -31,26 +26,31 @@ def _any_of(text: Column, needles: list[str]) -> Column:
 def with_hits(df: DataFrame, text: str = "text") -> DataFrame:
     """Append the hit columns. Matched text is NULL and flags are false where nothing is found.
 
-    Patterns with a fixed word in them are tried only on rows that hold that word.
+    The lower-cased text and then the raw matches are projections of their own: each is used more
+    than once further up, and a separate projection keeps Catalyst from repeating it. Patterns
+    with a fixed word in them are tried only on rows that hold that word.
     """
-    raw = F.coalesce(F.col(text), F.lit(""))
-    low = F.lower(raw)
+    raw, low = F.col("_raw"), F.col("_low")
+    plain = F.coalesce(F.col(text), F.lit(""))
+    read = df.withColumns({"_raw": plain, "_low": F.lower(plain)})
 
     def when_has(word: str, value: Column) -> Column:
         return F.when(F.contains(low, F.lit(word)), value)
 
-    return df.withColumns(
+    matched = read.withColumns(
         {
-            "hit_ssn": _first_match(raw, P.SSN),
-            "hit_routing": when_has("routing ", _first_match(low, P.ROUTING_LOWER)),
-            "hit_passport": when_has("port", _first_match(raw, P.PASSPORT)),
+            "hit_ssn": F.regexp_extract(raw, P.SSN, 1),
+            "hit_routing": when_has("routing ", F.regexp_extract(low, P.ROUTING_LOWER, 1)),
+            "hit_passport": when_has("port", F.regexp_extract(raw, P.PASSPORT, 1)),
             "hit_mrn": F.coalesce(when_has("mrn", F.rlike(low, F.lit(P.MRN_LOWER))), F.lit(False)),
             "hit_phi": F.coalesce(
                 F.when(_any_of(low, P.PHI_STEMS), F.rlike(low, F.lit(P.PHI_LOWER))), F.lit(False)
             ),
             "hit_ssn_word": F.contains(low, F.lit("ssn")),
         }
-    )
+    ).drop("_raw", "_low")
+    values = ["hit_ssn", "hit_routing", "hit_passport"]
+    return matched.withColumns({name: F.nullif(F.col(name), F.lit("")) for name in values})
 
 
 def drop_hits(df: DataFrame) -> DataFrame:
@@ -143,11 +143,19 @@ def with_spare_flags(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def explode_found(df: DataFrame, *keys: str, array: Column | str, alias: str) -> DataFrame:
+    """One row per array element, none for empty arrays.
+
+    The outer form plus a filter stands in for a plain explode, which would have Catalyst test the
+    array in a filter below the projection that builds it, running every pattern twice.
+    """
+    return df.select(*keys, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())
+
+
 def explode_entities(df: DataFrame, *keys: str, entities_col: str = "entities") -> DataFrame:
-    """Long form: one row per entity with its position in the array."""
-    return df.select(
-        *keys, F.posexplode(entities_col).alias("pos", "_entity")
-    ).select(*keys, "pos", "_entity.type", "_entity.value", "_entity.score")
+    """Long form: one row per entity."""
+    found = explode_found(df, *keys, array=entities_col, alias="_entity")
+    return found.select(*keys, "_entity.type", "_entity.value", "_entity.score")
 
 
 def injection_phrases(text: Column, phrases: list[str] | None = None) -> Column:

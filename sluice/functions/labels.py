@@ -17,6 +17,15 @@ def label_from_hits() -> Column:
     )
 
 
+def state_label_from_hits() -> Column:
+    """``normalise_label`` of the label of a scanned row, without going through its text."""
+    return (
+        F.when(F.col("hit_mrn") | F.col("hit_phi"), "RESTRICTED_PHI")
+        .when(F.col("hit_ssn").isNotNull() | F.col("hit_routing").isNotNull(), "RESTRICTED_PII")
+        .otherwise("INTERNAL")
+    )
+
+
 def label_from_pii_hits() -> Column:
     """Label of the identity findings alone; health hits are not among them."""
     sensitive = F.col("hit_ssn").isNotNull() | F.col("hit_ssn_word") | F.col("hit_routing").isNotNull()

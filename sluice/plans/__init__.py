@@ -1 +1,16 @@
 """Fixed rule tables, the query set over the shared tables, and its check SQL."""
+
+from __future__ import annotations
+
+
+def all_queries():
+    """Every registered query by name."""
+    from sluice.plans import (  # noqa: F401
+        decision_queries,
+        movement_queries,
+        text_queries,
+        violation_queries,
+    )
+    from sluice.plans.registry import QUERIES
+
+    return dict(QUERIES)
