@@ -70,11 +70,12 @@ def acl_allowed(df: DataFrame, acl: DataFrame, record_type: str = "record_type",
 def long_report(df: DataFrame, *keys: str, packs: dict[str, Column]) -> DataFrame:
     """One row per record, pack and message, from one pass over the records."""
     empty = F.array().cast("array<struct<pack:string,message:string>>")
+
+    def tagged(name: str):
+        return lambda message: F.struct(F.lit(name).alias("pack"), message.alias("message"))
+
     parts = [
-        F.when(
-            F.size(found) > 0,
-            F.transform(found, lambda m, name=name: F.struct(F.lit(name).alias("pack"), m.alias("message"))),
-        ).otherwise(empty)
+        F.when(F.size(found) > 0, F.transform(found, tagged(name))).otherwise(empty)
         for name, found in packs.items()
     ]
     listed = explode_found(df, *keys, array=F.concat(*parts) if len(parts) > 1 else parts[0], alias="_found")

@@ -6,8 +6,10 @@ from __future__ import annotations
 def all_queries():
     """Every registered query by name."""
     from sluice.plans import (  # noqa: F401
+        cloud_queries,
         decision_queries,
         movement_queries,
+        retrieval_queries,
         text_queries,
         violation_queries,
     )
