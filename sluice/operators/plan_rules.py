@@ -46,7 +46,7 @@ def any_item(items: Column, test: Callable[[Column], Column]) -> Column:
 
 
 def _present() -> Column:
-    return F.coalesce(~F.is_variant_null(AFTER), F.lit(False))
+    return F.col(AFTER).isNotNull() & ~F.is_variant_null(AFTER)
 
 
 @dataclass(frozen=True)

@@ -34,8 +34,7 @@ def main(args):
             else:
                 bad += 1
                 print(f"DIFF {name}: {cols} vs {dcols}; {len(rows)} vs {len(drows)}; types {gaps}", flush=True)
-                only_s = [r for r in rows if r not in set(drows)][:3]
-                only_d = [r for r in drows if r not in set(rows)][:3]
+                only_s, only_d = list(set(rows) - set(drows))[:3], list(set(drows) - set(rows))[:3]
                 print("  spark only", str(only_s)[:1500])
                 print("  duck only ", str(only_d)[:1500])
         except Exception:
