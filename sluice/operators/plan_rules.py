@@ -19,6 +19,7 @@ from sluice.plans.fixed_values import REQUIRED_ENV
 AFTER = "after"
 SSE_TYPE = "aws_s3_bucket_server_side_encryption_configuration"
 BUCKET_TYPE = "aws_s3_bucket"
+ENDING_CHARS = 12
 SSE_PATH = "$.apply_server_side_encryption_by_default"
 
 
@@ -150,9 +151,11 @@ def row_findings(resources: DataFrame, rules: list[Rule]) -> DataFrame:
 def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
     """Evidence buckets with no KMS configuration in the plan whose address contains theirs.
 
-    Containment is turned into equality: every configuration address is cut into its substrings of
-    the lengths that bucket addresses have, and those are anti-joined on plan and text. No plan's
-    buckets and configurations are paired up, however many it holds.
+    Containment is turned into equality, so that buckets and configurations of a plan are never
+    paired up. A bucket address is known by its ending; each place of a configuration address where
+    such an ending occurs yields the text that ends there, cut to the lengths of the addresses with
+    that ending, and those texts are anti-joined on plan and address. Run it on a written resource
+    table, where the type filters reach the scan.
     """
     buckets = resources.where(
         (F.col("type") == BUCKET_TYPE) & F.contains(F.lower("name"), F.lit("evidence"))
@@ -161,11 +164,19 @@ def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
     configs = resources.where((F.col("type") == SSE_TYPE) & F.col("address").isNotNull() & kms).select(
         "plan_id", F.col("address").alias("_holder")
     ).distinct()
-    # One row in all: the distinct lengths of bucket addresses, a few hundred numbers at most.
-    lengths = buckets.agg(F.collect_set(F.length("address")).alias("_lengths")).scalar()
-    sized = configs.select("plan_id", "_holder", F.explode(lengths).alias("_n")).where("_n <= length(_holder)")
-    starts = sized.select("*", F.explode(F.expr("sequence(1, length(_holder) - _n + 1)")).alias("_start"))
-    covered = starts.select("plan_id", F.expr("substring(_holder, _start, _n)").alias("address"))
+    endings = buckets.groupBy("plan_id", F.expr(f"right(address, {ENDING_CHARS})").alias("_ending")).agg(
+        F.collect_set(F.length("address")).alias("_lengths")
+    )
+    # At most ENDING_CHARS numbers: endings are shorter only where a whole address is.
+    ending_sizes = buckets.agg(F.collect_set(F.expr(f"least(length(address), {ENDING_CHARS})"))).scalar()
+    sized = configs.select("plan_id", "_holder", F.explode(ending_sizes).alias("_n")).where("_n <= length(_holder)")
+    places = sized.select(
+        "plan_id", "_holder", "_n", F.explode(F.expr("sequence(_n, length(_holder))")).alias("_stop")
+    ).withColumn("_ending", F.expr("substring(_holder, _stop - _n + 1, _n)"))
+    met = places.join(endings, ["plan_id", "_ending"]).select("plan_id", "_holder", "_stop", F.explode("_lengths").alias("_len"))
+    covered = met.where("_len <= _stop").select(
+        "plan_id", F.expr("substring(_holder, _stop - _len + 1, _len)").alias("address")
+    )
     rule = EVIDENCE_BUCKET_RULE
     return buckets.join(covered, ["plan_id", "address"], "left_anti").select(
         "plan_id", F.lit(rule.id).alias("rule_id"), F.lit(rule.control).alias("control_ref"), rule.text().alias("message")

@@ -8,8 +8,11 @@ def all_queries():
     from sluice.plans import (  # noqa: F401
         cloud_queries,
         decision_queries,
+        evidence_queries,
         movement_queries,
+        quality_queries,
         retrieval_queries,
+        source_queries,
         text_queries,
         violation_queries,
     )

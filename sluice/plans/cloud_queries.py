@@ -71,20 +71,46 @@ _RESOURCES_SQL = f"""WITH t(pick, type, after) AS (VALUES
   r AS (SELECT plan_id, type, name, {_address('type', 'name')} AS address, after FROM l JOIN t USING (pick))"""
 
 
+def _by_pick(values: list[str | None]):
+    chain = None
+    for i, value in enumerate(values):
+        test = F.col("pick") == i
+        chain = F.when(test, value) if chain is None else chain.when(test, value)
+    return chain
+
+
+def _shaped(spark, folder):
+    picked = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("plan_id"), "l_linenumber", F.expr(_PICK).alias("pick"), F.expr(_NAME).alias("name")
+    )
+    typed = picked.withColumn("type", _by_pick([kind for kind, _ in TEMPLATES]))
+    return typed.withColumn("address", F.expr(_address("type", "name"))).withColumn(
+        "planned", _by_pick([after for _, after in TEMPLATES])
+    )
+
+
 def resources(spark, folder):
-    pick, rows = F.expr(_PICK), table(spark, folder, "lineitem")
-    kind, change = None, None
-    for i, (name, after) in enumerate(TEMPLATES):
-        planned = "" if after is None else f'"after":{after}'
-        kind = F.when(F.col("pick") == i, name) if kind is None else kind.when(F.col("pick") == i, name)
-        change = F.when(F.col("pick") == i, planned) if change is None else change.when(F.col("pick") == i, planned)
-    shaped = rows.select(F.col("l_suppkey").alias("plan_id"), "l_linenumber", pick.alias("pick"), F.expr(_NAME).alias("name"))
-    typed = shaped.withColumn("type", kind).withColumn("address", F.expr(_address("type", "name")))
+    """Resource rows as a written resource table would hold them."""
+    return _shaped(spark, folder).select("plan_id", "type", "name", "address", F.try_parse_json("planned").alias("after"))
+
+
+@query(
+    "plan_rows",
+    f"""{_RESOURCES_SQL} SELECT plan_id, type, name, address, after IS NULL AS unstated, coalesce(after::VARCHAR = 'null', false) AS is_null,
+      after ->> '$.bucket' AS bucket FROM r""",
+)
+def plan_rows(spark, folder):
+    change = F.coalesce(F.concat(F.lit('"after":'), "planned"), F.lit(""))
     body = F.concat(
         F.lit('{"resource_changes":[{"type":"'), "type", F.lit('","name":"'), "name", F.lit('","address":"'), "address",
         F.lit('","change":{'), change, F.lit("}}]}"),
     )
-    return plan_resources(typed.select("plan_id", body.alias("body")))
+    rows = plan_resources(_shaped(spark, folder).select("plan_id", body.alias("body")))
+    return rows.select(
+        "plan_id", "type", "name", "address", F.col("after").isNull().alias("unstated"),
+        F.coalesce(F.is_variant_null("after"), F.lit(False)).alias("is_null"),
+        F.try_variant_get("after", "$.bucket", "string").alias("bucket"),
+    )
 
 
 def _sql_rule(rule: P.Rule, test: str) -> str:
