@@ -39,7 +39,7 @@ def with_hits(df: DataFrame, text: str = "text") -> DataFrame:
 
     matched = read.withColumns(
         {
-            "hit_ssn": F.regexp_extract(raw, P.SSN, 1),
+            "hit_ssn": F.when(F.contains(raw, F.lit("-")), F.regexp_extract(raw, P.SSN, 1)),
             "hit_routing": when_has("routing ", F.regexp_extract(low, P.ROUTING_LOWER, 1)),
             "hit_passport": when_has("port", F.regexp_extract(raw, P.PASSPORT, 1)),
             "hit_mrn": F.coalesce(when_has("mrn", F.rlike(low, F.lit(P.MRN_LOWER))), F.lit(False)),

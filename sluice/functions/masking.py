@@ -6,7 +6,7 @@ The rule set this engine follows declares a mask action but never masks; this is
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import patterns as P
@@ -14,15 +14,17 @@ from sluice.functions import patterns as P
 PREVIEW_CHARS = 200
 
 
-def mask_text(text: Column) -> Column:
-    """Replace every matched span by its type in brackets. NULL stays NULL."""
-    low = F.lower(text)
-    masked = text
+def with_masked(df: DataFrame, text: str = "text", out: str = "masked_text") -> DataFrame:
+    """Append the text with every matched span replaced by its type in brackets. NULL stays NULL.
+
+    Each pattern is a projection of its own, run only on rows that hold its fixed word; nesting
+    them in one expression would double its size with every pattern.
+    """
+    masked = df.withColumns({"_low": F.lower(F.col(text)), out: F.col(text)})
     for _, pattern, replacement, needle in P.MASKS:
-        masked = F.when(
-            F.contains(low, F.lit(needle)), F.regexp_replace(masked, pattern, replacement)
-        ).otherwise(masked)
-    return masked
+        replaced = F.regexp_replace(out, pattern, replacement)
+        masked = masked.withColumn(out, F.when(F.contains("_low", F.lit(needle)), replaced).otherwise(F.col(out)))
+    return masked.drop("_low")
 
 
 def safe_preview(masked: Column, chars: int = PREVIEW_CHARS) -> Column:

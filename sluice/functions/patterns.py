@@ -15,7 +15,7 @@ SPACE_CHARS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The digit look-ahead comes first so that most positions fail on one class test.
+# A look-ahead for the first character comes first, so that most positions fail on one class test.
 SSN_CORE = r"\p{Nd}{3}-\p{Nd}{2}-\p{Nd}{4}"
 SSN = rf"(?=\p{{Nd}}){EDGE_L}({SSN_CORE}){EDGE_R}"
 SSN_LOOSE = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
@@ -28,8 +28,8 @@ PASSPORT_CHAR = "[A-Za-z0-9\u0130\u0131\u017f\u212a]"
 PASSPORT = rf"{PASSPORT_WORD}[^\n]*?{EDGE_L}({PASSPORT_CHAR}{{6,10}}){EDGE_R}"
 
 MRN_LOWER = rf"{EDGE_L}mrn{EDGE_R}"
-MRN_SPACED = rf"{EDGE_L}[Mm][Rr][Nn]{SPACE}*\p{{Nd}}+{EDGE_R}"
-MRN_PUNCT = rf"{EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*\p{{Nd}}+{EDGE_R}"
+MRN_SPACED = rf"(?=[Mm]){EDGE_L}[Mm][Rr][Nn]{SPACE}*\p{{Nd}}+{EDGE_R}"
+MRN_PUNCT = rf"(?=[Mm]){EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*\p{{Nd}}+{EDGE_R}"
 
 PHI_LOWER = (
     rf"{EDGE_L}(?:patient|diagnosis|diagnosed|medication|strep|test(?:ed)? positive){EDGE_R}"
@@ -52,5 +52,5 @@ MASKS = [
     ("PASSPORT",
      rf"({PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n])[A-Za-z]*[0-9][A-Za-z0-9]*",
      "$1[PASSPORT]", "port"),
-    ("MRN", rf"({EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*)\p{{Nd}}+", "$1[MRN]", "mrn"),
+    ("MRN", rf"((?=[Mm]){EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*)\p{{Nd}}+", "$1[MRN]", "mrn"),
 ]

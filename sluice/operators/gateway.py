@@ -40,7 +40,7 @@ def ingress(df: DataFrame, *keys: str, text: str = "prompt", role: str = "role")
     """Outcome of each prompt: action, status, what is forwarded, and the masked alternative.
 
     ``forwarded_prompt`` is the prompt as it came, even for ``mask``; ``masked_prompt`` is what
-    a masking gateway would send on.
+    a masking gateway would send on, and what previews are cut from.
     """
     scanned = detect.with_hits(df, text)
     who = F.coalesce(F.col(role), F.lit("unknown"))
@@ -48,12 +48,11 @@ def ingress(df: DataFrame, *keys: str, text: str = "prompt", role: str = "role")
         {"pii_findings": detect.pii_entities(), "action": D.role_action(who, detect.has_ssn_finding())}
     )
     blocked = F.col("action") == "block"
-    return detect.drop_hits(acted).withColumns(
+    return masking.with_masked(detect.drop_hits(acted), text, "masked_prompt").withColumns(
         {
             "status": F.when(blocked, 400).otherwise(200),
             "error": F.when(blocked, V.ERROR_BLOCKED),
             "forwarded_prompt": F.when(~blocked, F.col(text)),
-            "masked_prompt": F.when(F.col("action") == "mask", masking.mask_text(F.col(text))),
             "decision_id": D.decision_id("request", *[F.col(k) for k in keys]),
         }
     )
@@ -66,10 +65,9 @@ def egress(df: DataFrame, *keys: str, answer: str = "answer", role: str = "role"
     acted = scanned.withColumns(
         {"pii_findings": detect.pii_entities(), "action": D.role_action(who, detect.has_ssn_finding())}
     )
-    return detect.drop_hits(acted).withColumns(
+    return masking.with_masked(detect.drop_hits(acted), answer, "masked_answer").withColumns(
         {
             "safe_answer": D.treated_answer(F.col("action"), F.col(answer)),
-            "masked_answer": F.when(F.col("action") == "mask", masking.mask_text(F.col(answer))),
             "decision_id": D.decision_id("response", *[F.col(k) for k in keys]),
         }
     )

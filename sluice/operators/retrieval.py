@@ -120,7 +120,8 @@ def top_k(
     index = vectors.where(F.size("values") == dim).select("id", "values")
     asked = queries.where(F.size("values") == dim).select("query_id", "values")
     bound = max(1, query_bytes // (8 * dim))
-    head = asked.limit(bound + 1).toArrow()
+    # The coalesce keeps the limit inside the plan: all tasks run at once instead of one after another.
+    head = asked.limit(bound + 1).coalesce(1).toArrow()
     if head.num_rows <= bound:
         found = _search_broadcast(index, head, k, dim)
     else:

@@ -61,6 +61,13 @@ def untrusted_sources(df: DataFrame, trusted: DataFrame, source: str = "source")
     return df.join(known, F.col(source) == F.col("_known"), "left_anti")
 
 
+def with_trust(df: DataFrame, trusted: DataFrame, source: str = "source") -> DataFrame:
+    """Append ``trusted``: whether the source is in a trusted row."""
+    known = trusted.select(F.col(trusted.columns[0]).alias("_known")).distinct()
+    joined = df.join(known, F.col(source) == F.col("_known"), "left")
+    return joined.withColumn("trusted", F.col("_known").isNotNull()).drop("_known")
+
+
 def acl_allowed(df: DataFrame, acl: DataFrame, record_type: str = "record_type", role: str = "role") -> DataFrame:
     """Rows whose role is the one role the ACL names for their record type; default is deny."""
     rules = acl.select(F.col("record_type").alias("_type"), F.col("role").alias("_role")).distinct()

@@ -72,11 +72,7 @@ _RESOURCES_SQL = f"""WITH t(pick, type, after) AS (VALUES
 
 
 def _by_pick(values: list[str | None]):
-    chain = None
-    for i, value in enumerate(values):
-        test = F.col("pick") == i
-        chain = F.when(test, value) if chain is None else chain.when(test, value)
-    return chain
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), F.col("pick").cast("int"))
 
 
 def _shaped(spark, folder):

@@ -190,20 +190,21 @@ def combined_approval(spark, folder):
     return moves.any_approval(decisions, "user_id")
 
 
+_CASE_DST = "CASE WHEN doc_id % 3 = 0 THEN 'llm' ELSE 'pinecone' END"
+
+
 @query(
     "flow_cases",
-    T.sql_docs(f", states AS (SELECT doc_id, {SQL_STATE} AS label FROM hits)") + """
+    T.sql_docs(f", states AS (SELECT doc_id, {_CASE_DST} AS dst, {SQL_STATE} AS label FROM hits)") + """
     SELECT doc_id, label = 'INTERNAL' AS allow, (label = 'INTERNAL') = (doc_id % 2 = 0) AS passed,
-      CASE WHEN label = 'INTERNAL' THEN false ELSE true END AS reason_found FROM states""",
+      label <> 'INTERNAL' AND dst = 'pinecone' AS reason_found FROM states""",
 )
 def flow_cases(spark, folder):
     cases = scanned_documents(spark, folder).select(
-        "doc_id", F.lit("rag_orchestrator").alias("src"), F.lit("pinecone").alias("dst"),
+        "doc_id", F.lit("rag_orchestrator").alias("src"), F.expr(_CASE_DST).alias("dst"),
         labels.state_label_from_hits().alias("label"),
         F.lit("allow").alias("action"), F.lit(False).alias("redacted"),
         F.expr("doc_id % 2 = 0").alias("expected"), F.lit("denied").alias("reason_contains"),
     )
     checked = moves.check_cases(cases, moves.flow_table(spark, M.DEFAULT_FLOWS))
     return checked.select("doc_id", "allow", "passed", "reason_found")
-
-

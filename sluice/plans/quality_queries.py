@@ -66,14 +66,12 @@ def training_gate(spark, folder):
       source IN ({_TRUSTED_SQL}) AS trusted FROM hits JOIN labels USING (doc_id)""",
 )
 def training_scan(spark, folder):
-    rows = documents(spark, folder).join(table(spark, folder, "labels"), "doc_id")
-    found = detect.detect_entities(rows)
-    bad = R.untrusted_sources(
-        found.select("source").distinct(), fixed_table(spark, TRUSTED, "source string")
-    ).withColumn("_bad", F.lit(True))
-    return found.join(bad, "source", "left").select(
-        "doc_id", "quality", F.array_join("entities.type", ",").alias("types"), F.col("_bad").isNull().alias("trusted")
+    # Texts are scanned before the join, so that only their findings are shuffled.
+    found = detect.detect_entities(documents(spark, folder).select("doc_id", "source", "text")).select(
+        "doc_id", "source", F.array_join("entities.type", ",").alias("types")
     )
+    marked = R.with_trust(found, fixed_table(spark, TRUSTED, "source string"))
+    return marked.join(table(spark, folder, "labels"), "doc_id").select("doc_id", "quality", "types", "trusted")
 
 
 _WEEK = "CAST(floor((epoch(ts) - 1704067200) / 604800) AS INTEGER)"

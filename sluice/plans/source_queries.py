@@ -44,7 +44,7 @@ def evidence_log(spark, folder):
         "conv_id", "turn", F.coalesce(F.expr(TURN_ROLE), F.lit("unknown")).alias("role"), F.col("text").alias("prompt")
     )
     outcomes = gateway.ingress(prompts, "conv_id", "turn").withColumn(
-        "preview", masking.safe_preview(masking.mask_text(F.col("prompt")))
+        "preview", masking.safe_preview(F.col("masked_prompt"))
     )
     day = F.expr("cast(date_add(date'2024-01-01', cast(conv_id % 30 as int)) as timestamp)")
     rows = sinks.evidence_rows(outcomes, "request", "conv_id", "turn", preview="preview", ts=day)

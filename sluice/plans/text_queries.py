@@ -135,7 +135,7 @@ SQL_MASKED = rf"""
     SELECT doc_id, masked_text, masked_text <> text AS redaction_applied FROM masked""",
 )
 def masked_text(spark, folder):
-    masked = documents(spark, folder).withColumn("masked_text", masking.mask_text(F.col("text")))
+    masked = masking.with_masked(documents(spark, folder))
     return masked.select(
         "doc_id", "masked_text", (F.col("masked_text") != F.col("text")).alias("redaction_applied")
     )
@@ -147,9 +147,8 @@ def masked_text(spark, folder):
     SELECT doc_id, left(masked_text, 200) AS preview FROM masked""",
 )
 def evidence_previews(spark, folder):
-    return documents(spark, folder).select(
-        "doc_id", masking.safe_preview(masking.mask_text(F.col("text"))).alias("preview")
-    )
+    masked = masking.with_masked(documents(spark, folder))
+    return masked.select("doc_id", masking.safe_preview(F.col("masked_text")).alias("preview"))
 
 
 @query(
