@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,3 +78,24 @@ def usable_documents(raw: DataFrame, *keep: str, key: str = "s3_key", body: str
         F.when(_filled(F.col("_id")), F.col("_id").cast("string")).otherwise(F.col("_key")).alias("doc_id"),
         "text", with_key.alias("metadata"),
     )
+
+
+def with_embeddings(
+    docs: DataFrame, embed: Callable[[list[str]], list[list[float]]], *, text: str = "text", out: str = "values",
+    batch: int = 32,
+) -> DataFrame:
+    """Append vectors from the caller's embedding function, called on batches of texts in the tasks."""
+
+    @F.pandas_udf("array<float>")
+    def vectors(texts: pd.Series) -> pd.Series:
+        listed = texts.tolist()
+        return pd.Series([v for i in range(0, len(listed), batch) for v in embed(listed[i : i + batch])])
+
+    return docs.withColumn(out, vectors(text))
+
+
+def vector_rows(docs: DataFrame, namespace: str, seq: Column) -> DataFrame:
+    """Embedded documents in the columns of a vector table; ``seq`` orders writes of the same id."""
+    return docs.select(
+        F.lit(namespace).alias("namespace"), F.col("doc_id").alias("id"), "values", "metadata", seq.alias("seq")
+    )

@@ -192,7 +192,11 @@ def _search_grid(index: DataFrame, asked: DataFrame, k: int, dim: int, cell_byte
 
 
 def with_metadata(matches: DataFrame, vectors: DataFrame) -> DataFrame:
-    return matches.join(vectors.select("id", "metadata"), "id", "left")
+    """Matches with the metadata of their vectors, which must hold every matched id.
+
+    An inner join, so that Spark may broadcast the few matches and leave the vector table in place.
+    """
+    return matches.join(vectors.select("id", "metadata"), "id")
 
 
 def filled(metadata, *names: str):

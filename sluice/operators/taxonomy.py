@@ -48,8 +48,8 @@ def with_handling(labelled: DataFrame, handling: dict[str, list[str]], label: st
 
 def unknown_tokens(df: DataFrame, taxonomy: DataFrame, column: str = "entity_type") -> DataFrame:
     """Rows whose type is in no taxonomy row; an absent type is unknown too."""
-    known = taxonomy.select(F.col("entity_type").alias("_known")).distinct()
-    return df.join(F.broadcast(known), F.col(column) == F.col("_known"), "left_anti")
+    known = taxonomy.select(F.col("entity_type").alias("_known"))
+    return df.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 
 def rollup(df: DataFrame, *keys: str) -> DataFrame:

@@ -57,7 +57,7 @@ def evidence_messages(record: Column, fields: list[str] | None = None) -> Column
 
 def untrusted_sources(df: DataFrame, trusted: DataFrame, source: str = "source") -> DataFrame:
     """Rows whose source is in no trusted row; an absent source is not trusted."""
-    known = trusted.select(F.col(trusted.columns[0]).alias("_known")).distinct()
+    known = trusted.select(F.col(trusted.columns[0]).alias("_known"))
     return df.join(known, F.col(source) == F.col("_known"), "left_anti")
 
 
@@ -70,7 +70,7 @@ def with_trust(df: DataFrame, trusted: DataFrame, source: str = "source") -> Dat
 
 def acl_allowed(df: DataFrame, acl: DataFrame, record_type: str = "record_type", role: str = "role") -> DataFrame:
     """Rows whose role is the one role the ACL names for their record type; default is deny."""
-    rules = acl.select(F.col("record_type").alias("_type"), F.col("role").alias("_role")).distinct()
+    rules = acl.select(F.col("record_type").alias("_type"), F.col("role").alias("_role"))
     return df.join(rules, (F.col(record_type) == F.col("_type")) & (F.col(role) == F.col("_role")), "left_semi")
 
 

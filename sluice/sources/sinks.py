@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.decisions import decision_id
+from sluice.operators.tables import fixed_table
 
 QUARANTINED = "RESTRICTED_PII"
 
@@ -53,7 +54,10 @@ def latest_vectors(current: DataFrame | None, batch: DataFrame, seq: str = "seq"
     """
     writes = batch if current is None else current.unionByName(batch)
     rest = [c for c in writes.columns if c not in ("namespace", "id")]
-    content = F.xxhash64(*[F.to_json(F.struct(*rest))])
+    kinds = dict(writes.dtypes)
+    content = F.xxhash64(
+        *[F.array_sort(F.map_entries(c)) if kinds[c].startswith("map") else F.col(c) for c in rest]
+    )
     won = writes.groupBy("namespace", "id").agg(
         F.max_by(F.struct(*rest), F.struct(F.col(seq), content)).alias("_row")
     )
@@ -65,16 +69,18 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
-def artifact_manifest(spark: SparkSession, required: DataFrame, folder: str) -> DataFrame:
+def artifact_manifest(spark: SparkSession, required: list[tuple[str, str]], folder: str) -> DataFrame:
     """One row per required artifact: its hash, or ``missing``.
 
-    ``required`` has the columns ``name`` and ``source``; files are looked up by name in ``folder``.
+    ``required`` lists names and sources; only files of those names are read from ``folder``.
     """
+    wanted = fixed_table(spark, required, "name string, source string")
+    names = "{" + ",".join(name for name, _ in required) + "}"
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
         .groupBy("name").agg(F.min("sha256").alias("sha256"))
     )
-    return required.join(files, "name", "left").select(
+    return wanted.join(files, "name", "left").select(
         "name", "source", "sha256", F.col("sha256").isNull().alias("missing")
     )

@@ -46,6 +46,15 @@ def test_corpus(spark, tmp_path):
     assert readers.read_corpus(spark, str(tmp_path), ["absent/"]).count() == 0
 
 
+def test_corpus_sync_with_the_callers_embedder(spark):
+    raw = spark.createDataFrame([("k1", '{"text":"abc"}'), ("k2", '{"text":"x","id":"k1"}')], "s3_key string, t string")
+    docs = corpus.usable_documents(raw.withColumn("body", F.try_parse_json("t")))
+    embedded = corpus.with_embeddings(docs, lambda texts: [[float(len(t))] for t in texts])
+    rows = corpus.vector_rows(embedded, "default", F.length("text"))
+    state = sinks.latest_vectors(None, rows).collect()
+    assert [(r["namespace"], r["id"], r["values"], r["metadata"]) for r in state] == [("default", "k1", [3.0], {"s3_key": "k1"})]
+
+
 def test_logs(spark, tmp_path):
     path = tmp_path / "log.jsonl"
     path.write_text('{"a":1}\n\n  \n{bad\n {"a":2} \n5\n')
@@ -70,7 +79,8 @@ def test_artifacts(spark, tmp_path):
 
 def test_manifest(spark, tmp_path):
     (tmp_path / "x.json").write_bytes(b"abc")
-    required = spark.createDataFrame([("x.json", "s1"), ("y.json", "s2")], "name string, source string")
+    (tmp_path / "z.json").write_bytes(b"not asked for")
+    required = [("x.json", "s1"), ("y.json", "s2")]
     rows = {r["name"]: r for r in sinks.artifact_manifest(spark, required, str(tmp_path)).collect()}
     assert rows["x.json"]["sha256"] == hashlib.sha256(b"abc").hexdigest() and not rows["x.json"]["missing"]
     assert rows["y.json"]["missing"] and rows["y.json"]["sha256"] is None
