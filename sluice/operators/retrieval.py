@@ -8,15 +8,22 @@ more queries are laid out as a grid of query blocks and vector blocks, with the
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Ship the search code with the tasks, so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUERY_BYTES = 64 << 20
 CELL_BYTES = 64 << 20
 TILE = 256
 SCORE_DIGITS = 9
+ROUNDING = 2e-9  # more than rounding can move two scores against each other
 
 
 def wrong_shape(vectors: DataFrame, dim: int, values: str = "values") -> DataFrame:
@@ -42,14 +49,18 @@ def readable(vectors: DataFrame, role: str, prefixes: dict[str, list[str]], path
     return vectors.where(test)
 
 
-def _matrix(column, dim: int) -> np.ndarray:
+def _matrix(column, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows, and which rows have no direction (those are left zero)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False)
     rows = flat.astype(np.float64).reshape(-1, dim)
     norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return rows / norms[:, None]
+    blank = ~(np.isfinite(norms) & (norms > 0))
+    norms[blank] = 1.0
+    rows /= norms[:, None]
+    rows[blank] = 0.0
+    return rows, blank
 
 
 class _Best:
@@ -62,17 +73,23 @@ class _Best:
         self.ids = None
         self.floor = np.full(n_queries, -np.inf)
 
-    def add(self, queries: np.ndarray, index: np.ndarray, ids: np.ndarray) -> None:
-        for start in range(0, len(queries), TILE):
+    def add(self, queries, index, ids: np.ndarray) -> None:
+        """Search one batch. Only scores that can still enter the best are rounded and kept."""
+        (asked, no_query), (rows, no_row) = queries, index
+        for start in range(0, len(asked), TILE):
             tile = slice(start, start + TILE)
-            scores = np.round(queries[tile] @ index.T, SCORE_DIGITS)
-            scores[np.isnan(scores)] = -np.inf
-            floor = self.floor[tile]
-            if scores.shape[1] > self.k:
+            scores = asked[tile] @ rows.T
+            if no_row.any():
+                scores[:, no_row] = -np.inf
+            if no_query[tile].any():
+                scores[no_query[tile]] = -np.inf
+            floor = self.floor[tile].copy()
+            fresh = np.isneginf(floor)
+            if fresh.any() and scores.shape[1] > self.k:
                 place = scores.shape[1] - self.k
-                floor = np.maximum(floor, np.partition(scores, place, axis=1)[:, place])
-            row, col = np.nonzero(scores >= floor[:, None])
-            self._merge(row + start, scores[row, col], ids[col], tile)
+                floor[fresh] = np.partition(scores[fresh], place, axis=1)[:, place]
+            row, col = np.nonzero(scores >= (floor - ROUNDING)[:, None])
+            self._merge(row + start, np.round(scores[row, col], SCORE_DIGITS), ids[col], tile)
 
     def _merge(self, query, score, ids, tile) -> None:
         if not len(query):

@@ -78,7 +78,7 @@ _WEEK = "CAST(floor((epoch(ts) - 1704067200) / 604800) AS INTEGER)"
 
 
 def weekly(spark, folder):
-    week = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - 1704067200) / 604800).cast("int")
+    week = F.expr("cast(floor(datediff(to_date(ts), date'2024-01-01') / 7) as int)")
     return table(spark, folder, "events").select(week.alias("week"), "value", "event_type")
 
 

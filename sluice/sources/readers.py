@@ -93,8 +93,8 @@ def read_flows(spark: SparkSession, path: str) -> DataFrame:
 
     A missing file, or one whose ``flows`` is no list, gives no rows, so every move is denied.
     """
-    item = FLOW_SCHEMA.replace("ordinal int, ", "").replace("requires array<string>", "requires array<string>")
-    fields = ",".join(part.strip().replace(" ", ":", 1) for part in item.split(", "))
+    columns = FLOW_SCHEMA.split(", ")[1:]
+    fields = ",".join(column.replace(" ", ":", 1) for column in columns)
     files = _existing(spark, path)
     if files is None:
         return spark.createDataFrame([], FLOW_SCHEMA)

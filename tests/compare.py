@@ -21,9 +21,7 @@ def duck(folder: str):
 
 def _plain(value):
     if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return f"{value:.9g}"
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, bool) or value is None or isinstance(value, (int, str)):
         return repr(value)
     if isinstance(value, datetime.datetime):
