@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import patterns as P
+from sluice.functions.rows import explode_found
 from sluice.plans import fixed_values as V
 
 ENTITY_DDL = "struct<type:string,value:string,score:double>"
@@ -143,15 +144,6 @@ def with_spare_flags(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def explode_found(df: DataFrame, *keys: str, array: Column | str, alias: str) -> DataFrame:
-    """One row per array element, none for empty arrays.
-
-    The outer form plus a filter stands in for a plain explode, which would have Catalyst test the
-    array in a filter below the projection that builds it, running every pattern twice.
-    """
-    return df.select(*keys, F.explode_outer(array).alias(alias)).where(F.col(alias).isNotNull())
-
-
 def explode_entities(df: DataFrame, *keys: str, entities_col: str = "entities") -> DataFrame:
     """Long form: one row per entity."""
     found = explode_found(df, *keys, array=entities_col, alias="_entity")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.detect import explode_found
+from sluice.functions.rows import explode_found
 from sluice.functions.patterns import SPACE_CHARS
 
 EMPTY_JSON = ["null", "false", '""', "0", "0.0", "-0.0", "[]", "{}"]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.detect import explode_found
+from sluice.functions.rows import explode_found
 from sluice.plans.fixed_values import REQUIRED_ENV
 
 AFTER = "after"
@@ -176,7 +176,7 @@ def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
     met = places.join(endings, ["plan_id", "_ending"]).select("plan_id", "_holder", "_stop", F.explode("_lengths").alias("_len"))
     covered = met.where("_len <= _stop").select(
         "plan_id", F.expr("substring(_holder, _stop - _len + 1, _len)").alias("address")
-    )
+    ).distinct()
     rule = EVIDENCE_BUCKET_RULE
     return buckets.join(covered, ["plan_id", "address"], "left_anti").select(
         "plan_id", F.lit(rule.id).alias("rule_id"), F.lit(rule.control).alias("control_ref"), rule.text().alias("message")

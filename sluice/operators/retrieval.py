@@ -16,6 +16,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.rows import keep_where
+
 # Ship the search code with the tasks, so that executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,7 +36,7 @@ def wrong_shape(vectors: DataFrame, dim: int, values: str = "values") -> DataFra
 
 def only_allowed(queries: DataFrame, verdicts: DataFrame, key: str, blocked: str = "blocked") -> DataFrame:
     """Queries whose prompt passed every hop. Runs before the search, so the rest is never searched."""
-    passed = verdicts.where(~F.col(blocked)).select(key)
+    passed = keep_where(verdicts.select(key, blocked), ~F.col(blocked)).select(key)
     return queries.join(passed, key, "left_semi")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.detect import explode_found
+from sluice.functions.rows import explode_found
 from sluice.plans import fixed_values as V
 
 

@@ -6,27 +6,32 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators import evidence as E
-from sluice.plans.cloud_queries import _CHECKS_SQL, _RESOURCES_SQL, resources
 from sluice.operators import plan_rules as P
+from sluice.plans import fixed_values as V
+from sluice.plans.cloud_queries import _CHECKS_SQL, _RESOURCES_SQL, resources
 from sluice.plans.registry import query, table
 
 # Parts whose key ends in 7 share the id of the part before; keys ending in 9 have a blank id.
 _ID = "CASE WHEN p_partkey % 10 = 7 THEN concat('C-', p_partkey - 1) WHEN p_partkey % 10 = 9 THEN '' ELSE concat('C-', p_partkey) END"
-_NOT_ALL = "p_partkey % 4"
 
 
 def controls(spark, folder):
+    kind = F.col("p_partkey") % 4
+
     def listed(test, *values):
-        return f"CASE WHEN {test} THEN array({', '.join(values)}) ELSE array() END"
+        return F.when(test, F.array(*values)).otherwise(F.array().cast("array<string>"))
 
-    frameworks = F.expr(
-        "array(named_struct('name', p_brand, 'ref', concat('A.', p_size, ', A.', p_size + 1)), "
-        "named_struct('name', p_type, 'ref', concat('B.', p_size)))"
+    def numbered(prefix, column="p_size"):
+        return F.concat(F.lit(prefix), F.col(column))
+
+    frameworks = F.array(
+        F.struct(F.col("p_brand").alias("name"), F.expr("concat('A.', p_size, ', A.', p_size + 1)").alias("ref")),
+        F.struct(F.col("p_type").alias("name"), numbered("B.").alias("ref")),
     )
-    tools = F.expr(
-        f"named_struct('opa_policies', {listed(_NOT_ALL + ' = 1', chr(39) + 'policy/a' + chr(39), 'concat(' + repr('policy/') + ', p_size)')}, "
-        f"'checkov_checks', {listed(_NOT_ALL + ' = 2', 'concat(' + repr('CKV_') + ', p_size)')}, "
-        f"'evidence_sources', {listed(_NOT_ALL + ' >= 2', 'concat(' + repr('artifact/') + ', p_partkey)')})"
+    tools = F.struct(
+        listed(kind == 1, F.lit("policy/a"), numbered("policy/")).alias("opa_policies"),
+        listed(kind == 2, numbered("CKV_")).alias("checkov_checks"),
+        listed(kind >= 2, numbered("artifact/", "p_partkey")).alias("evidence_sources"),
     )
     return table(spark, folder, "part").select(
         F.col("p_partkey").alias("ordinal"), F.expr(_ID).alias("id"), F.col("p_name").alias("name"),
@@ -134,9 +139,7 @@ def control_validation(spark, folder):
     f"""WITH {_CURRENT_SQL} SELECT id, CASE WHEN ordinal % 4 = 0 THEN 'evidence fields empty' END AS reason FROM cur""",
 )
 def tool_validation(spark, folder):
-    from sluice.plans.fixed_values import TOOL_KEYS
-
-    return E.validation(E.current_controls(controls(spark, folder)), F.col("tools"), TOOL_KEYS)
+    return E.validation(E.current_controls(controls(spark, folder)), F.col("tools"), V.TOOL_KEYS)
 
 
 @query(
@@ -150,7 +153,7 @@ def coverage(spark, folder):
 @query(
     "finding_frameworks",
     f"""{_RESOURCES_SQL}, {_CHECKS_SQL}, fw(check_id, framework, ref) AS (VALUES
-      {', '.join(f"('{i}', '{f}', '{r}')" for i, f, r, _ in E.V.CHECK_FRAMEWORKS)})
+      {', '.join(f"('{i}', '{f}', '{r}')" for i, f, r, _ in V.CHECK_FRAMEWORKS)})
     SELECT plan_id, check_id, framework, ref, count(*) AS n FROM c LEFT JOIN fw USING (check_id) WHERE NOT ok GROUP BY ALL""",
 )
 def finding_frameworks(spark, folder):

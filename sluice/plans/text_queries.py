@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.functions import detect, labels, masking, movement
+from sluice.functions.rows import explode_found
 from sluice.operators import taxonomy
 from sluice.plans import fixed_values as V
 from sluice.plans import triggers as T
@@ -89,7 +90,7 @@ def spare_detectors(spark, folder):
 )
 def injection_hits(spark, folder):
     prompts = turns(spark, folder).where("role = 'user'")
-    found = detect.explode_found(
+    found = explode_found(
         prompts, "conv_id", "turn", array=detect.injection_phrases(F.col("text")), alias="phrase"
     )
     return found.select("conv_id", "turn", F.concat(F.lit(V.MSG_INJECTION), "phrase").alias("message"))
@@ -115,7 +116,7 @@ def output_leaks(spark, folder):
         F.when(detect.unapproved_diagnosis(F.col("text"), approved), F.array(F.lit(V.MSG_DIAGNOSIS)))
         .otherwise(F.array().cast("array<string>")),
     )
-    return detect.explode_found(answers, "conv_id", "turn", array=found, alias="message")
+    return explode_found(answers, "conv_id", "turn", array=found, alias="message")
 
 
 SQL_MASKED = rf"""

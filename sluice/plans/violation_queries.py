@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.functions import detect, labels
+from sluice.functions.rows import explode_found
 from sluice.operators import violations as R
 from sluice.operators.tables import fixed_table
 from sluice.plans import fixed_values as V
 from sluice.plans import triggers as T
 from sluice.plans.registry import query, table
 from sluice.plans.text_queries import documents, scanned_documents, turns
+from sluice.sources import sinks
 
 _SSN_MSG, _MRN_MSG = V.MSG_SSN_INPUT, V.MSG_MRN_INPUT
 
@@ -24,7 +26,7 @@ _SSN_MSG, _MRN_MSG = V.MSG_SSN_INPUT, V.MSG_MRN_INPUT
 def input_violations(spark, folder):
     found = detect.detect_entities(documents(spark, folder).select("doc_id", "text"))
     types = labels.entity_types(F.col("entities"))
-    return detect.explode_found(found, "doc_id", array=R.input_messages(types), alias="message")
+    return explode_found(found, "doc_id", array=R.input_messages(types), alias="message")
 
 
 @query(
@@ -44,9 +46,7 @@ def input_allowed(spark, folder):
     SELECT doc_id, CASE WHEN {T.SQL_LABEL} = 'restricted_pii' THEN 'quarantine' ELSE 'open' END AS zone FROM hits""",
 )
 def quarantine_zone(spark, folder):
-    from sluice.sources.sinks import zone_of
-
-    return scanned_documents(spark, folder).select("doc_id", zone_of(labels.state_label_from_hits()).alias("zone"))
+    return scanned_documents(spark, folder).select("doc_id", sinks.zone_of(labels.state_label_from_hits()).alias("zone"))
 
 
 ACL = [("purchase", "professional"), ("click", "member"), ("view", "member"), ("signup", "admin")]
@@ -87,7 +87,7 @@ def event_logs(spark, folder):
     UNION ALL SELECT event_id, 'classification' FROM events WHERE event_id % 3 = 0""",
 )
 def log_completeness(spark, folder):
-    return detect.explode_found(
+    return explode_found(
         event_logs(spark, folder), "event_id", array=R.missing_fields(F.col("log")), alias="field"
     )
 
@@ -99,7 +99,7 @@ def log_completeness(spark, folder):
 )
 def evidence_completeness(spark, folder):
     found = R.evidence_messages(F.col("log"), ["timestamp", "decision", "classification"])
-    return detect.explode_found(event_logs(spark, folder), "event_id", array=found, alias="message")
+    return explode_found(event_logs(spark, folder), "event_id", array=found, alias="message")
 
 
 _AGENT_ACTION = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'api_call' ELSE event_type END"
@@ -114,7 +114,7 @@ _ALLOW_API = "CASE user_id % 3 WHEN 0 THEN true WHEN 1 THEN false END"
 def agent_actions(spark, folder):
     acts = table(spark, folder, "events")
     found = R.agent_messages(F.expr(_AGENT_ACTION), F.expr(_ALLOW_API))
-    return detect.explode_found(acts, "event_id", array=found, alias="message")
+    return explode_found(acts, "event_id", array=found, alias="message")
 
 
 TRUSTED = [(f"src{i}",) for i in range(8)]

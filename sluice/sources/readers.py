@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.patterns import SPACE_CHARS
+from sluice.functions.rows import keep_where
 from sluice.operators.evidence import CONTROL_SCHEMA
 from sluice.operators.moves import FLOW_SCHEMA
 
@@ -48,7 +49,7 @@ def parsed_lines(lines: DataFrame, column: str = "value", out: str = "record") -
     """JSON lines as VARIANT; blank and broken lines are skipped. Fits batch and stream sources."""
     cut = F.trim(F.col(column), F.lit(SPACE_CHARS))
     parsed = lines.withColumn("_line", F.nullif(cut, F.lit(""))).withColumn(out, F.try_parse_json("_line"))
-    return parsed.drop("_line", column).where(F.col(out).isNotNull())
+    return keep_where(parsed.drop("_line", column), F.col(out).isNotNull())
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -7,9 +7,11 @@ Checkpoints go to the shared folder the session names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions import detect
+from sluice.functions.rows import keep_where
 from sluice.operators import gateway, moves
 from sluice.session import shared_folder
 
@@ -21,8 +23,8 @@ def prompt_verdicts(prompts: DataFrame, *keys: str, text: str = "text") -> DataF
 
 def ingress(requests: DataFrame, *keys: str, body: str = "body") -> DataFrame:
     """Outcome of every valid request body."""
-    parsed = gateway.parse_requests(requests, body).where("status = 200").drop("status", "error")
-    return gateway.ingress(parsed, *keys)
+    parsed = keep_where(gateway.parse_requests(requests, body), F.col("status") == 200)
+    return gateway.ingress(parsed.drop("status", "error"), *keys)
 
 
 def write_available(
