@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sluice.functions.patterns import SPACE_CHARS
 from sluice.plans import fixed_values as V
 
 
@@ -52,7 +53,7 @@ def label_from_types(types: Column) -> Column:
 
 def normalise_label(label: Column) -> Column:
     """Policy spelling of a label. Anything not recognised becomes INTERNAL."""
-    norm = F.lower(F.trim(F.coalesce(label, F.lit(""))))
+    norm = F.lower(F.trim(F.coalesce(label, F.lit("")), F.lit(SPACE_CHARS)))
     return (
         F.when(norm.isin("restricted_pii", "pii"), "RESTRICTED_PII")
         .when(norm.isin("restricted_phi", "phi"), "RESTRICTED_PHI")

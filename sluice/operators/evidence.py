@@ -128,14 +128,15 @@ def dangling(links: DataFrame, inventory: DataFrame, path: str = "path") -> Data
 def validation(controls: DataFrame, evidence: Column, keys: list[str] | None = None) -> DataFrame:
     """``id, reason``: why a control counts as lacking evidence, NULL if it does not.
 
-    ``evidence`` is a struct of arrays or strings, NULL where the control has none at all.
+    ``evidence`` is a struct of arrays or strings; NULL, or a struct of NULLs, means none at all.
     """
     fields = V.EVIDENCE_KEYS if keys is None else keys
-    filled = F.lit(False)
+    filled, stated = F.lit(False), F.lit(False)
     for name in fields:
         value = evidence.getField(name)
+        stated = stated | value.isNotNull()
         filled = filled | F.coalesce(~F.to_json(F.struct(value.alias("v"))).isin('{"v":[]}', '{"v":""}', "{}"), F.lit(False))
-    reason = F.when(evidence.isNull(), V.REASON_NO_EVIDENCE).when(~filled, V.REASON_EMPTY_EVIDENCE)
+    reason = F.when(~stated, V.REASON_NO_EVIDENCE).when(~filled, V.REASON_EMPTY_EVIDENCE)
     return controls.select("id", reason.alias("reason"))
 
 

@@ -92,11 +92,19 @@ def runtime(
         "movement",
         M.hop_verdict(M.DEFAULT_FLOWS if flows is None else flows, src, dst, M.state(F.col("used_label"), F.lit("allow"), flag)),
     )
-    decision: Column = D.runtime_decision(
+    verdict = D.runtime_decision(
         F.lit(direction), F.coalesce(F.col(role), F.lit("anonymous")), labels.entity_types(F.col("entities")),
         F.col("used_label"), F.col("movement.allow"), F.col("movement.reason"),
     )
-    return judged.withColumn("decision", decision)
+    return judged.withColumn("_verdict", verdict).withColumn("decision", decision_record("_verdict")).drop("_verdict")
+
+
+def decision_record(verdict: str, label: str = "used_label", entities: str = "entities") -> Column:
+    """Decision as it is handed on: ``action, reason, labels, entities``."""
+    return F.struct(
+        F.col(f"{verdict}.action").alias("action"), F.col(f"{verdict}.reason").alias("reason"),
+        F.array_compact(F.array(label)).alias("labels"), F.col(entities).alias("entities"),
+    )
 
 
 def handle_ingress(df: DataFrame, **options) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import movement as M
 from sluice.functions.labels import label_from_hits, state_label_from_hits
+from sluice.functions.patterns import SPACE_CHARS
 from sluice.operators.tables import broadcast_if_small, fixed_table
 from sluice.plans import fixed_values as V
 
@@ -33,9 +34,9 @@ def parsed_rules(conditions: Column) -> Column:
     """Condition texts as structs ``raw, kind, items``; unknown forms get the kind ``other``."""
 
     def one(text: Column) -> Column:
-        raw = F.regexp_replace(text, r"^\s+|\s+$", "")
+        raw = F.trim(text, F.lit(SPACE_CHARS))
         inner = F.regexp_extract(raw, M.BRACKETED, 1)
-        items = F.transform(F.split(inner, ","), lambda i: F.regexp_replace(i, r"^\s+|\s+$", ""))
+        items = F.transform(F.split(inner, ","), lambda i: F.trim(i, F.lit(SPACE_CHARS)))
         kind = (
             F.when(raw.startswith("classification_label not_in"), "label_not_in")
             .when(raw.startswith("policy_decision.action in"), "action_in")

@@ -63,7 +63,7 @@ class Rule:
 
     def text(self) -> Column:
         prefix = f"[{self.control}] " if self.control else ""
-        return F.concat(F.lit(prefix + self.message), F.coalesce(F.col(self.subject), F.lit("")))
+        return F.concat(F.lit(prefix + self.message), F.col(self.subject))
 
 
 # Rule order, resource types, control references and message texts.
@@ -137,7 +137,8 @@ def row_findings(resources: DataFrame, rules: list[Rule]) -> DataFrame:
             F.lit(rule.id).alias("rule_id"), F.lit(rule.control).cast("string").alias("control_ref"),
             rule.text().alias("message"),
         )
-        return F.when(rule.test(), F.array(row)).otherwise(none)
+        # A message cannot be formed without its subject, and then the rule does not fire.
+        return F.when(rule.test() & F.col(rule.subject).isNotNull(), F.array(row)).otherwise(none)
 
     chain = None
     for kind, group in by_type.items():
@@ -158,7 +159,7 @@ def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
     table, where the type filters reach the scan.
     """
     buckets = resources.where(
-        (F.col("type") == BUCKET_TYPE) & F.contains(F.lower("name"), F.lit("evidence"))
+        (F.col("type") == BUCKET_TYPE) & F.contains(F.lower("name"), F.lit("evidence")) & F.col("address").isNotNull()
     ).select("plan_id", "address").distinct()
     kms = any_item(items_at(F.col(AFTER), "$.rule"), lambda r: json_at(r, f"{SSE_PATH}.sse_algorithm") == '"aws:kms"')
     configs = resources.where((F.col("type") == SSE_TYPE) & F.col("address").isNotNull() & kms).select(

@@ -37,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if name in SPREAD and len(rows.inputFiles()) < cores:
-        return rows.repartition(cores)
+        return rows.repartition(cores, rows.columns[0])
     return rows
 
 

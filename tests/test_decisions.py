@@ -63,6 +63,9 @@ def test_handlers_fail_closed_unless_asked_not_to(spark):
     df = spark.createDataFrame([("routing 123456789", "member"), ("ssn 123-45-6789", "admin"), ("Patient", "member")], "text string, role string")
     safe = [r["decision"]["action"] for r in gateway.handle_ingress(df).collect()]
     raw = [r["decision"]["action"] for r in gateway.handle_ingress(df, normalise=False).collect()]
+    assert [(r["decision"]["labels"], [e["type"] for e in r["decision"]["entities"]]) for r in gateway.handle_ingress(df).collect()] == [
+        (["RESTRICTED_PII"], ["ROUTING"]), (["RESTRICTED_PII"], ["SSN"]), (["INTERNAL"], [])
+    ]
     assert safe == ["block", "block", "allow"] and raw == ["allow", "allow", "allow"]
     assert {r["decision"]["reason"] for r in gateway.handle_egress(df).collect()} == {
         "data movement denied: no matching flow definition in policy"

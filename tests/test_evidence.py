@@ -47,10 +47,10 @@ def test_nested_links_split_a_hot_control(spark):
 
 def test_validation(spark):
     ev = "evidence struct<opa_policy:array<string>,checkov_check:string,terraform_guardrail:string,test_case:string>"
-    rows = [("a", None), ("b", ([], "", None, None)), ("c", (["x"], None, None, None)), ("d", ([], "y", None, None))]
+    rows = [("a", None), ("b", ([], "", None, None)), ("c", (["x"], None, None, None)), ("d", ([], "y", None, None)), ("e", (None, None, None, None))]
     out = E.validation(spark.createDataFrame(rows, f"id string, {ev}"), F.col("evidence"))
-    assert {r["id"]: r["reason"] for r in out.collect()} == {"a": "no evidence mapping", "b": "evidence fields empty", "c": None, "d": None}
-    assert tuple(E.coverage(out).first()) == (4, 2)
+    assert {r["id"]: r["reason"] for r in out.collect()} == {"a": "no evidence mapping", "b": "evidence fields empty", "c": None, "d": None, "e": "no evidence mapping"}
+    assert tuple(E.coverage(out).first()) == (5, 3)
 
 
 def test_frameworks(spark):

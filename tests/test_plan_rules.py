@@ -109,6 +109,13 @@ def test_evidence_buckets_match_brute_force(spark):
     assert {(r["plan_id"], r["message"].split("Resource: ")[1]) for r in out} == expected and len(out) == len(expected)
 
 
+def test_no_finding_without_an_address(spark):
+    plan = [resource("aws_iam_user", {}), resource("aws_s3_bucket", {}, "evidence")]
+    for item in plan:
+        del item["address"]
+    assert P.plan_denials(rows(spark, [plan])).count() == 0
+
+
 def test_plain_addresses_are_never_covered(spark):
     plan = [resource("aws_s3_bucket", {}, "evidence"), resource(P.SSE_TYPE, sse("aws:kms"), "evidence")]
     assert P.evidence_bucket_findings(rows(spark, [plan])).count() == 1
