@@ -17,7 +17,6 @@ from sluice.plans import fixed_values as V
 
 RESTRICTED = ["RESTRICTED_PII", "RESTRICTED_PHI"]
 PASSING_ACTIONS = ["allow", "mask"]
-NO_FLOW = "no matching flow definition in policy"
 BRACKETED = r"^[^\[\]]*\[([^\]]*)\]"
 
 
@@ -96,19 +95,19 @@ def model_reason(st: State, passes: Column) -> Column:
     return F.format_string("rag_orchestrator → llm %s (label=%s, action=%s)", verdict, st.label, st.action)
 
 
-def hop_verdict(flows: list[Flow] | None, src: str, dst: str, st: State, *, missing: str = "flows.json") -> Column:
+def hop_verdict(flows: list[Flow] | None, src: str, dst: str, st: State) -> Column:
     """Struct ``allow, reason`` for one fixed hop. The first flow of the pair decides.
 
     ``flows=None`` stands for a policy file that is not there: everything is denied.
     """
     if flows is None:
-        return _verdict(F.lit(False), F.lit(f"policy files missing: {missing} not found"))
+        return _verdict(F.lit(False), F.lit(V.REASON_NO_POLICY))
     if (src, dst) == ("rag_orchestrator", "llm"):
         passes = passes_to_model(st)
         return _verdict(passes, model_reason(st, passes))
     flow = next((f for f in flows if (f.src, f.dst) == (src, dst)), None)
     if flow is None:
-        return _verdict(F.lit(False), F.lit(NO_FLOW))
+        return _verdict(F.lit(False), F.lit(V.REASON_NO_FLOW))
     if not flow.conditions:
         text = "allowed" if flow.allowed else "explicitly denied"
         return _verdict(F.lit(flow.allowed), F.lit(f"flow {flow.id} {text} (no additional conditions)"))

@@ -72,12 +72,15 @@ def judge(
     """
     if mode not in ("first", "any"):
         raise ValueError("mode is 'first' or 'any'")
-    pairs = broadcast_if_small(flows_by_pair(flows))
+    pairs = flows_by_pair(flows)
+    if mode == "first":
+        pairs = pairs.withColumn("_flows", F.get("_flows", F.lit(0)))
+    pairs = broadcast_if_small(pairs)
     joined = moves.join(pairs, (F.col(src) == F.col("_src")) & (F.col(dst) == F.col("_dst")), "left")
     to_model = F.coalesce((F.col(src) == "rag_orchestrator") & (F.col(dst) == "llm"), F.lit(False))
     columns = F.col(label), F.col(action), F.col(redacted)
     build = _first_verdict if mode == "first" else _any_verdict
-    judged = joined.withColumn("_verdict", build(to_model, F.col("_flows"), *columns))
+    judged = build(joined, to_model, F.col("_flows"), *columns)
     return judged.select(*moves.columns, F.col("_verdict.allow").alias("allow"), F.col("_verdict.reason").alias("reason"))
 
 
@@ -88,9 +91,8 @@ def _verdict(allow, reason) -> Column:
     )
 
 
-def _first_verdict(to_model, flows, label, action, redacted) -> Column:
+def _first_verdict(joined, to_model, flow, label, action, redacted) -> DataFrame:
     st = M.state(label, action, redacted)
-    flow = F.get(flows, F.lit(0))
 
     def breaks(rule: Column) -> Column:
         return (
@@ -100,12 +102,14 @@ def _first_verdict(to_model, flows, label, action, redacted) -> Column:
             .otherwise(F.lit(False))
         )
 
-    broken = F.get(F.filter(flow["rules"], breaks), F.lit(0))["raw"]
+    found = joined.withColumn("_broken", F.get(F.filter(flow["rules"], breaks), F.lit(0))["raw"])
+    broken = F.col("_broken")
     named = lambda text: F.format_string(f"flow %s {text}", flow["id"])
     passes = M.passes_to_model(st)
-    return (
+    return found.withColumn(
+        "_verdict",
         F.when(to_model, _verdict(passes, M.model_reason(st, passes)))
-        .when(flow.isNull(), _verdict(False, M.NO_FLOW))
+        .when(flow.isNull(), _verdict(False, V.REASON_NO_FLOW))
         .when(
             F.coalesce(F.size(flow["rules"]), F.lit(0)) <= 0,
             _verdict(
@@ -121,11 +125,11 @@ def _first_verdict(to_model, flows, label, action, redacted) -> Column:
                 F.when(flow["allowed"], named("allowed (conditions satisfied)"))
                 .otherwise(named("denied (allowed=false despite conditions passing)")),
             )
-        )
+        ),
     )
 
 
-def _any_verdict(to_model, flows, label, action, redacted) -> Column:
+def _any_verdict(joined, to_model, flows, label, action, redacted) -> DataFrame:
     def breaks(rule: Column) -> Column:
         acts = F.coalesce(F.array_contains(rule["items"], action), F.lit(False))
         held = F.coalesce(F.array_contains(rule["items"], label), F.lit(False))
@@ -142,17 +146,19 @@ def _any_verdict(to_model, flows, label, action, redacted) -> Column:
     model_ok = to_model & F.coalesce(~label.isin(*M.RESTRICTED), F.lit(True)) & F.coalesce(
         action.isin(*M.PASSING_ACTIONS), F.lit(False)
     )
-    good = F.get(F.filter(flows, passes), F.lit(0))
-    bad = F.get(F.filter(flows, lambda f: F.coalesce(F.exists(f["rules"], breaks), F.lit(False))), F.lit(0))
+    failing = F.filter(flows, lambda f: F.coalesce(F.exists(f["rules"], breaks), F.lit(False)))
+    found = joined.withColumns({"_good": F.get(F.filter(flows, passes), F.lit(0)), "_bad": F.get(failing, F.lit(0))})
+    good, bad = F.col("_good"), F.col("_bad")
     broken = F.get(F.filter(bad["rules"], breaks), F.lit(0))["raw"]
-    return (
+    return found.withColumn(
+        "_verdict",
         F.when(
             model_ok & label.isNotNull(),
             _verdict(True, F.format_string("rag_orchestrator → llm allowed (label=%s, action=%s)", label, action)),
         )
         .when(good.isNotNull(), _verdict(True, F.format_string("flow %s allowed", good["id"])))
         .when(bad.isNotNull(), _verdict(model_ok, F.format_string("flow %s denied: %s", bad["id"], broken)))
-        .otherwise(_verdict(model_ok, "no matching flow"))
+        .otherwise(_verdict(model_ok, "no matching flow")),
     )
 
 

@@ -211,11 +211,15 @@ def _search_grid(index: DataFrame, asked: DataFrame, k: int, dim: int, cell_byte
 
 
 def with_metadata(matches: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Matches with the metadata of their vectors, which must hold every matched id.
+    """Matches with the metadata of their vectors, NULL where there is none.
 
-    An inner join, so that Spark may broadcast the few matches and leave the vector table in place.
+    The vector table is first cut to the matched ids by a semi-join, for which Spark may broadcast
+    the ids, so that the outer join does not move the whole table. Both uses of the matches read
+    the one shuffle of the search.
     """
-    return matches.join(vectors.select("id", "metadata"), "id")
+    matched = matches.select("id").distinct()
+    wanted = vectors.select("id", "metadata").join(matched, "id", "left_semi")
+    return matches.join(wanted, "id", "left")
 
 
 def filled(metadata, *names: str):

@@ -47,6 +47,10 @@ DEFAULT_FLOWS = [
     ("rag_to_pinecone_internal", "rag_orchestrator", "pinecone", True, [NOT_RESTRICTED, ALLOW_OR_MASK]),
 ]
 
+# Reason texts of moves that no flow decides.
+REASON_NO_FLOW = "no matching flow definition in policy"
+REASON_NO_POLICY = "policy files missing: flows.json not found"
+
 # The full flow set (id, from, to, allowed, conditions or None, requires).
 FULL_FLOWS = [
     ("FLOW-INGRESS-001", "user", "dlp_gateway", True, None, ["classification", "policy_eval"]),
