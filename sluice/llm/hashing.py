@@ -120,3 +120,11 @@ def shingles(words: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tupl
         joined = np.append(own * _MULTIPLIERS[: len(own)], np.uint64(len(own)))
         out[offsets[r]] = mix(joined.sum(dtype=np.uint64, keepdims=True))[0]
     return out, offsets
+
+
+def window_hashes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each start; equal bytes have equal hashes wherever they stand."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * _power_table(_BASE, len(data))[: len(data)], dtype=np.uint64)))
+    return mix((sums[starts + size] - sums[starts]) * _power_table(_INVERSE, len(data))[starts])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import codes, minmax, packing, warc
+from sluice.llm import codes, fingerprints, minmax, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,3 +58,10 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_min_max_dedup")
 def op10_min_max_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minmax.link_classes(table(spark, folder, "documents"))
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    compared = fingerprints.compare_edits(fingerprints.with_next(docs), fingerprints.entropy_ranks(docs))
+    return compared.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
