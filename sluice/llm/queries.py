@@ -7,7 +7,7 @@ from collections.abc import Callable
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import codes, fingerprints, minmax, packing, warc
+from sluice.llm import codes, fingerprints, html, minmax, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,9 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     compared = fingerprints.compare_edits(fingerprints.with_next(docs), fingerprints.entropy_ranks(docs))
     return compared.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
+@query("op8_main_text")
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html.extract(pages, html.fit(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
