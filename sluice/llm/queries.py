@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from hashlib import sha256
 
+import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import codes, fingerprints, html, minmax, packing, warc
+from sluice.llm import chat, codes, fingerprints, html, minmax, packing, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,3 +73,46 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return html.extract(pages, html.fit(pages)).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+ODD_TURNS = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
+
+
+@query(
+    "op1_chat_format",
+    r"""
+    WITH rows AS (
+        SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    escaped AS (
+        SELECT *, replace(replace(replace(text, '\', '\\'), '<turn:', '\<turn:'), '</turn>', '\</turn>') AS body,
+            replace(replace(replace(role, '\', '\\'), '>', '\>'), chr(10), '\' || chr(10)) AS head FROM rows)
+    SELECT conv_id, COUNT(*)::BIGINT AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        COALESCE(SUM(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        SUM(length(head) + length(body) + 17)::BIGINT AS formatted_chars
+    FROM escaped GROUP BY conv_id
+    """,
+)
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_TURNS, turns.schema)
+    made = chat.format_best(chat.linear(turns.unionByName(odd)))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                whole = row["formatted"]
+                back = chat.parse_turns(whole)
+                learned = "".join(chat.unescape(whole[s["start"] : s["start"] + s["length"]]) for s in row["loss_spans"])
+                every = "".join(f"{role}\n{text}\n" for role, text in back)
+                rows.append((row["tree_id"], len(back), sha256(every.encode()).hexdigest(), len(learned), sha256(learned.encode()).hexdigest(), len(whole)))
+            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+
+    kind = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return made.select("tree_id", "formatted", "loss_spans").mapInArrow(digests, kind)
