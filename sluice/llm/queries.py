@@ -9,7 +9,8 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import chat, codes, fingerprints, html, minmax, packing, warc
+from sluice.llm import chat, codes, fingerprints, html, minmax, packing, quality, toxicity, warc
+from sluice.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -116,3 +117,19 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
     kind = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return made.select("tree_id", "formatted", "loss_spans").mapInArrow(digests, kind)
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return _judged(quality.scored(docs, quality.fit(docs, table(spark, folder, "labels"))), quality.THRESHOLD)
+
+
+@query("op6_toxicity_grammar")
+def op6_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return _judged(toxicity.scored(docs, toxicity.fit(docs, table(spark, folder, "labels"))), toxicity.THRESHOLD)
+
+
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
