@@ -1,26 +1,56 @@
-"""The training-data pipeline: near-duplicate removal and packing over documents."""
+"""The training-data pipeline over ``documents``: five stages, each on all that the one before it kept."""
 
 from __future__ import annotations
 
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import files, minmax, packing
+from sluice.llm import decontaminate, files, minmax, packing, quality, toxicity
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar does not reject."""
+    scored = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select(docs.columns)
+
+
+def low_quality_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules do not reject."""
+    scored = quality.scored(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
     return minmax.deduplicate(docs)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left, as pieces of token sequences."""
     return packing.pack(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("packing", pack)]
-ORACLE_SQL = None  # classifiers, near-duplicate classes and packing have no SQL; tests compare them with plain versions
+STAGES = [
+    ("toxicity", toxic_out),
+    ("quality", low_quality_out),
+    ("near_duplicates", near_duplicates_out),
+    ("decontamination", benchmark_out),
+    ("packing", packed),
+]
+ORACLE_SQL = None  # fitted classifiers, near-duplicate classes and token ids have no SQL; tests use plain versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = files.written(stage(spark, docs, sf_dir), name)
+        docs = files.written(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

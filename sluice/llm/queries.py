@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import chat, codes, fingerprints, html, minmax, packing, quality, toxicity, warc
+from sluice.llm import chat, codes, decontaminate, fingerprints, html, minmax, packing, quality, toxicity, warc
 from sluice.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,8 @@ def op6_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
 
 def _judged(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
