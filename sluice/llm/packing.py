@@ -68,11 +68,14 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return found + [[] for _ in range(k - len(found))]
 
 
-def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
-    """Near-equal subsets with sums within capacity; every size must be."""
+def windows(sizes: list[int], capacity: int = CAPACITY, extra: int = 0) -> list[list[int]]:
+    """Near-equal subsets with sums within capacity; every size must be.
+
+    The count starts ``extra`` above the least that could do, and rises while a window is above capacity.
+    """
     if not sizes:
         return []
-    k = -(-sum(sizes) // capacity)
+    k = -(-sum(sizes) // capacity) + extra
     while True:
         found = differencing(sizes, k)
         over = sum(max(0, sum(sizes[i] for i in w) - capacity) for w in found)
@@ -91,10 +94,15 @@ def _pack(capacity: int, max_piece: int, block_pieces: int, path: str, end_id: i
         rows: list[tuple] = []
         loose: list[tuple] = []
         held = 0
+        risen = 0.0  # windows that the last full block needed beyond the least, as a share of it
 
         def close_block():
-            nonlocal sequence
-            for members in windows([piece[2] for piece in loose], capacity):
+            nonlocal sequence, risen
+            sizes = [piece[2] for piece in loose]
+            least = -(-sum(sizes) // capacity)
+            found = windows(sizes, capacity, max(0, int(risen * least) - 1))
+            risen = len(found) / least - 1 if least else 0.0
+            for members in found:
                 at = 0
                 for i in sorted(members):
                     key, start, length, total, ids = loose[i]
