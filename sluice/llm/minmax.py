@@ -8,8 +8,9 @@ bucket are compared on their full sets, and links are joined into classes.
 At the least similarity of 0.75, a band of 5 values agrees with probability 0.237 and one of 40 bands with
 1 - 2e-5. Buckets are not cut: a large bucket is first compared with one member of each round's choice (a
 star), which joins copies without their pairs. What then still lies in different classes within a bucket
-is compared by signature inside the join, which gives out pairs that agree in LEAST_AGREE of the 2n values:
-at similarity 0.75 all but two in a million pairs do. Those are compared on their full sets.
+is compared inside the join, which gives out links alone: first by signature, which agrees in LEAST_AGREE of
+the 2n values for all but a few in a million pairs of similarity 0.75, then on the full sets, and only in the
+first band that a pair has in common.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ PERCENT = 75
 ROWS = 5
 PERMUTATIONS = 100
 STARS = 2
-LEAST_AGREE = 120
-SKETCH = 2 * PERMUTATIONS // 8  # longs that hold one byte of each value
+LEAST_AGREE = 125  # of the values' sketches; four bits also agree by chance
+SKETCH = -(-2 * PERMUTATIONS // 16)  # longs that hold four bits of each value
 
 _rng = np.random.default_rng(75)
 _PERMUTE = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,21 +64,31 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(signature: np.ndarray) -> np.ndarray:
-    """One byte of every value, eight to a 64-bit word: rows x SKETCH."""
-    return np.ascontiguousarray((signature >> np.uint64(20)).astype(np.uint8)).view(np.int64)
+    """Four bits of every value, sixteen to a 64-bit word, with zeros at the end: rows x SKETCH."""
+    bits = np.zeros((len(signature), 16 * SKETCH), dtype=np.uint8)
+    bits[:, : signature.shape[1]] = (signature >> np.uint64(20)) & np.uint64(15)
+    return np.ascontiguousarray(bits[:, 0::2] | (bits[:, 1::2] << 4)).view(np.int64)
 
 
 def agree(left: str, right: str) -> Column:
-    """In how many values two sketches agree: 2 * PERMUTATIONS less the bytes in which they differ."""
+    """In how many values two sketches agree: 2 * PERMUTATIONS less the groups of four bits that differ."""
     differ = F.lit(0)
     for k in range(SKETCH):
         x = F.col(left)[k].bitwiseXOR(F.col(right)[k])
-        for step in (4, 2, 1):  # the lowest bit of each byte becomes the union of its eight
+        for step in (2, 1):  # the lowest bit of each group becomes the union of its four
             x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
     return F.lit(2 * PERMUTATIONS) - differ
 
 
+def first_common(band: str, left: str, right: str) -> Column:
+    """Whether two lists of band keys agree in no band before this one."""
+    earlier = F.lit(False)
+    for k in range(2 * PERMUTATIONS // ROWS - 1):
+        earlier = earlier | ((F.col(band) > k) & (F.col(left)[k] == F.col(right)[k]))
+    return ~earlier
+
+
 def _set_ids(sets: np.ndarray, offsets: np.ndarray) -> list[str]:
     """128 bits of each set as hex: equal sets have equal ids."""
     first = np.concatenate(([np.uint64(0)], np.cumsum(hashing.mix(sets ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
@@ -113,18 +124,16 @@ def _lists(values: np.ndarray, present: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.reshape(-1)))
 
 
+def _close(left: str, right: str, percent: int) -> Column:
+    """Whether two sets have ``percent`` of their union in common."""
+    both = F.size(F.array_intersect(left, right))
+    return both * (100 + percent) >= (F.size(left) + F.size(right)) * percent
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs of units, those whose full sets are alike enough: units u, v and their first ids."""
-    a = sets.select(F.col("unit").alias("u"), F.col("rep").alias("a"), F.col("members").alias("left_set"))
-    b = sets.select(F.col("unit").alias("v"), F.col("rep").alias("b"), F.col("members").alias("right_set"))
-    both = F.size(F.array_intersect("left_set", "right_set"))
-    return (
-        pairs.join(a, "u")
-        .join(b, "v")
-        .select("u", "v", "a", "b", both.alias("both"), (F.size("left_set") + F.size("right_set")).alias("sum"))
-        .where(100 * F.col("both") >= percent * (F.col("sum") - F.col("both")))
-        .select("u", "v", "a", "b")
-    )
+    """Of the pairs of units, the first ids of those whose full sets are close."""
+    left, right = sets.select("unit", "rep", "members").toDF("u", "a", "x"), sets.select("unit", "rep", "members").toDF("v", "b", "y")
+    return pairs.join(left, "u").join(right, "v").where(_close("x", "y", percent)).select("a", "b")
 
 
 def _named(pairs: DataFrame) -> DataFrame:
@@ -146,7 +155,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     units = files.written(units, "units")
-    keyed = units.select("unit", "rep", "n", F.explode("bands").alias("key"))
+    keyed = units.select("unit", "rep", "n", F.posexplode("bands").alias("band", "key"))
     full = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     shared = files.written(keyed.join(full, "key"), "buckets")
 
@@ -159,37 +168,37 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     copies = named.join(units.select("unit", "rep"), "unit").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     links = files.written(copies, "links")
     tested = None
-    drawn = files.written(units.join(active.select("unit"), "unit", "left_semi").select("unit", "sketch"), "sketches")
+    drawn = files.written(units.join(active.select("unit"), "unit", "left_semi").select("unit", "sketch", "bands"), "sketches")
     sizes = f"own <> other AND 100 * least(n, m) >= {percent} * greatest(n, m)"
     labels = components(links)
     rounds = [("star", k) for k in range(STARS)] + [("rest", 0)]
     for how, k in rounds:
         placed = shared.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left").select("*", F.coalesce("label", "rep").alias("own"))
         spread = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("key")
-        open_rows = files.written(placed.join(spread, "key").select("key", "unit", "n", "own"), "open")
+        open_rows = files.written(placed.join(spread, "key").select("key", "band", "unit", "n", "own"), "open")
         if how == "star":
             hub = open_rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("unit", F.lit(k)).alias("h"), "unit", "n", "own")).alias("hub"))
             pairs = open_rows.join(hub, "key").select("unit", "n", "own", "hub.unit", "hub.n", "hub.own").toDF("x", "n", "own", "y", "m", "other")
             pairs = _named(pairs.where(sizes))
             for name in ("u", "v"):
-                pairs = pairs.join(drawn.toDF(name, f"{name}_sketch"), name)
+                pairs = pairs.join(drawn.select("unit", "sketch").toDF(name, f"{name}_sketch"), name)
             pairs = pairs.where(agree("u_sketch", "v_sketch") >= LEAST_AGREE).select("u", "v")
+            if tested is not None:
+                pairs = pairs.join(tested, ["u", "v"], "left_anti")
+            pairs = files.written(pairs, "pairs")
+            tested = pairs if tested is None else tested.union(pairs)
+            found = files.written(_verified(pairs, sets, percent), "found")
         else:
-            left = open_rows.join(drawn, "unit").toDF("x", "key", "n", "own", "x_sketch")
-            right = left.toDF("y", "key2", "m", "other", "y_sketch")
+            whole = drawn.join(sets, "unit")
+            left = open_rows.join(whole, "unit").select("unit", "rep", "key", "band", "n", "own", "sketch", "bands", "members")
+            left = left.toDF("x", "a", "key", "band", "n", "own", "x_sketch", "x_bands", "x_set")
+            right = left.drop("band").toDF("y", "b", "key2", "m", "other", "y_sketch", "y_bands", "y_set")
             alike = (F.col("key") == F.col("key2")) & (F.col("x") < F.col("y")) & F.expr(sizes)
-            pairs = _named(left.join(right, alike & (agree("x_sketch", "y_sketch") >= LEAST_AGREE)))
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = files.written(pairs, "pairs")
-        if pairs.isEmpty():
-            if how == "star":
-                continue
-            break
-        tested = pairs if tested is None else tested.union(pairs)
-        found = files.written(_verified(pairs, sets, percent), "found")
-        links = links.union(found.select("a", "b"))
-        labels = components(links)
+            alike = alike & first_common("band", "x_bands", "y_bands") & (agree("x_sketch", "y_sketch") >= LEAST_AGREE)
+            found = files.written(left.join(right, alike & _close("x_set", "y_set", percent)).select("a", "b"), "found")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
 
     return signed.select("doc_id", "n_shingles").join(
         labels.select(F.col("id").alias("doc_id"), "label"), "doc_id", "left"
