@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.functions import movement as M
 from sluice.functions.labels import label_from_hits, state_label_from_hits
 from sluice.functions.patterns import SPACE_CHARS
-from sluice.operators.tables import broadcast_if_small, fixed_table
+from sluice.operators.tables import fixed_table
 from sluice.plans import fixed_values as V
 
 FLOW_SCHEMA = (
@@ -63,9 +63,13 @@ def flows_by_pair(flows: DataFrame) -> DataFrame:
 def judge(
     moves: DataFrame, flows: DataFrame, *, mode: str = "first",
     src: str = "src", dst: str = "dst", label: str = "label", action: str = "action", redacted: str = "redacted",
+    refusal: Column | str | None = None,
 ) -> DataFrame:
     """Append ``allow`` and ``reason``.
 
+    ``refusal`` is a reason not to trust the policy (``readers.flow_refusal``). Where it is not null every
+    move is denied for it before any rule is read, the one to the model too.
+
     ``mode='first'``: the first flow of the pair decides and absent state takes its default.
     ``mode='any'``: some allowed flow must pass; an absent action or redaction violates, and a
     flow with no condition list never allows.
@@ -75,12 +79,14 @@ def judge(
     pairs = flows_by_pair(flows)
     if mode == "first":
         pairs = pairs.withColumn("_flows", F.get("_flows", F.lit(0)))
-    pairs = broadcast_if_small(pairs)
     joined = moves.join(pairs, (F.col(src) == F.col("_src")) & (F.col(dst) == F.col("_dst")), "left")
     to_model = F.coalesce((F.col(src) == "rag_orchestrator") & (F.col(dst) == "llm"), F.lit(False))
     columns = F.col(label), F.col(action), F.col(redacted)
     build = _first_verdict if mode == "first" else _any_verdict
     judged = build(joined, to_model, F.col("_flows"), *columns)
+    if refusal is not None:
+        why = F.lit(refusal) if isinstance(refusal, str) else refusal
+        judged = judged.withColumn("_verdict", F.when(why.isNotNull(), _verdict(False, why)).otherwise(F.col("_verdict")))
     return judged.select(*moves.columns, F.col("_verdict.allow").alias("allow"), F.col("_verdict.reason").alias("reason"))
 
 
@@ -164,11 +170,9 @@ def _any_verdict(joined, to_model, flows, label, action, redacted) -> DataFrame:
 
 def with_requirements(moves: DataFrame, flows: DataFrame, *, src: str = "src", dst: str = "dst", done: str = "done") -> DataFrame:
     """One row per move and flow of its pair: are the controls the flow requires all done?"""
-    rules = broadcast_if_small(
-        flows.select(
-            F.col("from").alias("_src"), F.col("to").alias("_dst"), F.col("id").alias("flow_id"),
-            F.coalesce("requires", F.array().cast("array<string>")).alias("_requires"),
-        )
+    rules = flows.select(
+        F.col("from").alias("_src"), F.col("to").alias("_dst"), F.col("id").alias("flow_id"),
+        F.coalesce("requires", F.array().cast("array<string>")).alias("_requires"),
     )
     joined = moves.join(rules, (F.col(src) == F.col("_src")) & (F.col(dst) == F.col("_dst")))
     have = F.coalesce(F.col(done), F.array().cast("array<string>"))

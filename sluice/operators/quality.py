@@ -82,10 +82,14 @@ def drift(df: DataFrame, period: str, bin_column: str, bins: list, baseline) ->
     """``period, n, psi``: population stability of each period against the baseline period.
 
     All bins of a period are counted side by side in one aggregate, so nothing is joined bin by
-    bin. Rows in none of the bins are left out of both sides; an empty bin reads as a small share.
+    bin. Rows in none of the bins, null among them, are one last bin: a value that the baseline
+    lacks is drift. An empty bin reads as a small share.
     """
     counted = df.groupBy(F.col(period).alias("period")).agg(
-        F.array(*[F.count_if(F.col(bin_column) == b) for b in bins]).alias("_counts")
+        F.array(
+            *[F.count_if(F.col(bin_column) == b) for b in bins],
+            F.count_if(~F.coalesce(F.col(bin_column).isin(bins), F.lit(False))),
+        ).alias("_counts")
     )
     base = counted.where(F.col("period") == baseline).select("_counts").scalar()
 

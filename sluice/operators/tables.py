@@ -1,4 +1,4 @@
-"""Small rule tables as DataFrames, and size-checked broadcasting."""
+"""Rule tables spelled in the program as DataFrames."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
 
 def fixed_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Rule rows known to the program. The size is that of the program text, so it is broadcast."""
@@ -33,11 +31,3 @@ def _split_columns(schema: str) -> list[str]:
 def _struct_fields(schema: str) -> str:
     return ",".join(":".join(part.strip().split(" ", 1)) for part in _split_columns(schema))
 
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a rule table only after counting that it is within ``rows``.
-
-    The count stops at the bound. A larger table is returned as it is: Spark then joins by
-    shuffle, and adaptive execution splits skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -197,13 +197,13 @@ def plan_checks(spark, folder):
 def artifact_paths(spark, folder):
     """Required paths from parts, inventory from the line items shipped in bulk."""
     required = table(spark, folder, "part").select(F.expr("concat('artifact/', p_partkey)").alias("path"))
-    held = table(spark, folder, "lineitem").where("l_quantity > 45").select(F.expr("concat('artifact/', l_partkey)").alias("path"))
+    held = table(spark, folder, "lineitem").where("l_partkey % 7 <> 0").select(F.expr("concat('artifact/', l_partkey)").alias("path"))
     return required, held
 
 
 @query(
     "missing_artifacts",
-    """SELECT 'artifact/' || p_partkey AS path FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)""",
+    """SELECT 'artifact/' || p_partkey AS path FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey % 7 <> 0)""",
 )
 def missing_artifacts(spark, folder):
     return P.missing_artifacts(*artifact_paths(spark, folder))
@@ -212,7 +212,7 @@ def missing_artifacts(spark, folder):
 @query(
     "artifact_check",
     f"""{_RESOURCES_SQL} SELECT plan_id, address, 'CKV_DLP_006' AS check_id, CASE WHEN EXISTS (SELECT 1 FROM part
-      WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)) THEN 'FAILED' ELSE 'PASSED' END AS result
+      WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_partkey % 7 <> 0)) THEN 'FAILED' ELSE 'PASSED' END AS result
     FROM r WHERE type = 'aws_lambda_function'""",
 )
 def artifact_check(spark, folder):

@@ -106,12 +106,12 @@ def nested_links(spark, folder):
 @query(
     "dangling_artifacts",
     f"""WITH {_CURRENT_SQL} SELECT control_id, tool_id AS path FROM own
-    WHERE kind = 'evidence_sources' AND tool_id NOT IN (SELECT 'artifact/' || l_partkey FROM lineitem WHERE l_quantity > 45)""",
+    WHERE kind = 'evidence_sources' AND tool_id NOT IN (SELECT 'artifact/' || l_partkey FROM lineitem WHERE l_partkey % 7 <> 0)""",
 )
 def dangling_artifacts(spark, folder):
     current = E.current_controls(controls(spark, folder))
     named = E.catalog_links(current).where("kind = 'evidence_sources'")
-    held = table(spark, folder, "lineitem").where("l_quantity > 45").select(F.expr("concat('artifact/', l_partkey)").alias("path"))
+    held = table(spark, folder, "lineitem").where("l_partkey % 7 <> 0").select(F.expr("concat('artifact/', l_partkey)").alias("path"))
     return E.dangling(named, held)
 
 

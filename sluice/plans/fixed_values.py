@@ -48,6 +48,9 @@ DEFAULT_FLOWS = [
 ]
 
 # Reason texts of moves that no flow decides.
+POLICY_MISSING = "policy files missing: flows.json not found"
+POLICY_UNREADABLE = "failed to load flows.json: not JSON"
+POLICY_NO_LIST = "invalid flows.json structure: 'flows' must be a list"
 REASON_NO_FLOW = "no matching flow definition in policy"
 REASON_NO_POLICY = "policy files missing: flows.json not found"
 

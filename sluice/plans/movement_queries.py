@@ -9,6 +9,7 @@ from sluice.functions import movement as M
 from sluice.operators import moves
 from sluice.plans import fixed_values as V
 from sluice.plans import triggers as T
+from sluice.sources.readers import policy_refusal
 from sluice.plans.registry import query, table
 from sluice.plans.text_queries import SQL_STATE, scanned_documents
 
@@ -109,6 +110,19 @@ def hop_first_match(spark, folder):
     return judged.select("doc_id", "src", "dst", "allow", "reason")
 
 
+@query(
+    "hop_no_policy",
+    _MOVES_SQL + f"""
+    SELECT doc_id, src, dst, false AS allow, CASE doc_id % 3 WHEN 0 THEN '{V.POLICY_MISSING}' WHEN 1 THEN '{V.POLICY_UNREADABLE}'
+      ELSE '{V.POLICY_NO_LIST.replace("'", "''")}' END AS reason FROM m""",
+)
+def hop_no_policy(spark, folder):
+    """Every move is denied, that to the model too, where the policy text is missing, torn or of another form."""
+    text = F.expr("""CASE doc_id % 3 WHEN 1 THEN '{"flows": [' WHEN 2 THEN '{"flows": 3}' END""")
+    judged = moves.judge(document_moves(spark, folder), moves.flow_table(spark, MIXED_FLOWS), refusal=policy_refusal(text))
+    return judged.select("doc_id", "src", "dst", "allow", "reason")
+
+
 @query(
     "hop_any_mode",
     _MOVES_SQL + f""",

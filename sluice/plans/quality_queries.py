@@ -74,18 +74,22 @@ def training_scan(spark, folder):
     return marked.join(table(spark, folder, "labels"), "doc_id").select("doc_id", "quality", "types", "trusted")
 
 
+# From the second week on there is a type that the baseline week lacks.
+_LATER_TYPE = "CASE WHEN ts >= TIMESTAMP '2024-01-08 00:00:00' AND event_id % 7 = 0 THEN 'refund' ELSE event_type END"
 _WEEK = "CAST(floor((epoch(ts) - 1704067200) / 604800) AS INTEGER)"
 
 
 def weekly(spark, folder):
     week = F.expr("cast(floor(datediff(to_date(ts), date'2024-01-01') / 7) as int)")
-    return table(spark, folder, "events").select(week.alias("week"), "value", "event_type")
+    return table(spark, folder, "events").select(week.alias("week"), "value", F.expr(_LATER_TYPE).alias("event_type"))
 
 
 def _psi_sql(bin_sql: str, bins: str, extra: str = "") -> str:
-    return f"""WITH e AS (SELECT {_WEEK} AS week, value, event_type FROM events){extra},
-      b AS (SELECT week, {bin_sql} AS bin FROM e{', edge' if extra else ''}),
-      c AS (SELECT w.week, u.bin, count(b.bin) AS n FROM (SELECT DISTINCT week FROM e) w CROSS JOIN {bins} u(bin)
+    return f"""WITH e AS (SELECT {_WEEK} AS week, value, {_LATER_TYPE} AS event_type FROM events){extra},
+      u AS (SELECT bin::VARCHAR AS bin FROM {bins} k(bin) UNION ALL SELECT 'none of these'),
+      b AS (SELECT week, CASE WHEN x IN (SELECT bin FROM u) THEN x ELSE 'none of these' END AS bin
+        FROM (SELECT week, ({bin_sql})::VARCHAR AS x FROM e{', edge' if extra else ''})),
+      c AS (SELECT w.week, u.bin, count(b.bin) AS n FROM (SELECT DISTINCT week FROM e) w CROSS JOIN u
         LEFT JOIN b ON b.week = w.week AND b.bin = u.bin GROUP BY 1, 2),
       p AS (SELECT week, bin, n, greatest(n / sum(n) OVER (PARTITION BY week), 0.0001) AS s FROM c)
     SELECT p.week AS period, sum(p.n)::BIGINT AS n, round(sum((p.s - q.s) * ln(p.s / q.s)), 6) AS psi

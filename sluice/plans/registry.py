@@ -30,16 +30,5 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A shared table. One that comes in fewer files than there are cores is spread over them.
-
-    A large table has files for all cores and is read as it is, without this shuffle.
-    """
-    rows = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD and len(rows.inputFiles()) < cores:
-        return rows.repartition(cores, rows.columns[0])
-    return rows
-
-
-# Tables whose rows are costly to work on: long texts, or JSON built per row.
-SPREAD = {"documents", "conversations", "lineitem"}
+    """A shared table, read as it is."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

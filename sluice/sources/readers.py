@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.patterns import SPACE_CHARS
 from sluice.functions.rows import keep_where
 from sluice.operators.evidence import CONTROL_SCHEMA
 from sluice.operators.moves import FLOW_SCHEMA
+from sluice.plans import fixed_values as V
 
 DEFAULT_PREFIXES = "clean/,sensitive/"
 
@@ -92,7 +93,8 @@ def read_frame(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_flows(spark: SparkSession, path: str) -> DataFrame:
     """Flow rules of a ``{"flows": [...]}`` file, numbered in file order.
 
-    A missing file, or one whose ``flows`` is no list, gives no rows, so every move is denied.
+    A missing or malformed file gives no rows. ``flow_refusal`` says so: hand both to ``moves.judge``,
+    which then denies every move.
     """
     columns = FLOW_SCHEMA.split(", ")[1:]
     fields = ",".join(column.replace(" ", ":", 1) for column in columns)
@@ -104,6 +106,24 @@ def read_flows(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("ordinal", "_f.*")
 
 
+def policy_refusal(text: Column) -> Column:
+    """Why a policy text cannot be used, or null. A text without ``flows`` is a policy without rules."""
+    flows = F.get_json_object(text, "$.flows")
+    return (
+        F.when(text.isNull(), V.POLICY_MISSING)
+        .when(F.try_parse_json(text).isNull(), V.POLICY_UNREADABLE)
+        .when(flows.isNotNull() & ~F.ltrim(flows).startswith("["), V.POLICY_NO_LIST)
+    )
+
+
+def flow_refusal(spark: SparkSession, path: str) -> str | None:
+    """``policy_refusal`` of the file at ``path``: one row, read when the job is planned."""
+    files = _existing(spark, path)
+    if files is None:
+        return V.POLICY_MISSING
+    return files.select(policy_refusal(F.col("value"))).first()[0]
+
+
 def read_catalog(spark: SparkSession, path: str, schema: str = CONTROL_SCHEMA) -> DataFrame:
     """A catalog table as JSON lines, with a declared schema."""
     return spark.read.schema(schema).json(path)

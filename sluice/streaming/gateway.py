@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions import detect
-from sluice.functions.rows import keep_where
 from sluice.operators import gateway, moves
 from sluice.session import shared_folder
 
@@ -22,9 +21,17 @@ def prompt_verdicts(prompts: DataFrame, *keys: str, text: str = "text") -> DataF
 
 
 def ingress(requests: DataFrame, *keys: str, body: str = "body") -> DataFrame:
-    """Outcome of every valid request body."""
-    parsed = keep_where(gateway.parse_requests(requests, body), F.col("status") == 200)
-    return gateway.ingress(parsed.drop("status", "error"), *keys)
+    """Outcome of every request body; a refused one keeps its status 400 and error, with no action."""
+    parsed = gateway.parse_requests(requests, body).withColumnsRenamed({"status": "_status", "error": "_error"})
+    judged = gateway.ingress(parsed, *keys)
+    good = F.col("_status") == 200
+    return judged.withColumns(
+        {
+            "status": F.when(good, F.col("status")).otherwise(F.col("_status")),
+            "error": F.when(good, F.col("error")).otherwise(F.col("_error")),
+            **{name: F.when(good, F.col(name)) for name in ("action", "forwarded_prompt", "masked_prompt")},
+        }
+    ).drop("_status", "_error")
 
 
 def write_available(

@@ -72,9 +72,12 @@ def test_flow_file_round_trip(spark, tmp_path):
     out = moves.judge(rows, readers.read_flows(spark, str(path))).collect()
     assert [(r["allow"], r["reason"]) for r in out] == [(a, t) for _, a, t in CASES]
     (tmp_path / "bad.json").write_text('{"flows": 3}')
-    for missing in ("bad.json", "absent.json"):
-        out = moves.judge(rows, readers.read_flows(spark, str(tmp_path / missing))).collect()
-        assert [r["allow"] for r in out if r["dst"] != "llm"] == [False] * 6
+    (tmp_path / "torn.json").write_text('{"flows": [')
+    for name, why in (("bad.json", V.POLICY_NO_LIST), ("absent.json", V.POLICY_MISSING), ("torn.json", V.POLICY_UNREADABLE)):
+        file = str(tmp_path / name)
+        out = moves.judge(rows, readers.read_flows(spark, file), refusal=readers.flow_refusal(spark, file)).collect()
+        assert {(r["allow"], r["reason"]) for r in out} == {(False, why)}
+    assert readers.flow_refusal(spark, str(path)) is None
 
 
 def test_any_mode_takes_any_passing_flow(spark):
@@ -98,11 +101,3 @@ def test_every_prompt_has_three_hops_and_blocked_means_a_denied_hop(spark):
         ]
         assert verdicts[i]["blocked"] == any(not r["allow"] for r in mine)
     assert [verdicts[i]["blocked"] for i in range(5)] == [False, True, True, False, False]
-
-
-def test_large_rule_table_is_joined_without_broadcast(spark):
-    from sluice.operators.tables import broadcast_if_small
-
-    df = spark.range(50)
-    assert "broadcast" in broadcast_if_small(df, 50)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in broadcast_if_small(df, 49)._jdf.queryExecution().logical().toString()

@@ -148,8 +148,10 @@ def test_request_and_log_streams(spark, tmp_path):
     (folder / "a.txt").write_text('{"prompt":"SSN 123-45-6789","role":"dlp-admin","user_id":"u"}\n{bad\n{"prompt":""}\n')
     out = streams.ingress(spark.readStream.text(str(folder)).withColumnRenamed("value", "body"), "user_id")
     seen = []
-    streams.for_each_batch(out, lambda b: seen.extend(b.select("action", "masked_prompt").collect()), "x", checkpoint=str(tmp_path / "c1")).awaitTermination()
-    assert [tuple(r) for r in seen] == [("mask", "SSN [SSN]")]
+    streams.for_each_batch(out, lambda b: seen.extend(b.select("status", "action", "masked_prompt", "error").collect()), "x", checkpoint=str(tmp_path / "c1")).awaitTermination()
+    assert sorted(tuple(r)[:3] for r in seen if r["action"]) == [(200, "mask", "SSN [SSN]")]
+    refused = [r for r in seen if r["action"] is None]
+    assert [(r["status"], r["masked_prompt"], r["error"] is not None) for r in refused] == [(400, None, True)] * 2
     logs = readers.stream_log(spark, str(folder)).select(F.try_variant_get("record", "$.prompt", "string").alias("p"))
     streams.write_available(logs, str(tmp_path / "logs"), "l", checkpoint=str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "logs")).count() == 2
