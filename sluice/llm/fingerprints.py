@@ -26,6 +26,7 @@ HASHES = 5
 LEVELS = 256
 LEAST_ENTROPY = 1.0  # bits; flatter windows (runs, padding) tell nothing
 NEVER = np.int64(1) << 62
+PIECE = 1 << 19  # bytes of text whose windows are looked at together, or one text
 
 _CLASS_LOW = np.where(np.arange(256) & 15 < 8, np.uint64(1) << (np.uint64(8) * (np.arange(256, dtype=np.uint64) & np.uint64(7))), np.uint64(0)).astype(np.uint64)
 _CLASS_HIGH = np.where(np.arange(256) & 15 >= 8, np.uint64(1) << (np.uint64(8) * (np.arange(256, dtype=np.uint64) & np.uint64(7))), np.uint64(0)).astype(np.uint64)
@@ -130,7 +131,7 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(LEVELS, dtype=np.int64)
-        for batch in files.chunks_of(batches, "text", hashing.SEGMENT):
+        for batch in files.chunks_of(batches, "text", PIECE):
             data, offsets = hashing.column_bytes(batch["text"])
             levels = entropy_levels(data)
             counts += np.bincount(levels[_inside(offsets, len(levels))], minlength=LEVELS)
@@ -152,7 +153,7 @@ def fingerprint(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in files.chunks_of(batches, "text", hashing.SEGMENT):
+        for batch in files.chunks_of(batches, "text", PIECE):
             made = digests(*hashing.column_bytes(batch["text"]), ranks)
             columns = [batch[n] for n in names[:-1]] + [pa.array([d.hex() for d in made], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -186,7 +187,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bucket = None
-        for batch in files.chunks_of(batches, "text"):
+        for batch in files.chunks_of(batches, "text", 1 << 21):
             out = []
             for number, late, doc, text in zip(*(batch[c].to_pylist() for c in ("bucket_no", "late", "doc_id", "text"))):
                 if held is not None and number == bucket:
@@ -209,7 +210,7 @@ def compare_edits(neighbours: DataFrame, ranks: np.ndarray) -> DataFrame:
     """Fingerprints of each text, its edited text and the next text, and their likeness."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in files.chunks_of(batches, "text", hashing.SEGMENT // 2):
+        for batch in files.chunks_of(batches, "text", PIECE):
             texts, following = batch["text"].to_pylist(), batch["next_text"].to_pylist()
             changed = [edited(a, b) for a, b in zip(texts, following)]
             # the next text of a row is mostly the text of the row after it
@@ -236,5 +237,5 @@ def compare_edits(neighbours: DataFrame, ranks: np.ndarray) -> DataFrame:
 
 
 def _parts(column: pa.Array) -> Iterator[pa.Array]:
-    for part in files.chunks_of([pa.RecordBatch.from_arrays([column], names=["t"])], "t", hashing.SEGMENT):
+    for part in files.chunks_of([pa.RecordBatch.from_arrays([column], names=["t"])], "t", PIECE):
         yield part["t"]
