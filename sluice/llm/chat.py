@@ -80,33 +80,18 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     table = files.written(one.select("node", "row.*"), "turns")
     ids = table.select(F.col("node").alias("known"))
     jumps = table.join(ids, F.col("has_parent") & (F.col("parent") == F.col("known")), "left").select(
-        "node", F.col("known").alias("up"), F.lit(1).alias("steps"), F.col("score").alias("sum")
+        "node", F.col("known").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("sum"),
+        F.when(F.col("known").isNull(), F.col("node")).alias("root"),
     )
-    levels = [files.written(jumps, "jumps")]
-    while not levels[-1].where("up IS NOT NULL").isEmpty():
-        if len(levels) > MAX_ROUNDS:
-            raise ValueError("some nodes reply to each other in a circle")
-        now = levels[-1]
-        above = now.toDF("up", "next", "more", "sum_above")
-        levels.append(
-            files.written(
-                now.join(above, "up", "left").select(
-                    "node", F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-                    (F.col("sum") + F.coalesce("sum_above", F.lit(0.0))).alias("sum"),
-                ),
-                "jumps",
-            )
-        )
-    whole = levels[-1].select("node", "steps", "sum")
-    inner = levels[0].where("up IS NOT NULL").select(F.col("up").alias("node")).distinct()
+    whole, levels = _jumps(files.written(jumps, "jumps"))
+    inner = levels[0].select(F.col("up").alias("node")).distinct() if levels else whole.select("node").limit(0)
     leaves = whole.join(inner, "node", "left_anti")
-    rooted = _roots(leaves.select("node", "steps", "sum"), levels)
     best = Window.partitionBy("root").orderBy((F.col("sum") / F.col("steps")).desc(), "node")
-    ranked = rooted.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    ranked = leaves.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     marked = files.written(ranked.select(F.col("node").alias("path"), "rank", "node"), "marked")
-    for level in reversed(levels[:-1]):
-        up = level.where("up IS NOT NULL").select("node", "up")
-        marked = files.written(marked.unionByName(marked.join(up, "node").select("path", "rank", F.col("up").alias("node"))), "marked")
+    for level in reversed(levels):
+        further = marked.join(level.select("node", "up"), "node").select("path", "rank", F.col("up").alias("node"))
+        marked = files.written(marked.unionByName(further), "marked")
     return (
         marked.join(whole.select("node", F.col("steps").alias("depth")), "node")
         .join(table.select("node", "tree_id", "role", "text"), "node")
@@ -114,13 +99,25 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     )
 
 
-def _roots(leaves: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """The root of each leaf: the longest jumps first, each taken where it does not pass the root."""
-    found = leaves.withColumn("root", F.col("node"))
-    for level in reversed(levels[:-1]):
-        up = level.where("up IS NOT NULL").select(F.col("node").alias("root"), "up")
-        found = found.join(up, "root", "left").select("node", "steps", "sum", F.coalesce("up", "root").alias("root"))
-    return files.written(found, "leaves")
+def _jumps(current: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """All nodes with the length, sum and root of their path, and the jumps of each round.
+
+    A node that has met its root is set aside: later rounds join the nodes below it only, so the rounds
+    that one long conversation needs cost nothing for the others.
+    """
+    done, levels = current.where("up IS NULL"), []
+    while not (rest := current.where("up IS NOT NULL")).isEmpty():
+        if len(levels) >= MAX_ROUNDS:
+            raise ValueError("some nodes reply to each other in a circle")
+        levels.append(rest)
+        above = done.unionByName(rest).toDF("up", "next", "more", "sum_above", "top")
+        joined = rest.join(above, "up").select(
+            "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("sum") + F.col("sum_above")).alias("sum"), F.col("top").alias("root"),
+        )
+        current = files.written(joined, "jumps")
+        done = done.unionByName(current.where("up IS NULL"))
+    return done, levels
 
 
 def format_paths(paths: DataFrame, learned: str = "assistant") -> DataFrame:

@@ -115,6 +115,19 @@ def test_chat(spark):
     assert {r.tree_id: chat.parse_turns(r.formatted) for r in rows} == {"t": [("user", "q"), ("assistant", "")], None: [("", "x")]}
 
 
+def test_chat_paths(spark):
+    """A chain of 21 turns beside short trees and a forked one; rows that reply in a circle have no root."""
+    chain = [("long", n, n - 1 if n else None, "user", f"t{n}", 1.0) for n in range(21)]
+    fork = [("fork", 0, None, "user", "q", 0.0), ("fork", 1, 0, "assistant", "a", 0.2), ("fork", 2, 0, "assistant", "b", 0.2), ("fork", 3, 2, "user", "c", 0.9)]
+    schema = "tree_id string, node_id int, parent_id int, role string, text string, score double"
+    rows = chat.format_best(spark.createDataFrame([*chain, *fork, ("lost", 5, 4, "user", "z", None)], schema), top=2).collect()
+    texts = {(r.tree_id, r.rank): [t for _, t in chat.parse_turns(r.formatted)] for r in rows}
+    assert texts == {
+        ("long", 1): [f"t{n}" for n in range(21)], ("fork", 1): ["q", "b", "c"], ("fork", 2): ["q", "a"], ("lost", 1): ["z"],
+    }
+    assert chat.format_best(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_html():
     page = "<nav><a href='/'>menu</a></nav><article><h1>T &amp; x</h1><p>one<br>two  <b>three<p>four</article><footer>foot</footer><script>var a='</p>'</script>"
     weights = html.Weights({k: n for k, n in html.count_labels(page * 1).items()})
