@@ -107,15 +107,15 @@ def control_index(current: DataFrame, links: DataFrame) -> DataFrame:
 def nested_links(links: DataFrame, max_links: int = 1000) -> DataFrame:
     """Links as arrays for writing documents: ``control_id, part, links``.
 
-    A control with more than about ``max_links`` links is spread over several parts by a hash of
-    the link, so no task ever gathers an unbounded list.
+    Equal links are counted first and carry their number ``n``; what is left differs, so a hash of the
+    whole link spreads a control with more than about ``max_links`` of them over several parts and no
+    task gathers an unbounded list.
     """
-    sizes = links.groupBy("control_id").agg(F.ceil(F.count(F.lit(1)) / max_links).alias("_parts"))
-    placed = links.join(sizes, "control_id").withColumn(
-        "part", F.pmod(F.xxhash64("kind", "tool_id", "rule"), F.col("_parts")).cast("int")
-    )
-    link = F.struct("kind", "tool_id", "package", "rule", "description")
-    return placed.groupBy("control_id", "part").agg(F.sort_array(F.collect_list(link)).alias("links"))
+    columns = ["kind", "tool_id", "package", "rule", "description"]
+    once = links.groupBy("control_id", *columns).agg(F.count(F.lit(1)).alias("n"))
+    sizes = once.groupBy("control_id").agg(F.ceil(F.count(F.lit(1)) / max_links).alias("_parts"))
+    placed = once.join(sizes, "control_id").withColumn("part", F.pmod(F.xxhash64(*columns), F.col("_parts")).cast("int"))
+    return placed.groupBy("control_id", "part").agg(F.sort_array(F.collect_list(F.struct(*columns, "n"))).alias("links"))
 
 
 def dangling(links: DataFrame, inventory: DataFrame, path: str = "path") -> DataFrame:

@@ -30,30 +30,35 @@ def flow_table(spark: SparkSession, flows: list[M.Flow]) -> DataFrame:
     return fixed_table(spark, rows, FLOW_SCHEMA)
 
 
-def parsed_rules(conditions: Column) -> Column:
-    """Condition texts as structs ``raw, kind, items``; unknown forms get the kind ``other``."""
+def parsed_rules(conditions: Column, mode: str = "first") -> Column:
+    """Condition texts as structs ``raw, kind, items``; unknown forms get the kind ``other``.
+
+    The first-match mode trims a condition and drops blank items. The any-flow mode reads a condition as it
+    stands, so one with a leading space has an unknown form; it trims spaces from items and keeps blank ones.
+    """
+    loose = mode == "first"
 
     def one(text: Column) -> Column:
-        raw = F.trim(text, F.lit(SPACE_CHARS))
+        raw = F.trim(text, F.lit(SPACE_CHARS)) if loose else text
         inner = F.regexp_extract(raw, M.BRACKETED, 1)
-        items = F.transform(F.split(inner, ","), lambda i: F.trim(i, F.lit(SPACE_CHARS)))
+        items = F.transform(F.split(inner, ","), lambda i: F.trim(i, F.lit(SPACE_CHARS if loose else " ")))
         kind = (
             F.when(raw.startswith("classification_label not_in"), "label_not_in")
             .when(raw.startswith("policy_decision.action in"), "action_in")
             .when(raw == "redaction_applied == true", "redacted")
             .otherwise("other")
         )
-        return F.struct(raw.alias("raw"), kind.alias("kind"), F.array_remove(items, "").alias("items"))
+        return F.struct(raw.alias("raw"), kind.alias("kind"), (F.array_remove(items, "") if loose else items).alias("items"))
 
     return F.transform(conditions, one)
 
 
-def flows_by_pair(flows: DataFrame) -> DataFrame:
+def flows_by_pair(flows: DataFrame, mode: str = "first") -> DataFrame:
     """One row per ``(from, to)`` with its flows in file order."""
     flow = F.struct(
         "ordinal", F.coalesce("id", F.lit("<unknown>")).alias("id"),
         F.coalesce("allowed", F.lit(False)).alias("allowed"),
-        parsed_rules(F.col("conditions")).alias("rules"),
+        parsed_rules(F.col("conditions"), mode).alias("rules"),
     )
     return flows.groupBy(F.col("from").alias("_src"), F.col("to").alias("_dst")).agg(
         F.sort_array(F.collect_list(flow)).alias("_flows")
@@ -76,7 +81,7 @@ def judge(
     """
     if mode not in ("first", "any"):
         raise ValueError("mode is 'first' or 'any'")
-    pairs = flows_by_pair(flows)
+    pairs = flows_by_pair(flows, mode)
     if mode == "first":
         pairs = pairs.withColumn("_flows", F.get("_flows", F.lit(0)))
     joined = moves.join(pairs, (F.col(src) == F.col("_src")) & (F.col(dst) == F.col("_dst")), "left")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ def basic_clean(df: DataFrame) -> DataFrame:
     return df.na.drop()
 
 
+def run_pipeline(frame: DataFrame, clean: Callable[[DataFrame], DataFrame] = basic_clean) -> DataFrame:
+    """A frame as read (``readers.read_frame``, ``readers.csv_rows``), cleaned."""
+    return clean(frame)
+
+
 def _is_null(df: DataFrame, name: str) -> Column:
     test = F.col(name).isNull()
     return test | F.isnan(name) if dict(df.dtypes)[name] in ("double", "float") else test
@@ -31,9 +37,9 @@ def null_fractions(df: DataFrame) -> DataFrame:
 
 
 def label_shares(df: DataFrame, label: str) -> DataFrame:
-    """``label, n, share`` of the labels that are not NULL."""
+    """``label, n, share`` of the labels that are not NULL. The total is summed over the counts, not the rows."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(label)).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.try_divide(F.col("n"), total))
 
 
@@ -113,16 +119,21 @@ def drift_alerts(scores: DataFrame, threshold: float = 0.2) -> DataFrame:
 def numeric_drift(df: DataFrame, period: str, value: str, baseline, bins: int = 10) -> DataFrame:
     """Drift of a number over equal bins between the smallest and largest baseline value."""
     of_base = df.where(F.col(period) == baseline)
-    low, high = of_base.agg(F.min(value)).scalar(), of_base.agg(F.max(value)).scalar()
-    edged = df.withColumns({"_low": low, "_high": high})
-    placed = edged.withColumn("_bin", binned(F.col(value), F.col("_low"), F.col("_high"), bins))
+    edges = of_base.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    edged = df.withColumn("_edges", edges)
+    placed = edged.withColumn("_bin", binned(F.col(value), F.col("_edges.low"), F.col("_edges.high"), bins))
     return drift(placed, period, "_bin", list(range(bins + 2)), baseline)
 
 
 def hash_split(df: DataFrame, key: str, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: stable across runs, retries and row order."""
-    side = F.pmod(F.xxhash64(key), F.lit(100)) < percent
-    return df.where(side), df.where(~side)
+    return df.where(in_train(F.col(key), percent)), df.where(~in_train(F.col(key), percent))
+
+
+def in_train(key: Column, percent: int = 80) -> Column:
+    """Side of a row by the first eight hex digits of its key's MD5; a NULL key counts as empty text."""
+    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % 100 < percent
 
 
 def split_features_labels(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
@@ -130,7 +141,10 @@ def split_features_labels(df: DataFrame, label: str) -> tuple[DataFrame, DataFra
 
 
 def train_baseline(df: DataFrame, key: str, features: str, label: str, max_iter: int = 200):
-    """Logistic baseline on an array column. Returns the model and a one-row score frame.
+    """Logistic baseline on an array column and labels 0 and 1.
+
+    Returns the model and a frame of one row: rows of both sides, accuracy on the test rows and the
+    share of their larger class, which a useful model exceeds.
 
     The penalty equals an unscaled L2 term of weight one over the number of rows.
     """
@@ -140,7 +154,10 @@ def train_baseline(df: DataFrame, key: str, features: str, label: str, max_iter:
     model = LogisticRegression(
         maxIter=max_iter, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False
     ).fit(train)
-    scored = model.transform(test)
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)
-    row = [(n_train, test.count(), float(accuracy))]
-    return model, df.sparkSession.createDataFrame(row, "n_train bigint, n_test bigint, accuracy double")
+    ones = F.avg("label")
+    scores = model.transform(test).agg(
+        F.lit(n_train).cast("bigint").alias("n_train"), F.count(F.lit(1)).alias("n_test"),
+        F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("accuracy"),
+        F.greatest(ones, 1 - ones).alias("larger_class"),
+    )
+    return model, scores

@@ -22,18 +22,17 @@ def label_findings(
 ) -> DataFrame:
     """One label per key from findings in long form; a NULL entity type means no finding.
 
-    The taxonomy is joined before the shuffle and the best label is a minimum, so each task
-    sends one row per key and a key with most of the rows costs no more than others.
+    The taxonomy is joined before the shuffle and the best priority is a minimum of numbers, so
+    each task hashes its rows and sends one per key: a key with most of the rows costs no more than
+    others. A priority stands for one label.
     """
-    joined = findings.join(taxonomy, "entity_type", "left")
-    best = joined.groupBy(*keys).agg(
-        F.min(F.when(F.col("label").isNotNull(), F.struct("priority", "label"))).alias("best"),
-        F.count("entity_type").alias("n_types"),
-    )
-    rest = F.when(F.col("n_types") == 0, no_entities).otherwise(
+    joined = findings.join(taxonomy.select("entity_type", "priority"), "entity_type", "left")
+    best = joined.groupBy(*keys).agg(F.min("priority").alias("priority"), F.count("entity_type").alias("_n_types"))
+    named = best.join(taxonomy.select("priority", F.col("label").alias("_label")).distinct(), "priority", "left")
+    rest = F.when(F.col("_n_types") == 0, no_entities).otherwise(
         no_entities if fallback is None else fallback
     )
-    return best.select(*keys, F.coalesce(F.col("best.label"), rest).alias("label"))
+    return named.select(*keys, F.coalesce("_label", rest).alias("label"))
 
 
 def with_handling(labelled: DataFrame, handling: dict[str, list[str]], label: str = "label") -> DataFrame:

@@ -175,14 +175,11 @@ _GATE_FLOW = V.DEFAULT_FLOWS[1][0]
 )
 def handle_ingress(spark, folder):
     prompts = documents(spark, folder).select("doc_id", "text", F.expr(DOC_ROLE).alias("role"))
-    safe = gateway.handle_ingress(prompts)
-    raw = D.runtime_decision(
-        F.lit("ingress"), F.coalesce("role", F.lit("anonymous")), labels.entity_types(F.col("entities")),
-        F.col("label"), F.lit(True), F.lit(""),
+    safe = gateway.handle_ingress(prompts).select("doc_id", "text", "role", F.col("decision").alias("safe"))
+    return gateway.handle_ingress(safe, normalise=False).select(
+        "doc_id", "label", "safe.action", "safe.reason",
+        F.col("decision.action").alias("raw_action"), F.col("decision.reason").alias("raw_reason"),
     )
-    return safe.select(
-        "doc_id", "label", "decision.action", "decision.reason", raw.alias("raw")
-    ).select("doc_id", "label", "action", "reason", F.col("raw.action").alias("raw_action"), F.col("raw.reason").alias("raw_reason"))
 
 
 @query(

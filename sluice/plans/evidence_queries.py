@@ -98,7 +98,8 @@ def control_links(spark, folder):
 def nested_links(spark, folder):
     parts = E.nested_links(_index(spark, folder)[1], 50)
     first = F.array_min(F.transform("links", lambda x: F.concat(x["kind"], F.lit(" "), x["tool_id"])))
-    return parts.select("control_id", F.size("links").alias("_n"), first.alias("_first")).groupBy("control_id").agg(
+    total = F.aggregate("links", F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+    return parts.select("control_id", total.alias("_n"), first.alias("_first")).groupBy("control_id").agg(
         F.sum("_n").alias("n_links"), F.min("_first").alias("first_link")
     )
 

@@ -130,14 +130,13 @@ def hop_no_policy(spark, folder):
       coalesce(redacted, false) AS r FROM m),
     v AS (SELECT doc_id, src, dst,
       CASE p WHEN 0 THEN NOT restricted AND acts
-        WHEN 1 THEN (coalesce(label <> 'RESTRICTED_PHI', true) AND acts) OR r
+        WHEN 1 THEN acts OR r
         WHEN 2 THEN NOT restricted AND r WHEN 3 THEN NOT restricted AND acts WHEN 7 THEN true ELSE false END AS allow,
       CASE p
         WHEN 0 THEN CASE WHEN restricted THEN 'flow A denied: {V.NOT_RESTRICTED}'
           WHEN NOT acts THEN 'flow A denied: {V.ALLOW_OR_MASK}' ELSE 'flow A allowed' END
-        WHEN 1 THEN CASE WHEN coalesce(label <> 'RESTRICTED_PHI', true) AND acts THEN 'flow B1 allowed'
+        WHEN 1 THEN CASE WHEN acts THEN 'flow B1 allowed'
           WHEN r THEN 'flow B2 allowed'
-          WHEN label = 'RESTRICTED_PHI' THEN 'flow B1 denied: classification_label not_in [RESTRICTED_PHI]'
           ELSE 'flow B1 denied: policy_decision.action in [allow, mask]' END
         WHEN 2 THEN CASE WHEN restricted THEN 'flow C denied: {V.NOT_RESTRICTED}'
           WHEN NOT r THEN 'flow C denied: redaction_applied == true' ELSE 'flow C allowed' END

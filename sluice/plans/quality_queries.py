@@ -12,6 +12,7 @@ from sluice.plans import triggers as T
 from sluice.plans.registry import query, table
 from sluice.plans.text_queries import documents
 from sluice.plans.violation_queries import _TRUSTED_SQL, TRUSTED
+from sluice.sources.readers import csv_rows
 
 
 def frame(spark, folder):
@@ -115,7 +116,34 @@ def drift_labels(spark, folder):
     return Q.drift(weekly(spark, folder), "week", "event_type", EVENT_TYPES, 0).withColumn("psi", F.round("psi", 6))
 
 
-@query("baseline_accuracy")
+_TRAIN_SQL = "('0x' || md5(vec_id::VARCHAR)[1:8])::BIGINT % 100 < 80"
+
+
+@query("split_rows", f"SELECT vec_id, CASE WHEN {_TRAIN_SQL} THEN 'train' ELSE 'test' END AS side FROM embeddings")
+def split_rows(spark, folder):
+    train, test = Q.hash_split(table(spark, folder, "embeddings").select("vec_id"), "vec_id")
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@query(
+    "baseline_accuracy",
+    f"""SELECT count(*) FILTER ({_TRAIN_SQL}) AS n_train, count(*) FILTER (NOT {_TRAIN_SQL}) AS n_test, true AS no_worse_than_larger_class
+    FROM embeddings""",
+)
 def baseline_accuracy(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", (F.col("label") < 5).alias("label"))
-    return Q.train_baseline(rows, "vec_id", "embedding", "label")[1]
+    scores = Q.train_baseline(rows, "vec_id", "embedding", "label")[1]
+    return scores.select("n_train", "n_test", (F.col("accuracy") >= F.col("larger_class")).alias("no_worse_than_larger_class"))
+
+
+@query(
+    "pipeline_rows",
+    """SELECT event_id, value, event_type FROM events WHERE event_id % 9 NOT IN (1, 2)""",
+)
+def pipeline_rows(spark, folder):
+    """Lines of a CSV file, some with an empty field or text where a number belongs."""
+    line = F.concat_ws(
+        ",", "event_id", F.expr("CASE event_id % 9 WHEN 1 THEN '' WHEN 2 THEN 'n/a' ELSE cast(value AS STRING) END"), "event_type"
+    )
+    lines = table(spark, folder, "events").select(line.alias("value"))
+    return Q.run_pipeline(csv_rows(lines, "event_id bigint, value double, event_type string"))

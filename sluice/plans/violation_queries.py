@@ -94,12 +94,21 @@ def log_completeness(spark, folder):
 
 @query(
     "evidence_completeness",
-    """SELECT event_id, 'Missing evidence field' AS message FROM events
-    WHERE event_id % 5 IN (0, 2) OR event_id % 3 = 0""",
+    f"""SELECT event_id, 'Missing evidence field' AS message FROM events WHERE event_id % {len(V.EVIDENCE_FIELDS) + 3} < {len(V.EVIDENCE_FIELDS) + 1}""",
 )
 def evidence_completeness(spark, folder):
-    found = R.evidence_messages(F.col("log"), ["timestamp", "decision", "classification"])
-    return explode_found(event_logs(spark, folder), "event_id", array=found, alias="message")
+    """Records lacking one of the required fields, or with one that is false; all there, or null, else."""
+    fields, kinds = V.EVIDENCE_FIELDS, len(V.EVIDENCE_FIELDS) + 3
+    parts = []
+    for n, name in enumerate(fields):
+        # Kind n lacks field n; in the next kind the first field is false, in the one after it is null.
+        value = F.when(F.expr(f"event_id % {kinds} = {len(fields) + n}"), "false").when(
+            F.expr(f"event_id % {kinds} = {len(fields) + 1}"), "null"
+        ).otherwise('"x"')
+        parts.append(F.when(F.expr(f"event_id % {kinds} <> {n}"), F.concat(F.lit(f'"{name}":'), value if n == 0 else F.lit('"x"'))))
+    body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    records = table(spark, folder, "events").select("event_id", F.try_parse_json(body).alias("log"))
+    return explode_found(records, "event_id", array=R.evidence_messages(F.col("log")), alias="message")
 
 
 _AGENT_ACTION = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'api_call' ELSE event_type END"

@@ -90,6 +90,11 @@ def read_frame(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
+def csv_rows(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """Lines of CSV text without a header, in a declared schema; what does not parse is NULL."""
+    return lines.select(F.from_csv(column, schema).alias("_row")).select("_row.*")
+
+
 def read_flows(spark: SparkSession, path: str) -> DataFrame:
     """Flow rules of a ``{"flows": [...]}`` file, numbered in file order.
 
