@@ -11,7 +11,7 @@ from sluice.operators.tables import fixed_table
 from sluice.plans import fixed_values as V
 from sluice.plans import triggers as T
 from sluice.plans.registry import query, table
-from sluice.plans.text_queries import documents, scanned_documents, turns
+from sluice.plans.text_queries import EVENT_TYPE, documents, scanned_documents, turns
 from sluice.sources import sinks
 
 _SSN_MSG, _MRN_MSG = V.MSG_SSN_INPUT, V.MSG_MRN_INPUT
@@ -66,7 +66,7 @@ def rag_acl(spark, folder):
     return R.acl_allowed(asked, fixed_table(spark, ACL, "record_type string, role string"))
 
 
-def event_logs(spark, folder):
+def event_logs(spark, folder, *more):
     """Log records as VARIANT: some fields absent, some false, some JSON null."""
     body = F.concat(
         F.lit('{"timestamp":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('"'),
@@ -77,27 +77,27 @@ def event_logs(spark, folder):
         F.when(F.expr("event_id % 3 = 0"), "").otherwise(',"classification":"INTERNAL"'),
         F.lit("}"),
     )
-    return table(spark, folder, "events").select("event_id", F.try_parse_json(body).alias("log"))
+    return table(spark, folder, "events").select("event_id", F.try_parse_json(body).alias("log"), *more)
 
 
-@query(
-    "log_completeness",
-    """SELECT event_id, 'user' AS field FROM events WHERE event_id % 4 = 1
+_LOG_SQL = """SELECT event_id, 'user' AS field FROM events WHERE event_id % 4 = 1
     UNION ALL SELECT event_id, 'decision' FROM events WHERE event_id % 5 IN (0, 2)
-    UNION ALL SELECT event_id, 'classification' FROM events WHERE event_id % 3 = 0""",
-)
+    UNION ALL SELECT event_id, 'classification' FROM events WHERE event_id % 3 = 0"""
+
+
+@query("log_completeness", _LOG_SQL)
 def log_completeness(spark, folder):
     return explode_found(
         event_logs(spark, folder), "event_id", array=R.missing_fields(F.col("log")), alias="field"
     )
 
 
-@query(
-    "evidence_completeness",
-    f"""SELECT event_id, 'Missing evidence field' AS message FROM events WHERE event_id % {len(V.EVIDENCE_FIELDS) + 3} < {len(V.EVIDENCE_FIELDS) + 1}""",
-)
-def evidence_completeness(spark, folder):
-    """Records lacking one of the required fields, or with one that is false; all there, or null, else."""
+_EVIDENCE_SQL = f"""SELECT event_id, 'Missing evidence field' AS message FROM events
+    WHERE event_id % {len(V.EVIDENCE_FIELDS) + 3} < {len(V.EVIDENCE_FIELDS) + 1}"""
+
+
+def evidence_text():
+    """Evidence records as JSON: one of the required fields lacks or is false; all there, or null, else."""
     fields, kinds = V.EVIDENCE_FIELDS, len(V.EVIDENCE_FIELDS) + 3
     parts = []
     for n, name in enumerate(fields):
@@ -106,11 +106,40 @@ def evidence_completeness(spark, folder):
             F.expr(f"event_id % {kinds} = {len(fields) + 1}"), "null"
         ).otherwise('"x"')
         parts.append(F.when(F.expr(f"event_id % {kinds} <> {n}"), F.concat(F.lit(f'"{name}":'), value if n == 0 else F.lit('"x"'))))
-    body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
-    records = table(spark, folder, "events").select("event_id", F.try_parse_json(body).alias("log"))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+
+@query("evidence_completeness", _EVIDENCE_SQL)
+def evidence_completeness(spark, folder):
+    records = table(spark, folder, "events").select("event_id", F.try_parse_json(evidence_text()).alias("log"))
     return explode_found(records, "event_id", array=R.evidence_messages(F.col("log")), alias="message")
 
 
+@query(
+    "event_pack_violations",
+    f"""SELECT event_id, 'logging' AS pack, field AS message FROM ({_LOG_SQL})
+    UNION ALL SELECT event_id, 'evidence', message FROM ({_EVIDENCE_SQL})
+    UNION ALL SELECT event_id, 'data_movement', '{V.MSG_FLOW}' FROM events
+      WHERE NOT coalesce(CASE WHEN event_type <> 'error' THEN value < 20 END, false)
+    UNION ALL SELECT event_id, 'classification', '{V.MSG_TOKEN}' FROM (SELECT event_id, {EVENT_TYPE} AS kind FROM events)
+      WHERE kind IS NULL OR kind NOT IN ({', '.join(f"'{t}'" for t in V.CATALOG_TAXONOMY)})""",
+)
+def event_pack_violations(spark, folder):
+    """The packs over logs, evidence, flows and tokens in one pass over the records."""
+    records = event_logs(
+        spark, folder, F.try_parse_json(evidence_text()).alias("evidence"), F.expr(EVENT_TYPE).alias("kind"),
+        F.when(F.col("event_type") != "error", F.col("value") < 20).alias("allowed"),
+    )
+    known = F.coalesce(F.col("kind").isin(*V.CATALOG_TAXONOMY), F.lit(False))
+    packs = {
+        "logging": R.missing_fields(F.col("log")),
+        "evidence": R.evidence_messages(F.col("evidence")),
+        "data_movement": R.messages((~F.coalesce("allowed", F.lit(False)), V.MSG_FLOW)),
+        "classification": R.messages((~known, V.MSG_TOKEN)),
+    }
+    return R.long_report(records, "event_id", packs=packs)
+
+
 _AGENT_ACTION = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'api_call' ELSE event_type END"
 _ALLOW_API = "CASE user_id % 3 WHEN 0 THEN true WHEN 1 THEN false END"
 

@@ -28,6 +28,14 @@ def _existing(spark: SparkSession, path: str, **options) -> DataFrame | None:
         raise
 
 
+def below(path: Column, folder: str) -> Column:
+    """Part of a file path below a folder. File paths are percent-encoded; the folder is cut off where it
+    first occurs, as its name may be repeated further down."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    root = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith(("file:", "/")) else folder
+    return F.substring(plain, F.instr(plain, root) + len(root), F.length(plain))
+
+
 def read_corpus(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
     """``prefix, s3_key, body`` of every ``*.json`` file under the prefixes.
 
@@ -40,7 +48,7 @@ def read_corpus(spark: SparkSession, root: str, prefixes: list[str] | None = Non
         files = _existing(spark, f"{base}/{prefix}", recursiveFileLookup=True, pathGlobFilter="*.json")
         if files is None:
             continue
-        key = F.concat(F.lit(prefix), F.substring_index("_metadata.file_path", f"/{prefix}", -1))
+        key = F.concat(F.lit(prefix), below(F.col("_metadata.file_path"), f"{base}/{prefix}"))
         rows = files.select(F.lit(prefix).alias("prefix"), key.alias("s3_key"), F.try_parse_json("value").alias("body"))
         found = rows if found is None else found.unionByName(rows)
     return spark.createDataFrame([], "prefix string, s3_key string, body variant") if found is None else found
@@ -72,14 +80,13 @@ def read_artifact(spark: SparkSession, path: str, default: str | None = None) ->
 
     Without a default a missing artifact is an error.
     """
+    # Names are listed without reading the files; then the chosen one is read.
     files = _existing(spark, path)
-    if files is not None:
-        name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-        ranked = files.select(F.struct((~name.endswith(".json")).alias("other"), name.alias("name")).alias("rank"), "value")
-        best = ranked.agg(F.min_by("value", "rank").alias("value"), F.count(F.lit(1)).alias("n"))
-        fallback = F.lit(default)
-        text = F.when(F.col("n") == 0, fallback).otherwise(F.col("value"))
-        return best.select(F.parse_json(text).alias("record"))
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    chosen = files and files.orderBy(~name.endswith(".json"), name).select("_metadata.file_path").first()
+    if chosen:
+        only = files.where(F.col("_metadata.file_path") == chosen[0])
+        return only.select(F.parse_json("value").alias("record"))
     if default is None:
         raise FileNotFoundError(f"required artifact not found: {path}")
     return spark.range(1).select(F.parse_json(F.lit(default)).alias("record"))

@@ -84,7 +84,11 @@ def test_any_mode_takes_any_passing_flow(spark):
     rows = [("dlp_gateway", "rag_orchestrator", "RESTRICTED_PHI", "allow", True),
             ("dlp_gateway", "rag_orchestrator", "RESTRICTED_PHI", "allow", None),
             ("user", "dlp_gateway", "INTERNAL", None, None), ("llm", "dlp_gateway", "INTERNAL", "allow", True)]
-    assert [a for a, _ in judged(spark, rows, MIXED_FLOWS, "any")] == [True, False, False, False]
+    # B1 holds a condition with a leading space. The policy text compares it as it stands, so it has an unknown
+    # form there and does not deny; written without the space it does.
+    assert [a for a, _ in judged(spark, rows, MIXED_FLOWS, "any")] == [True, True, False, False]
+    plain = M.flow_list([("B1", *PAIRS[1], True, ["classification_label not_in [ RESTRICTED_PHI ]", V.ALLOW_OR_MASK])])
+    assert [a for a, _ in judged(spark, rows, plain, "any")] == [False, False, False, False]
     assert [a for a, _ in judged(spark, rows, MIXED_FLOWS)] == [False, False, True, True]
 
 

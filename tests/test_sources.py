@@ -46,6 +46,18 @@ def test_corpus(spark, tmp_path):
     assert readers.read_corpus(spark, str(tmp_path), ["absent/"]).count() == 0
 
 
+def test_corpus_keys_are_whole_paths(spark, tmp_path):
+    """Folders that repeat the prefix, blanks, plus and percent signs in names."""
+    names = ["x/clean/y.json", "z/clean/y.json", "a b.json", "c+d.json", "50%25.json", "y.json"]
+    for name in names:
+        path = tmp_path / "clean" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text('{"text":"t"}')
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        raw = readers.read_corpus(spark, root, ["clean/"])
+        assert sorted(r["s3_key"] for r in raw.collect()) == sorted(f"clean/{name}" for name in names)
+
+
 def test_corpus_sync_with_the_callers_embedder(spark):
     raw = spark.createDataFrame([("k1", '{"text":"abc"}'), ("k2", '{"text":"x","id":"k1"}')], "s3_key string, t string")
     docs = corpus.usable_documents(raw.withColumn("body", F.try_parse_json("t")))
