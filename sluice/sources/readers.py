@@ -83,7 +83,8 @@ def read_artifact(spark: SparkSession, path: str, default: str | None = None) ->
     # Names are listed without reading the files; then the chosen one is read.
     files = _existing(spark, path)
     name = F.element_at(F.split("_metadata.file_path", "/"), -1)
-    chosen = files and files.orderBy(~name.endswith(".json"), name).select("_metadata.file_path").first()
+    listed = files and spark.read.format("binaryFile").load(path)
+    chosen = files and listed.select("_metadata.file_path", name.alias("_name")).orderBy(~F.endswith("_name", F.lit(".json")), "_name").first()
     if chosen:
         only = files.where(F.col("_metadata.file_path") == chosen[0])
         return only.select(F.parse_json("value").alias("record"))
