@@ -2,9 +2,9 @@
 
 Documents are cut into full windows; what remains of each is cut into pieces of at most ``max_piece`` ids.
 The pieces of a block of documents are split into k near-equal windows: partial partitions are merged,
-the largest sums of one meeting the smallest of the other, widest spread first. k starts at the sum over
-the capacity and rises until no window is above it. Every block is packed where it is read: no shuffle,
-bounded memory, and growth in proportion to the input.
+the largest sums of one meeting the smallest of the other, widest spread first. k is searched for from the
+sum over the capacity, each block anew, until no window is above it and with one window less there is one.
+Every block is packed where it is read: no shuffle, bounded memory, and growth in proportion to the input.
 """
 
 from __future__ import annotations
@@ -68,20 +68,33 @@ def differencing(sizes: list[int], k: int) -> list[list[int]]:
     return found + [[] for _ in range(k - len(found))]
 
 
-def windows(sizes: list[int], capacity: int = CAPACITY, extra: int = 0) -> list[list[int]]:
+def windows(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """Near-equal subsets with sums within capacity; every size must be.
 
-    The count starts ``extra`` above the least that could do, and rises while a window is above capacity.
+    Their count is one that fits while the next smaller one does not, and depends on the sizes alone. Each
+    trial gives the spread above the mean, and that the count to try next.
     """
     if not sizes:
         return []
-    k = -(-sum(sizes) // capacity) + extra
-    while True:
+    total = sum(sizes)
+    low = max(-(-total // capacity), sum(2 * size > capacity for size in sizes)) - 1  # too few in any case
+    high, best = len(sizes), [[i] for i in range(len(sizes))]
+    k, step = low + 1, 1
+    while high - low > 1:
         found = differencing(sizes, k)
-        over = sum(max(0, sum(sizes[i] for i in w) - capacity) for w in found)
-        if not over:
-            return [w for w in found if w]
-        k += -(-over // capacity)
+        most = max(sum(sizes[i] for i in w) for w in found)
+        room = capacity - most + total / k  # the mean at which this spread would fit
+        guess = int(total / room) + 1 if room > 0 else high
+        if most <= capacity:
+            high, best = k, found
+            k = min(guess, k - step)
+        else:
+            low = k
+            k = max(guess, k + step)
+        step *= 2
+        if not low < k < high:
+            k = (low + high) // 2 if high < len(sizes) else min(max(k, low + 1), high - 1)
+    return [w for w in best if w]
 
 
 def _pack(capacity: int, max_piece: int, block_pieces: int, path: str, end_id: int | None, doc: str, text: str):
@@ -94,15 +107,10 @@ def _pack(capacity: int, max_piece: int, block_pieces: int, path: str, end_id: i
         rows: list[tuple] = []
         loose: list[tuple] = []
         held = 0
-        risen = 0.0  # windows that the last full block needed beyond the least, as a share of it
 
         def close_block():
-            nonlocal sequence, risen
-            sizes = [piece[2] for piece in loose]
-            least = -(-sum(sizes) // capacity)
-            found = windows(sizes, capacity, max(0, int(risen * least) - 1))
-            risen = len(found) / least - 1 if least else 0.0
-            for members in found:
+            nonlocal sequence
+            for members in windows([piece[2] for piece in loose], capacity):
                 at = 0
                 for i in sorted(members):
                     key, start, length, total, ids = loose[i]
