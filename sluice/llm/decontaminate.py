@@ -1,17 +1,14 @@
-"""Benchmark passages in documents: SimHash over item-sized windows, then exact similarity.
+"""Benchmark passages in documents: windows that share enough shingles with an item, then exact similarity.
 
-A window of a document has as many words as a benchmark item. Its fingerprint is the sign of the summed bits
-of its shingles, so one running sum gives every window's. Fingerprints are looked up in RADIUS + 1 bit
-blocks: two within RADIUS agree on one block at least, so no such pair is missed. Candidates are checked by
-the weighted Jaccard similarity of their shingles, each weighted by how often it stands there.
-
-At the least similarity of 0.75, shingles of window and item have a cosine of 0.857 and differ in 11 of 64
-bits on average, with a deviation of 3.1; RADIUS is four deviations above. Only windows that hold a shingle
-of the item are fingerprinted: all others have similarity 0.
+A window of a document has as many words as a benchmark item. Items are found by the shingles they share with
+the document; all others have similarity 0. A window passes on if it has as many shingles of the item as the
+least similarity asks for, a bound that loses nothing. What passes is judged by the weighted Jaccard similarity
+of its shingles, each weighted by how often it stands there, carried on from window to window.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,38 +20,33 @@ from pyspark.sql import DataFrame
 from sluice.llm import files, hashing
 
 PERCENT = 75
-RADIUS = 24
-BITS = 64
 BLOCK_CHARS = 32 << 20  # benchmark text that one pass over the documents holds
-REGION = 1 << 14  # windows fingerprinted at once
 FOUND = "doc_id long, item_id long, similarity double, first_word long, n_words long"
 
-_BLOCK_EDGES = np.linspace(0, BITS, RADIUS + 2).astype(int)
-_BLOCK_MASKS = [np.uint64(sum(1 << b for b in range(a, z))) for a, z in zip(_BLOCK_EDGES[:-1], _BLOCK_EDGES[1:])]
-_SHIFTS = np.arange(BITS, dtype=np.uint64)
-
-
-def bit_sums(shingles: np.ndarray) -> np.ndarray:
-    """Running sums of the shingles' bits as +1 and -1, from a row of zeros: (n + 1) x BITS."""
-    signs = ((shingles[:, None] >> _SHIFTS) & np.uint64(1)).astype(np.int32) * 2 - 1
-    return np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(signs, axis=0, dtype=np.int32)))
-
 
-def signs(sums: np.ndarray) -> np.ndarray:
-    """Fingerprints of summed bits: rows x BITS to 64-bit words."""
-    return ((sums > 0).astype(np.uint64) << _SHIFTS).sum(axis=1, dtype=np.uint64)
+def similarities(shingles: np.ndarray, n: int, starts: np.ndarray, item: np.ndarray) -> Iterator[tuple[int, float]]:
+    """Each start, ascending, with the similarity of its window of n shingles to the item.
 
-
-def hamming(a: np.ndarray, b: np.uint64) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
-
-
-def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Sum of the lesser over sum of the greater weights; a shingle's weight is how often it stands there."""
-    values, place = np.unique(np.concatenate((a, b)), return_inverse=True)
-    x = np.bincount(place[: len(a)], minlength=len(values))
-    y = np.bincount(place[len(a) :], minlength=len(values))
-    return float(np.minimum(x, y).sum() / np.maximum(x, y).sum()) if len(values) else 0.0
+    It is the sum of the lesser over the sum of the greater weights. The lesser ones are kept up as the
+    window moves: one step a shingle, however often it stands there.
+    """
+    wanted: Counter = Counter(item.tolist())
+    low = high = common = 0
+    held: Counter = Counter()
+    for start in starts.tolist():
+        if start >= high:
+            low = high = start
+            common = 0
+            held.clear()
+        for s in shingles[high : start + n].tolist():
+            held[s] += 1
+            common += held[s] <= wanted[s] if s in wanted else 0
+        high = start + n
+        for s in shingles[low:start].tolist():
+            common -= held[s] <= wanted[s] if s in wanted else 0
+            held[s] -= 1
+        low = start
+        yield start, common / (n + len(item) - common)
 
 
 @dataclass
@@ -62,25 +54,23 @@ class Item:
     item_id: int
     words: int
     shingles: np.ndarray
-    fingerprint: np.uint64 = np.uint64(0)
 
 
 @dataclass
 class Index:
-    """Items by shingle, with the places of a shingle within an item."""
+    """Items by shingle."""
 
     items: list[Item]
     filter: np.ndarray = field(init=False)
     known: np.ndarray = field(init=False)
-    places: dict[int, list[tuple[int, int]]] = field(init=False)
+    holders: dict[int, list[int]] = field(init=False)
 
     def __post_init__(self):
-        self.places = {}
+        self.holders = {}
         for k, item in enumerate(self.items):
-            item.fingerprint = signs(bit_sums(item.shingles)[-1:])[0]
-            for at, s in enumerate(item.shingles.tolist()):
-                self.places.setdefault(s, []).append((k, at))
-        self.known = np.array(sorted(self.places), dtype=np.uint64)
+            for s in set(item.shingles.tolist()):
+                self.holders.setdefault(s, []).append(k)
+        self.known = np.array(sorted(self.holders), dtype=np.uint64)
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
@@ -91,39 +81,31 @@ class Index:
 
     def search(self, shingles: np.ndarray, words: int, percent: int) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first word, words) of each item's best window that is alike enough."""
-        starts_of: dict[int, list[np.ndarray]] = {}
+        places: dict[int, list[int]] = {}
         for at in self.hits(shingles).tolist():
-            for k in {k for k, _ in self.places[int(shingles[at])]}:
-                n = max(1, min(self.items[k].words, words) - hashing.SHINGLE + 1)
-                starts_of.setdefault(k, []).append(np.arange(max(0, at - n + 1), min(at, len(shingles) - n) + 1))
+            for k in self.holders[int(shingles[at])]:
+                places.setdefault(k, []).append(at)
         found = []
-        for k, parts in starts_of.items():
+        for k, own in places.items():
             item = self.items[k]
             n = max(1, min(item.words, words) - hashing.SHINGLE + 1)
             best = (0.0, 0)
-            for start in self._alike(np.unique(np.concatenate(parts)), shingles, n, item):
-                similarity = weighted_similarity(shingles[start : start + n], item.shingles)
+            for start, similarity in similarities(shingles, n, self._enough(own, len(shingles), n, item, percent), item.shingles):
                 if similarity > best[0]:
                     best = (similarity, start)
             if 100 * best[0] >= percent - 1e-9:
                 found.append((item.item_id, best[0], best[1], min(item.words, words)))
         return found
 
-    def _alike(self, starts: np.ndarray, shingles: np.ndarray, n: int, item: Item) -> Iterator[int]:
-        """Window starts whose fingerprint shares a block with the item's and lies within RADIUS."""
-        done = 0
-        while done < len(starts):
-            last = int(np.searchsorted(starts, starts[done] + REGION))
-            part = starts[done:last]
-            sums = bit_sums(shingles[part[0] : part[-1] + n])
-            at = part - part[0]
-            made = signs(sums[at + n] - sums[at])
-            shared = np.zeros(len(made), dtype=bool)
-            for mask in _BLOCK_MASKS:
-                shared |= (made & mask) == (item.fingerprint & mask)
-            near = np.flatnonzero(shared)
-            yield from part[near[hamming(made[near], item.fingerprint) <= RADIUS]].tolist()
-            done = last
+    def _enough(self, places: list[int], total: int, n: int, item: Item, percent: int) -> np.ndarray:
+        """Starts of the windows with as many of the places as the similarity asks for, whatever they hold."""
+        least = max(1, int(np.ceil(percent * (n + len(item.shingles)) / (100 + percent) - 1e-6)))
+        if len(places) < least:
+            return np.empty(0, np.int64)
+        sums = np.zeros(total + 1, dtype=np.int64)
+        sums[np.array(places) + 1] = 1
+        sums = np.cumsum(sums)
+        return np.flatnonzero(sums[n:] - sums[:-n] >= least)
 
 
 def build(rows: list[tuple[int, str | None]]) -> Index:
