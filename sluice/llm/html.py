@@ -182,9 +182,13 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def fit(pages: DataFrame, bound: int = LABELLED_PAGES) -> Weights:
-    """Weights from at most ``bound`` labelled pages, chosen by a hash of their html."""
-    marked = pages.select("html").where(F.lower("html").rlike("<(article|main)"))
-    sample = marked.orderBy(F.xxhash64("html")).limit(bound)
+    """Weights from at most ``bound`` labelled pages, chosen by a hash of their html; copies count once.
+
+    The least hashes are chosen first, so only pages of the sample are sent on.
+    """
+    marked = pages.select("html", F.xxhash64("html").alias("key")).where(F.lower("html").rlike("<(article|main)"))
+    keys = [r.key for r in marked.select("key").distinct().orderBy("key").limit(bound).collect()]
+    sample = marked.where(F.col("key").isin(keys)).groupBy("key").agg(F.first("html").alias("html")).select("html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
