@@ -113,12 +113,15 @@ def hop_first_match(spark, folder):
 @query(
     "hop_no_policy",
     _MOVES_SQL + f"""
-    SELECT doc_id, src, dst, false AS allow, CASE doc_id % 3 WHEN 0 THEN '{V.POLICY_MISSING}' WHEN 1 THEN '{V.POLICY_UNREADABLE}'
+    SELECT doc_id, src, dst, false AS allow, CASE doc_id % 9 WHEN 0 THEN '{V.POLICY_MISSING}' WHEN 1 THEN '{V.POLICY_UNREADABLE}'
       ELSE '{V.POLICY_NO_LIST.replace("'", "''")}' END AS reason FROM m""",
 )
 def hop_no_policy(spark, folder):
     """Every move is denied, that to the model too, where the policy text is missing, torn or of another form."""
-    text = F.expr("""CASE doc_id % 3 WHEN 1 THEN '{"flows": [' WHEN 2 THEN '{"flows": 3}' END""")
+    text = F.expr(
+        """CASE doc_id % 9 WHEN 1 THEN '{"flows": [' WHEN 2 THEN '{"flows": 3}' WHEN 3 THEN '{"flows": null}' WHEN 4 THEN '[1]'
+        WHEN 5 THEN '5' WHEN 6 THEN '{"flows":"[x"}' WHEN 7 THEN 'null' WHEN 8 THEN '{"flows": {"id": "A"}}' END"""
+    )
     judged = moves.judge(document_moves(spark, folder), moves.flow_table(spark, MIXED_FLOWS), refusal=policy_refusal(text))
     return judged.select("doc_id", "src", "dst", "allow", "reason")
 

@@ -125,24 +125,11 @@ def split_rows(spark, folder):
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
-@query(
-    "baseline_accuracy",
-    f"SELECT count(*) FILTER ({_TRAIN_SQL}) AS n_train, count(*) FILTER (NOT {_TRAIN_SQL}) AS n_test FROM embeddings",
-)
-def baseline_accuracy(spark, folder):
-    """Rows of both sides of the fit; what the model is worth there is in ``baseline_scores``."""
-    return _baseline(spark, folder).select("n_train", "n_test")
-
-
 @query("baseline_scores")
 def baseline_scores(spark, folder):
     """The fit's accuracy on the test rows beside the share of their larger class. SQL cannot fit it."""
-    return _baseline(spark, folder).select("n_train", "n_test", "accuracy", "larger_class")
-
-
-def _baseline(spark, folder):
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", (F.col("label") < 5).alias("label"))
-    return Q.train_baseline(rows, "vec_id", "embedding", "label")[1]
+    return Q.train_baseline(rows, "vec_id", "embedding", "label")[1].select("n_train", "n_test", "accuracy", "larger_class")
 
 
 @query(

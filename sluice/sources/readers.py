@@ -120,21 +120,26 @@ def read_flows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def policy_refusal(text: Column) -> Column:
-    """Why a policy text cannot be used, or null. A text without ``flows`` is a policy without rules."""
-    flows = F.get_json_object(text, "$.flows")
+    """Why a policy text cannot be used, or null.
+
+    Only an object is a policy, and its ``flows``, if it has any, must be an array: JSON null, numbers, texts
+    and objects in its place are refused. An object without ``flows`` is a policy without rules.
+    """
+    parsed = F.try_parse_json(text)
+    flows = F.try_variant_get(parsed, "$.flows", "variant")
     return (
         F.when(text.isNull(), V.POLICY_MISSING)
-        .when(F.try_parse_json(text).isNull(), V.POLICY_UNREADABLE)
-        .when(flows.isNotNull() & ~F.ltrim(flows).startswith("["), V.POLICY_NO_LIST)
+        .when(parsed.isNull(), V.POLICY_UNREADABLE)
+        .when(~F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT<")), V.POLICY_NO_LIST)
+        .when(flows.isNotNull() & ~F.startswith(F.schema_of_variant(flows), F.lit("ARRAY<")), V.POLICY_NO_LIST)
     )
 
 
 def flow_refusal(spark: SparkSession, path: str) -> str | None:
-    """``policy_refusal`` of the file at ``path``: one row, read when the job is planned."""
+    """``policy_refusal`` of the file at ``path``: one row, read when the job is planned. A folder without a file has none."""
     files = _existing(spark, path)
-    if files is None:
-        return V.POLICY_MISSING
-    return files.select(policy_refusal(F.col("value"))).first()[0]
+    found = files and files.select(policy_refusal(F.col("value"))).first()
+    return found[0] if found else V.POLICY_MISSING
 
 
 def read_catalog(spark: SparkSession, path: str, schema: str = CONTROL_SCHEMA) -> DataFrame:

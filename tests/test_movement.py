@@ -1,6 +1,8 @@
 import itertools
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sluice.functions import detect
@@ -80,6 +82,22 @@ def test_flow_file_round_trip(spark, tmp_path):
     assert readers.flow_refusal(spark, str(path)) is None
 
 
+@pytest.mark.parametrize("text", ['{"flows": null}', "[1]", "5", '"x"', "null", '{"flows":"[x"}', '{"flows": {"a": 1}}', '{"flows": true}'])
+def test_unusable_policy_denies_the_model_too(spark, tmp_path, text):
+    (tmp_path / "rules.json").write_text(text)
+    file = str(tmp_path / "rules.json")
+    rows = spark.createDataFrame([("rag_orchestrator", "llm", "INTERNAL", "allow", False)], MOVE)
+    out = moves.judge(rows, readers.read_flows(spark, file), refusal=readers.flow_refusal(spark, file)).collect()
+    assert [(r["allow"], r["reason"]) for r in out] == [(False, V.POLICY_NO_LIST)]
+
+
+def test_policy_without_rules_and_empty_folder(spark, tmp_path):
+    (tmp_path / "none.json").write_text('{"other": 1}')
+    assert readers.flow_refusal(spark, str(tmp_path / "none.json")) is None
+    (tmp_path / "empty").mkdir()
+    assert readers.flow_refusal(spark, str(tmp_path / "empty")) == V.POLICY_MISSING
+
+
 def test_any_mode_takes_any_passing_flow(spark):
     rows = [("dlp_gateway", "rag_orchestrator", "RESTRICTED_PHI", "allow", True),
             ("dlp_gateway", "rag_orchestrator", "RESTRICTED_PHI", "allow", None),

@@ -28,4 +28,4 @@ def test_query(spark, con, name):
 def test_driver_contract(spark):
     assert driver.entry(spark).count() == 600
     bare = {n for n in set(driver.queries()) - set(driver.oracle_sql()) if n != "pipeline" and not n.startswith("op")}
-    assert bare == {"baseline_accuracy"}
+    assert bare == {"baseline_scores"}
