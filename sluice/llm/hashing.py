@@ -128,3 +128,11 @@ def window_hashes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray
         return np.empty(0, np.uint64)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * _power_table(_BASE, len(data))[: len(data)], dtype=np.uint64)))
     return mix((sums[starts + size] - sums[starts]) * _power_table(_INVERSE, len(data))[starts])
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; equal bytes have equal hashes wherever they stand."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * _power_table(_BASE, len(data))[: len(data)], dtype=np.uint64)))
+    return mix((sums[ends] - sums[starts]) * _power_table(_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import chat, codes, decontaminate, fingerprints, html, minmax, packing, quality, toxicity, warc
+from sluice.llm import bpe, chat, codes, decontaminate, fingerprints, html, minmax, packing, quality, toxicity, warc
 from sluice.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,8 @@ def _judged(scored: DataFrame, threshold: float) -> DataFrame:
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, folder, "documents")))
