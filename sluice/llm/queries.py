@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat, codes, decontaminate, fingerprints, html, minmax, packing, quality, toxicity, warc
+from sluice.llm import bpe, chat, codes, decontaminate, fingerprints, html, infill, minmax, packing, quality, toxicity, warc
 from sluice.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,30 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_byte_bpe")
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, folder, "documents")))
+
+
+@query(
+    "op12_fill_in_middle",
+    r"""
+    WITH t AS (
+        SELECT doc_id, COALESCE(text, '') AS text, regexp_extract_all(COALESCE(text, ''), '[^\n]*\n|[^\n]+') AS units,
+            sha256(concat('7:', doc_id::VARCHAR)) AS h FROM documents),
+    d AS (
+        SELECT *, len(units)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+            ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+    f AS (
+        SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+            WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high FROM d),
+    p AS (
+        SELECT *, array_to_string(units[1:low], '') AS prefix, array_to_string(units[low + 1:high], '') AS middle,
+            array_to_string(units[high + 1:n], '') AS suffix FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+            ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+        sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+    FROM p
+    """,
+)
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digests(*infill.store(table(spark, folder, "documents")))
