@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, chat, codes, decontaminate, fingerprints, html, infill, minmax, packing, quality, toxicity, warc
+from sluice.llm import bpe, chat, codes, decontaminate, fingerprints, html, infill, minmax, packing, quality, spelling, toxicity, warc
 from sluice.llm.labels import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,44 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, folder, "documents")))
 
 
+@query(
+    "op11_spelling_variants",
+    r"""
+    WITH RECURSIVE bits AS (
+        SELECT i, 0 AS k, i::UBIGINT AS v FROM range(256) r(i)
+        UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+    crcs AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+    runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, COUNT(*) AS m
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents) GROUP BY ALL),
+    codes AS (SELECT *, hex(encode(concat(COALESCE(doc_id::VARCHAR, ''), ':', run))) AS x FROM runs),
+    hashed AS (
+        SELECT run, m, xor(4294967295::UBIGINT, list_reduce(
+            list_transform(range(0, length(x), 2), lambda i: ('0x' || x[i + 1:i + 2])::UBIGINT),
+            lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255)::BIGINT + 1]), 4294967295::UBIGINT)) AS h FROM codes, crcs),
+    named AS (
+        SELECT CASE WHEN h % 31 = 0 THEN concat(left(run, (h % length(run))::BIGINT), substr(run, (h % length(run))::BIGINT + 2)) ELSE run END AS word, m FROM hashed),
+    words AS (SELECT word, SUM(m)::BIGINT AS n FROM named WHERE length(word) >= 7 GROUP BY word HAVING SUM(m) >= 2),
+    less AS (SELECT DISTINCT word, n, k, concat(left(word, k), substr(word, k + 2)) AS rest FROM words, unnest(range(length(word))) u(k)),
+    pairs AS (
+        SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+        UNION SELECT a.word, a.n, w.word, w.n FROM less a JOIN words w ON a.rest = w.word
+        UNION SELECT w.word, w.n, a.word, a.n FROM less a JOIN words w ON a.rest = w.word),
+    ranked AS (SELECT *, COUNT(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r FROM pairs),
+    formed AS (
+        SELECT w.word, w.n, COALESCE(p.n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+            CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n FROM words w LEFT JOIN ranked p ON p.word = w.word AND p.r = 1),
+    paths AS (
+        SELECT word, form AS root, 1 AS d FROM formed WHERE form IS NOT NULL
+        UNION ALL SELECT p.word, f.form, d + 1 FROM paths p JOIN formed f ON f.word = p.root WHERE f.form IS NOT NULL),
+    ends AS (SELECT word, arg_max(root, d) AS root FROM paths GROUP BY word)
+    SELECT word, n, n_near, form, form_n, COALESCE(root, word) AS root FROM formed LEFT JOIN ends USING (word)
+    """,
+)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents")))
+
+
 @query(
     "op12_fill_in_middle",
     r"""
