@@ -13,13 +13,14 @@ import base64
 from collections.abc import Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from sluice.llm import files, hashing
+from sluice.llm import files, hashing, tokens
 
 DEFAULT_FILE = "byte_bpe_multi_50k.tiktoken"
 SLICE_CHARS = 1 << 18  # a text is split by so many characters at a time, so its pre-tokens never stand all in memory
@@ -77,10 +78,10 @@ class PerfectHash:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of the bytes of a pre-token after all merges, least rank first, of equals leftmost."""
-    n = len(piece)
+    n, rank = len(piece), ranks.get
     after = list(range(1, n + 1))  # where the part that begins here ends; 0 once it is part of another
     before = list(range(-1, n - 1))
-    heap = [(ranks[piece[i : i + 2]], i, i + 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
     heapify(heap)
     while heap:
         _, i, end = heappop(heap)
@@ -90,12 +91,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         after[i], after[j] = end, 0
         if end < n:
             before[end] = i
-            wide = ranks.get(piece[i : after[end]])
+            wide = rank(piece[i : after[end]])
             if wide is not None:
                 heappush(heap, (wide, i, after[end]))
         k = before[i]
         if k >= 0:
-            wide = ranks.get(piece[k:end])
+            wide = rank(piece[k:end])
             if wide is not None:
                 heappush(heap, (wide, k, end))
     ids, i = [], 0
@@ -105,10 +106,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class Merged(dict):
+    """Ids, as bytes, of the pre-tokens merged so far."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+
+    def __missing__(self, piece: bytes) -> bytes:
+        self[piece] = ids = np.array(merge(piece, self.ranks), "<u4").tobytes()
+        return ids
+
+
 class Vocabulary:
-    """Tokens by rank, their perfect hash, and the pattern that splits a text."""
+    """Tokens by rank, their perfect hash, and the pattern that splits a text.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    ``public`` says that it is the public tokenizers' pattern; then Latin texts are split by the faster ``tokens.SPLIT``.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, public: bool = False):
         import regex
 
         if any(bytes([b]) not in ranks for b in range(256)):
@@ -117,7 +132,8 @@ class Vocabulary:
         self.tokens = {i: t for t, i in ranks.items()}
         self.names = {i: str(i) for i in self.tokens}
         self.pattern, self.cut = regex.compile(pattern), regex.compile(CUT)
-        self.merged: dict[bytes, bytes] = {}
+        self.public = public
+        self.merged = Merged(ranks)
 
         listed = list(ranks)
         self.words = -(-max(map(len, listed)) // 8)
@@ -163,20 +179,22 @@ class Vocabulary:
             yield text[first:last]
             first = last
 
-    def _ids(self, parts: list[str], pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _split(self, part: str) -> list[bytes]:
+        if self.public and not tokens.OTHER.search(part):
+            return tokens.SPLIT.findall(part.encode())
+        return [piece.encode() for piece in self.pattern.findall(part)]
+
+    def _ids(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and where each piece's begin, with the end."""
-        text = "".join(parts)
-        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        if len(data) > len(text):  # from characters to bytes
-            ends = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))[ends]
-        starts = np.concatenate(([0], ends[:-1]))
-        slot = self._known(data, starts, ends)
+        slot = self._known(data, np.concatenate(([0], ends[:-1])), ends)
         one = slot >= 0
-        counts, rest = np.ones(len(pieces), np.int64), []
-        for k in np.flatnonzero(~one).tolist():
-            rest.append(self._merged(pieces[k].encode()))
-            counts[k] = len(rest[-1]) // 4
+        if len(self.merged) > MERGED:
+            self.merged.clear()
+        rest = list(map(self.merged.__getitem__, compress(pieces, (~one).tolist())))
+        counts = np.ones(len(pieces), np.int64)
+        counts[~one] = np.fromiter(map(len, rest), np.int64, len(rest)) // 4
         offsets = np.concatenate(([0], np.cumsum(counts)))
         ids, whole = np.empty(offsets[-1], "<u4"), np.zeros(offsets[-1], dtype=bool)
         whole[offsets[:-1][one]] = True
@@ -184,25 +202,16 @@ class Vocabulary:
         ids[~whole] = np.frombuffer(b"".join(rest), "<u4")
         return ids, offsets
 
-    def _merged(self, piece: bytes) -> bytes:
-        found = self.merged.get(piece)
-        if found is None:
-            if len(self.merged) >= MERGED:
-                self.merged.clear()
-            found = self.merged[piece] = np.array(merge(piece, self.ranks), "<u4").tobytes()
-        return found
-
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text, in order. Pre-tokens of neighbouring texts are looked up together."""
-        parts: list[str] = []
-        pieces: list[str] = []
+        pieces: list[bytes] = []
         marks: list[tuple[int, bool]] = []  # pieces after a slice, and whether its text ends there
         open_text: list[np.ndarray] = []
         chars = 0
 
         def flush() -> Iterator[np.ndarray]:
             nonlocal open_text, chars
-            ids, offsets = self._ids(parts, pieces)
+            ids, offsets = self._ids(pieces)
             first = 0
             for last, ends in marks:
                 open_text.append(ids[offsets[first] : offsets[last]])
@@ -210,15 +219,13 @@ class Vocabulary:
                 if ends:
                     yield open_text[0] if len(open_text) == 1 else np.concatenate(open_text)
                     open_text = []
-            parts.clear()
             pieces.clear()
             marks.clear()
             chars = 0
 
         for text in texts:
             for part in self._slices(text or ""):
-                parts.append(part)
-                pieces += self.pattern.findall(part)
+                pieces += self._split(part)
                 marks.append((len(pieces), False))
                 chars += len(part)
                 if chars >= CHUNK_CHARS:
@@ -245,15 +252,15 @@ def vocabulary(name_or_path: str = DEFAULT_FILE, pattern: str | None = None) ->
     """
     key = (name_or_path, pattern)
     if key not in _vocabularies:
-        path = name_or_path
-        if "/" not in path or pattern is None:
+        path, split = name_or_path, pattern
+        if "/" not in path or split is None:
             import public_tokenizers
 
             path = path if "/" in path else public_tokenizers.path(path)
-            pattern = pattern or public_tokenizers.PATTERN
+            split = split or public_tokenizers.PATTERN
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _vocabularies[key] = Vocabulary(ranks, pattern)
+        _vocabularies[key] = Vocabulary(ranks, split, public=pattern is None)
     return _vocabularies[key]
 
 
