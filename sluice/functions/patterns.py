@@ -2,7 +2,7 @@
 
 Word edges are spelled as look-arounds over Unicode letters, numbers and underscore rather
 than ``\\b``, whose meaning changes between Java releases. Case folding is spelled out where
-Unicode has extra partners (long s, dotless and dotted i, Kelvin sign), so no flag is needed.
+Unicode has extra partners that are wanted (long s, dotless and dotted i, Kelvin sign).
 """
 
 WORD = r"[\p{L}\p{N}_]"
@@ -28,8 +28,8 @@ PASSPORT_CHAR = "[A-Za-z0-9\u0130\u0131\u017f\u212a]"
 PASSPORT = rf"{PASSPORT_WORD}[^\n]*?{EDGE_L}({PASSPORT_CHAR}{{6,10}}){EDGE_R}"
 
 MRN_LOWER = rf"{EDGE_L}mrn{EDGE_R}"
-MRN_SPACED = rf"(?=[Mm]){EDGE_L}[Mm][Rr][Nn]{SPACE}*\p{{Nd}}+{EDGE_R}"
-MRN_PUNCT = rf"(?=[Mm]){EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*\p{{Nd}}+{EDGE_R}"
+MRN_SPACED = rf"(?=[Mm]){EDGE_L}(?i:mrn){SPACE}*\p{{Nd}}+{EDGE_R}"
+MRN_PUNCT = rf"(?=[Mm]){EDGE_L}(?i:mrn)(?::|{SPACE})*\p{{Nd}}+{EDGE_R}"
 
 PHI_LOWER = (
     rf"{EDGE_L}(?:patient|diagnosis|diagnosed|medication|strep|test(?:ed)? positive){EDGE_R}"
@@ -39,18 +39,20 @@ PHI_STEMS = ["patient", "diagnos", "medication", "strep", " positive"]
 
 ADDRESS = (
     rf"(?=\p{{Nd}}){EDGE_L}\p{{Nd}}+{SPACE}+{WORD}+{SPACE}+"
-    "(?:[Bb][Ll][Vv][Dd]|[Ss\u017f][Tt]|[Aa][Vv][Ee]|[Rr][Dd]|[Dd][Rr][Ii\u0130\u0131][Vv][Ee]|[Dd][Rr])"
+    "(?:(?i:blvd|ave|rd|dr)|[Ss\u017f][Tt]|[Dd][Rr][Ii\u0130\u0131][Vv][Ee])"
     rf"{EDGE_R}"
 )
 
-# Masking patterns: (name, pattern, replacement in Java form, substring the lower-cased text must hold).
-MASKS = [
-    ("SSN", rf"(?=\p{{Nd}}){EDGE_L}{SSN_CORE}{EDGE_R}", "[SSN]", "-"),
-    ("ROUTING",
-     r"([Rr][Oo][Uu][Tt][Ii][Nn][Gg] (?:[Nn][Uu][Mm][Bb][Ee][Rr] )?)\p{Nd}{9}",
-     "$1[ROUTING]", "routing "),
-    ("PASSPORT",
-     rf"({PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n])[A-Za-z]*[0-9][A-Za-z0-9]*",
-     "$1[PASSPORT]", "port"),
-    ("MRN", rf"((?=[Mm]){EDGE_L}[Mm][Rr][Nn](?::|{SPACE})*)\p{{Nd}}+", "$1[MRN]", "mrn"),
+# What masking cuts out: (type, pattern whose group is the value at its end, substring the lower-cased text must hold).
+# A passport is masked as it is detected, the first token of six to ten characters, and as it is written, the
+# first token with a digit.
+MRN_GAP = SPACE.replace("[", "[:", 1)
+SPANS = [
+    ("SSN", rf"(?=\p{{Nd}}){EDGE_L}({SSN_CORE}){EDGE_R}", "-"),
+    ("ROUTING", r"(?i:routing (?:number )?)(\p{Nd}{9})", "routing "),
+    ("PASSPORT", PASSPORT, "port"),
+    ("PASSPORT", rf"{PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n]([A-Za-z]*[0-9][A-Za-z0-9]*)", "port"),
+    ("MRN", rf"{EDGE_L}(?i:mrn){MRN_GAP}*(\p{{Nd}}+)", "mrn"),
 ]
+# The detectors that no rule uses: street addresses and bare words of nine digits.
+SPARE_SPANS = [("ADDRESS", f"({ADDRESS})", " "), ("ROUTING", f"({NINE_DIGITS})", "")]

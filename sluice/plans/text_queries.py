@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.functions import detect, labels, masking
+from sluice.functions import patterns as P
 from sluice.functions.rows import explode_found
 from sluice.operators import taxonomy
 from sluice.plans import fixed_values as V
@@ -120,14 +121,19 @@ def output_leaks(spark, folder):
 
 
 SQL_MASKED = rf"""
-    masked AS (SELECT doc_id, text,
+    chained AS (SELECT *,
       regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text,
         '(^|{T.NOT_WORD})\p{{Nd}}{{3}}-\p{{Nd}}{{2}}-\p{{Nd}}{{4}}({T.NOT_WORD}|$)', '\1[SSN]\2', 'g'),
         '(^|{T.NOT_WORD})\p{{Nd}}{{3}}-\p{{Nd}}{{2}}-\p{{Nd}}{{4}}({T.NOT_WORD}|$)', '\1[SSN]\2', 'g'),
-        '([Rr][Oo][Uu][Tt][Ii][Nn][Gg] ([Nn][Uu][Mm][Bb][Ee][Rr] )?)\p{{Nd}}{{9}}', '\1[ROUTING]', 'g'),
+        '((?i:routing (number )?))\p{{Nd}}{{9}}', '\1[ROUTING]', 'g'),
         '({T.PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n])[A-Za-z]*[0-9][A-Za-z0-9]*', '\1[PASSPORT]', 'g'),
-        '((^|{T.NOT_WORD})[Mm][Rr][Nn](:|{T.SPACE})*)\p{{Nd}}+', '\1[MRN]', 'g') AS masked_text
-      FROM docs)"""
+        '((^|{T.NOT_WORD})(?i:mrn)(:|{T.SPACE})*)\p{{Nd}}+', '\1[MRN]', 'g') AS chain
+      FROM docs),
+    masked AS (SELECT doc_id, text,
+      CASE WHEN regexp_matches(regexp_extract(text, '{T.SQL_PASSPORT}', 1), '^[^0-9]+$')
+        THEN regexp_replace(chain, '({T.PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n])[A-Za-z0-9]{{6,10}}({T.NOT_WORD}|$)', '\1[PASSPORT]\2')
+        ELSE chain END AS masked_text
+      FROM chained)"""
 
 
 @query(
@@ -142,6 +148,43 @@ def masked_text(spark, folder):
     )
 
 
+@query(
+    "masked_spares",
+    T.sql_docs("," + SQL_MASKED) + rf"""
+    SELECT doc_id, regexp_replace(regexp_replace(masked_text, '({T.START})\p{{Nd}}+{T.SPACE}+{T.WORD}+{T.SPACE}+((?i:blvd|ave|rd|dr)|[Ssſ][Tt]|[Dd][Rr][Iiİı][Vv][Ee])({T.END})',
+      '\1[ADDRESS]\3', 'g'), '({T.START})\p{{Nd}}{{9}}({T.END})', '\1[ROUTING]\2', 'g') AS masked_text FROM masked""",
+)
+def masked_spares(spark, folder):
+    """Masking with the detectors that no rule uses as well: street addresses and bare words of nine digits."""
+    masked = masking.with_masked(documents(spark, folder), detectors=P.SPANS + P.SPARE_SPANS)
+    return masked.select("doc_id", "masked_text")
+
+
+@query(
+    "unmasked_values",
+    T.sql_docs() + """
+    SELECT u.type, u.n AS n_detected, 0::BIGINT AS n_left FROM (
+      SELECT count(ssn) AS s, count(routing) AS r, count(passport) AS p, count(*) FILTER (mrn AND regexp_matches(text, '""" + T.SQL_MRN_PUNCT + """')) AS m FROM hits),
+      LATERAL (SELECT unnest(['SSN', 'ROUTING', 'PASSPORT', 'MRN']) AS type, unnest([s, r, p, m]) AS n) u""",
+)
+def unmasked_values(spark, folder):
+    """How many documents hold a value of each type, and in how many it is still found once they are masked."""
+    kinds = ["SSN", "ROUTING", "PASSPORT", "MRN"]
+
+    def with_values(df, text, out):
+        scanned = detect.with_spare_flags(detect.with_hits(df, text), text)
+        found = F.array("hit_ssn", "hit_routing", "hit_passport", F.when(F.col("spare_mrn"), "number"))
+        return detect.drop_hits(scanned.withColumn(out, found)).drop("spare_ssn", "spare_routing", "spare_mrn")
+
+    masked = masking.with_masked(documents(spark, folder).select("text"))
+    rows = with_values(with_values(masked, "text", "before"), "masked_text", "after")
+    rows = rows.select("after", F.posexplode("before").alias("k", "value"))
+    left = F.get("after", F.col("k"))  # the mask itself reads like a passport's value
+    return rows.groupBy(F.get(F.array(*map(F.lit, kinds)), F.col("k")).alias("type")).agg(
+        F.count("value").alias("n_detected"), F.count_if(left.isNotNull() & ~left.isin(*kinds)).alias("n_left")
+    )
+
+
 @query(
     "evidence_previews",
     T.sql_docs("," + SQL_MASKED) + """

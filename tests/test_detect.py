@@ -85,6 +85,42 @@ def test_masking_leaves_no_match(spark):
     assert again["hit_ssn"] is None and again["hit_routing"] is None
 
 
+MASKED = [
+    ("passport ABCDEFG", "passport [PASSPORT]"),
+    ("Passport number is X1234567, ok", "Passport [PASSPORT] is [PASSPORT], ok"),
+    ("passport 123-45-6789 abcdefg", "passport [SSN] [PASSPORT]"),  # two detectors on the same digits
+    ("passport AB1234567 then PASSPORT CD7654321", "passport [PASSPORT] then PASSPORT [PASSPORT]"),
+    ("mrn 021000021 routing 021000021", "mrn [MRN] routing [ROUTING]"),
+    ("MRN::  \u3000 5 and 77 mrn 6", "MRN::  \u3000 [MRN] and 77 mrn [MRN]"),
+    ("\U0001f600 é 123-45-6789\n\U0001f600", "\U0001f600 é [SSN]\n\U0001f600"),
+    ("passport\nABCDEFG", "passport\nABCDEFG"),
+    ("123-45-6789" * 2, "123-45-6789" * 2),
+    ("", ""), ("classname - port routing mrn", "classname - port routing mrn"),
+    ("x" * 50_000 + " 123-45-6789 " + "y" * 50_000, "x" * 50_000 + " [SSN] " + "y" * 50_000),
+    ("111-22-3333 " * 300, "[SSN] " * 300),
+]
+
+
+def test_span_masking(spark):
+    rows = [(k, text, "x", 1) for k, (text, _) in enumerate(MASKED)]
+    df = spark.createDataFrame(rows, "id int, text string, _spans string, _low int")
+    out = masking.with_masked(df)
+    assert out.columns == [*df.columns, "masked_text"]
+    got = {r["id"]: r for r in out.collect()}
+    assert [got[k]["masked_text"] for k in range(len(MASKED))] == [want for _, want in MASKED]
+    assert {(r["_spans"], r["_low"]) for r in got.values()} == {("x", 1)}
+    assert masking.with_masked(df.limit(0)).count() == 0
+    # no value that a detector gives is left, but for the mask's own name
+    again = detect.with_hits(out.select("masked_text"), "masked_text").collect()
+    assert all(r["hit_ssn"] is None and r["hit_routing"] is None and r["hit_passport"] in (None, "PASSPORT") for r in again)
+
+
+def test_united_spans(spark):
+    spans = [(5, 9, "b"), (0, 3, "a"), (3, 4, "c"), (5, 12, "d"), (11, 13, "e"), (20, 21, "f")]
+    df = spark.createDataFrame([(spans,), ([],)], "s array<struct<start:int,end:int,type:string>>").select(masking.united(F.col("s")).alias("s"))
+    assert [[tuple(x) for x in r["s"]] for r in df.collect()] == [[(0, 3, "a"), (3, 4, "c"), (5, 13, "d"), (20, 21, "f")], []]
+
+
 def test_patterns_run_once_per_row(spark):
     df = detect.detect_entities(spark.createDataFrame([(1, "a")], "id int, text string"))
     plan = detect.explode_entities(df, "id")._jdf.queryExecution().executedPlan().toString()
