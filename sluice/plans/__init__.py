@@ -12,6 +12,7 @@ def all_queries():
         movement_queries,
         quality_queries,
         retrieval_queries,
+        sink_queries,
         source_queries,
         text_queries,
         violation_queries,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.decisions import decision_id
 from sluice.operators.tables import fixed_table
+from sluice.sources.staging import replace_partitions, staged, stored
 
 QUARANTINED = "RESTRICTED_PII"
 
@@ -35,22 +36,67 @@ def evidence_rows(
 
 
 def append_evidence(rows: DataFrame, path: str) -> None:
-    """Append decision rows as Parquet, partitioned by stage and date."""
+    """Append decision rows as Parquet, partitioned by stage and date, as they come: a repeated call repeats them."""
     rows.write.mode("append").partitionBy("stage", "date").parquet(path)
 
 
-def split_quarantine(df: DataFrame, label: str, open_path: str, quarantine_path: str) -> None:
-    """Write rows to their zone. Also fits ``foreachBatch``."""
-    zoned = df.withColumn("_zone", zone_of(F.col(label)))
-    zoned.where("_zone = 'open'").drop("_zone").write.mode("append").parquet(open_path)
-    zoned.where("_zone = 'quarantine'").drop("_zone").write.mode("append").parquet(quarantine_path)
+def append_new_evidence(rows: DataFrame, path: str, lookback_days: int = 1) -> None:
+    """Append the decisions that the log does not hold yet; a batch fed twice leaves one copy of each.
+
+    The rows are run once. Of the log only ids are read, and only in the stages and days of the batch and
+    ``lookback_days`` before them, so ``ts`` must be the time of the request, not that of the write. Of
+    several rows of one decision the first by time stays.
+    """
+    once = first_by(staged(rows, "evidence"), ["decision_id"], F.col("ts"), F.xxhash64(*rows.columns))
+    days = once.groupBy("stage").agg(F.min("date").alias("low"), F.max("date").alias("high")).collect()  # one row per stage
+    held = stored(rows.sparkSession, path, rows.schema)
+    near = F.lit(False)
+    for day in days:
+        near = near | (F.col("stage").eqNullSafe(day.stage) & F.col("date").between(F.date_sub(F.lit(day.low), lookback_days), F.lit(day.high)))
+    append_evidence(once.join(held.where(near).select("decision_id"), "decision_id", "left_anti"), path)
+
+
+def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """The first row of each key. Every task keeps one row per key before the shuffle, so no key gathers its rows."""
+    place = "_place"
+    while place in rows.columns:
+        place = f"_{place}"
+    ranked = rows.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(place) == 1).drop(place)
+
+
+def write_zones(df: DataFrame, label: str, path: str, batch_id: int) -> None:
+    """Write rows to ``zone=.../batch_id=...`` under ``path`` in one pass over them.
+
+    A batch that comes again replaces its own partitions, so it leaves one copy. Fits a numbered ``foreachBatch``.
+    """
+    zoned = df.withColumns({"zone": zone_of(F.col(label)), "batch_id": F.lit(batch_id).cast("long")})
+    replace_partitions(zoned, path, "zone", "batch_id")
+
+
+def split_quarantine(df: DataFrame, label: str, open_path: str, quarantine_path: str, batch_id: int | None = None) -> None:
+    """Write rows to the folder of their zone. The rows are run once; each zone is written from a staged table.
+
+    With a ``batch_id`` each folder is partitioned by it and a batch that comes again replaces itself; without
+    one, rows are appended as they come.
+    """
+    zone = "_zone"
+    while zone in df.columns:
+        zone = f"_{zone}"
+    zoned = staged(df.withColumn(zone, zone_of(F.col(label))), "zones")
+    for name, path in (("open", open_path), ("quarantine", quarantine_path)):
+        own = zoned.where(F.col(zone) == name).drop(zone)
+        if batch_id is None:
+            own.write.mode("append").parquet(path)
+        else:
+            replace_partitions(own.withColumn("batch_id", F.lit(batch_id).cast("long")), path, "batch_id")
 
 
 def latest_vectors(current: DataFrame | None, batch: DataFrame, seq: str = "seq") -> DataFrame:
     """State of a vector table after a batch: the last write of each ``(namespace, id)`` stays.
 
-    The winner is a maximum, reduced before the shuffle, so an id with most of the writes does not
-    gather in one task. Equal sequence numbers are settled by a hash of the content.
+    Each task keeps one write per key before the shuffle, so an id with most of the writes does not gather in
+    one task. Equal sequence numbers are settled by a hash of the content.
     """
     writes = batch if current is None else current.unionByName(batch)
     rest = [c for c in writes.columns if c not in ("namespace", "id")]
@@ -58,10 +104,8 @@ def latest_vectors(current: DataFrame | None, batch: DataFrame, seq: str = "seq"
     content = F.xxhash64(
         *[F.array_sort(F.map_entries(c)) if kinds[c].startswith("map") else F.col(c) for c in rest]
     )
-    won = writes.groupBy("namespace", "id").agg(
-        F.max_by(F.struct(*rest), F.struct(F.col(seq), content)).alias("_row")
-    )
-    return won.select("namespace", "id", *[F.col(f"_row.{c}").alias(c) for c in rest])
+    won = first_by(writes, ["namespace", "id"], F.col(seq).desc_nulls_last(), content.desc())
+    return won.select("namespace", "id", *rest)
 
 
 def write_report(report: DataFrame, path: str) -> None:
