@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import patterns as P
+from sluice.functions.rows import fresh
 
 PREVIEW_CHARS = 200
 SPAN = "struct<start:int,end:int,type:string>"
@@ -76,12 +77,12 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "spans", detectors:
     Each pattern is a projection of its own, run only on rows that hold its fixed word. The appended column
     replaces one of its name; all others stay.
     """
-    own = _fresh(df, "low", "found")
-    found = df.withColumns({own["low"]: F.lower(F.col(text)), own["found"]: F.array().cast(f"array<{SPAN}>")})
+    low, every = fresh(df, "_low"), fresh(df, "_found")
+    found = df.withColumns({low: F.lower(F.col(text)), every: F.array().cast(f"array<{SPAN}>")})
     for kind, pattern, needle in P.SPANS if detectors is None else detectors:
-        more = F.concat(own["found"], spans_of(F.col(text), kind, pattern))
-        found = found.withColumn(own["found"], F.when(F.contains(own["low"], F.lit(needle)), more).otherwise(F.col(own["found"])))
-    return found.withColumn(out, F.when(F.size(own["found"]) > 0, united(F.col(own["found"])))).drop(*own.values())
+        more = F.concat(every, spans_of(F.col(text), kind, pattern))
+        found = found.withColumn(every, F.when(F.contains(low, F.lit(needle)), more).otherwise(F.col(every)))
+    return found.withColumn(out, F.when(F.size(every) > 0, united(F.col(every)))).drop(low, every)
 
 
 def with_masked(
@@ -92,7 +93,7 @@ def with_masked(
     All values that the detectors find are gone from it: also a passport value without digits, and the
     second of two values that overlap.
     """
-    spans = _fresh(df, "spans")["spans"]
+    spans = fresh(df, "_spans")
     marked = with_spans(df, text, spans, detectors)
     return marked.withColumn(out, F.when(F.col(spans).isNull(), F.col(text)).otherwise(cut_out(F.col(text), F.col(spans)))).drop(spans)
 
@@ -101,14 +102,3 @@ def safe_preview(masked: Column, chars: int = PREVIEW_CHARS) -> Column:
     """First characters of already masked text."""
     return F.substring(F.coalesce(masked, F.lit("")), 1, chars)
 
-
-def _fresh(df: DataFrame, *names: str) -> dict[str, str]:
-    """Column names that the rows lack."""
-    taken = {c.lower() for c in df.columns}
-    found = {}
-    for name in names:
-        new = f"_{name}"
-        while new in taken:
-            new = f"_{new}"
-        found[name] = new
-    return found

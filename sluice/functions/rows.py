@@ -18,5 +18,14 @@ def explode_found(df: DataFrame, *keys: str, array: Column | str, alias: str) ->
 
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """Rows whose condition, made of costly columns, is true."""
-    kept = F.when(condition, F.array(F.lit(True)))
-    return df.select("*", F.explode_outer(kept).alias("_kept")).where(F.col("_kept").isNotNull()).drop("_kept")
+    kept = fresh(df, "_kept")
+    held = F.when(condition, F.array(F.lit(True)))
+    return df.select("*", F.explode_outer(held).alias(kept)).where(F.col(kept).isNotNull()).drop(kept)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column has it; letter case does not tell names apart."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

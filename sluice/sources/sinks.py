@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.decisions import decision_id
+from sluice.functions.rows import fresh
 from sluice.operators.tables import fixed_table
 from sluice.sources.staging import replace_partitions, staged, stored
 
@@ -58,9 +59,7 @@ def append_new_evidence(rows: DataFrame, path: str, lookback_days: int = 1) -> N
 
 def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key. Every task keeps one row per key before the shuffle, so no key gathers its rows."""
-    place = "_place"
-    while place in rows.columns:
-        place = f"_{place}"
+    place = fresh(rows, "_place")
     ranked = rows.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col(place) == 1).drop(place)
 
@@ -80,9 +79,7 @@ def split_quarantine(df: DataFrame, label: str, open_path: str, quarantine_path:
     With a ``batch_id`` each folder is partitioned by it and a batch that comes again replaces itself; without
     one, rows are appended as they come.
     """
-    zone = "_zone"
-    while zone in df.columns:
-        zone = f"_{zone}"
+    zone = fresh(df, "_zone")
     zoned = staged(df.withColumn(zone, zone_of(F.col(label))), "zones")
     for name, path in (("open", open_path), ("quarantine", quarantine_path)):
         own = zoned.where(F.col(zone) == name).drop(zone)
