@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
+from sluice.functions.rows import fresh
 from sluice.llm import files, hashing
 from sluice.llm.components import components
 
@@ -213,17 +214,19 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one row of each class stays, that of its least doc_id.
 
-    Of several rows of that id the first by text stays. Rows without doc_id all stay. Columns are unchanged.
+    Of several rows of that id the first by text stays. Rows without doc_id all stay. Columns are unchanged,
+    whatever their names; an empty table gives an empty one.
     """
-    gone = link_classes(docs, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    rest = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    repeated = rest.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1").select(F.col("doc_id").alias("many"))
-    single = rest.join(repeated, F.col("doc_id") == F.col("many"), "left_anti")
-    columns = docs.columns
+    gone_id, many, row = (fresh(docs, n) for n in ("gone_id", "many", "row"))
+    gone = link_classes(docs, percent).where("NOT kept").select(F.col("doc_id").alias(gone_id)).distinct()
+    rest = docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
+    repeated = rest.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias(many)).where(F.col(many) > 1).select(F.col("doc_id").alias(many))
+    single = rest.join(repeated, F.col("doc_id") == F.col(many), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     first = (
-        rest.join(repeated, F.col("doc_id") == F.col("many"))
-        .groupBy("many")
-        .agg(F.min_by(F.struct(*columns), F.struct("text", F.xxhash64(*columns))).alias("row"))
-        .select("row.*")
+        rest.join(repeated, F.col("doc_id") == F.col(many))
+        .groupBy(many)
+        .agg(F.min_by(F.struct(*columns), F.struct("text", F.xxhash64(*columns))).alias(row))
+        .select(f"{row}.*")
     )
     return single.unionByName(first)

@@ -13,6 +13,7 @@ import numpy as np
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
+from sluice.functions.rows import fresh, keep_where
 from sluice.llm import labels as L
 
 LABEL = "quality"
@@ -24,22 +25,28 @@ BINS = 32
 PENALTY = 5e-4
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with a column ``_stats``, a struct of doubles. Null text is empty; ratios of nothing are 0."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    split = docs.withColumn("_text", body).withColumn("_words", F.filter(F.split("_text", r"\s+"), lambda w: w != "")).withColumn(
-        "_lines", F.filter(F.split("_text", r"\n+"), lambda x: x != "")
+def with_statistics(docs: DataFrame, text: str = "text", out: str = "_stats") -> DataFrame:
+    """The rows with a column ``out``, a struct of doubles. Null text is empty; ratios of nothing are 0.
+
+    Texts are read whole, however long. All other columns stay as they are, whatever their names.
+    """
+    body, split_words, split_lines = (fresh(docs, n) for n in ("_text", "_words", "_lines"))
+    split = docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumns(
+        {
+            split_words: F.filter(F.split(body, r"\s+"), lambda w: w != ""),
+            split_lines: F.filter(F.split(body, r"\n+"), lambda x: x != ""),
+        }
     )
 
     def count(pattern: str) -> Column:
-        return F.regexp_count("_text", F.lit(pattern)).cast("double")
+        return F.regexp_count(body, F.lit(pattern)).cast("double")
 
     def share(part: Column, whole: Column) -> Column:
         return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
-    chars = F.char_length("_text").cast("double")
-    words = F.size("_words").cast("double")
-    lines = F.size("_lines").cast("double")
+    chars = F.char_length(body).cast("double")
+    words = F.size(split_words).cast("double")
+    lines = F.size(split_lines).cast("double")
     stats = {
         "log_words": F.log1p(words),
         "symbols": share(count(r"[^\p{L}\p{N}\s.,;:'\"()-]"), chars),
@@ -47,12 +54,12 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "digits": share(count(r"\p{Nd}"), chars),
         "ends": share(count(r"[.!?](?=\s|$)"), words),
         "word_length": share(chars, words),
-        "distinct_words": share(F.size(F.array_distinct("_words")).cast("double"), words),
-        "distinct_lines": share(F.size(F.array_distinct("_lines")).cast("double"), lines),
+        "distinct_words": share(F.size(F.array_distinct(split_words)).cast("double"), words),
+        "distinct_lines": share(F.size(F.array_distinct(split_lines)).cast("double"), lines),
         "words_a_line": share(words, lines),
         "short_words": share(count(r"(?<!\S)\S{1,2}(?!\S)"), words),
     }
-    return split.withColumn("_stats", F.struct(*(c.alias(n) for n, c in stats.items()))).drop("_text", "_words", "_lines")
+    return split.withColumn(out, F.struct(*(c.alias(n) for n, c in stats.items()))).drop(body, split_words, split_lines)
 
 
 STATISTICS = ["log_words", "symbols", "capitals", "digits", "ends", "word_length", "distinct_words", "distinct_lines", "words_a_line", "short_words"]
@@ -150,5 +157,16 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = L.SAMPLE) -> Ensemble:
 
 
 def scored(docs: DataFrame, model: Ensemble) -> DataFrame:
-    """The rows with ``score``. Null and empty texts are scored by their statistics, all zero."""
-    return with_statistics(docs).withColumn("score", model.score()).drop("_stats")
+    """The rows with one more column, the score: ``score``, or ``fresh(docs, "score")`` where the rows have such a column.
+
+    Null and empty texts are scored by their statistics, all zero. Every row is scored by itself, repeated ones too;
+    an empty table gives none. All columns of ``docs`` stay as they are.
+    """
+    stats = fresh(docs, "_stats")
+    return with_statistics(docs, out=stats).withColumn(fresh(docs, "score"), model.score(stats)).drop(stats)
+
+
+def kept(docs: DataFrame, model: Ensemble, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score ``threshold`` or more, columns unchanged. The statistics are computed once, not once a rule."""
+    name = fresh(docs, "score")
+    return keep_where(scored(docs, model), F.col(name) >= threshold).drop(name)

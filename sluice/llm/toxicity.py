@@ -19,7 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
+from sluice.functions.rows import fresh
 from sluice.llm import files
 from sluice.llm import labels as L
 
@@ -248,8 +250,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = L.SAMPLE) -> Grammar:
 
 
 def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """The rows with ``score``. Null and empty texts match nothing and get the score of such texts."""
-    schema = docs.drop("score").schema.add("score", "double")
+    """The rows with one more column, the score: ``score``, or ``fresh(docs, "score")`` where the rows have such a column.
+
+    Null and empty texts match nothing and get the score of such texts. Texts are read whole, however long; every
+    row is scored by itself, repeated ones too; an empty table gives none. All columns of ``docs`` stay as they are.
+    """
+    schema = StructType([*docs.schema.fields]).add(fresh(docs, "score"), "double")
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,4 +263,10 @@ def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
             scores = pa.array([grammar.score(t) for t in batch["text"].to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in names[:-1]), scores], names=names)
 
-    return docs.drop("score").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
+
+
+def kept(docs: DataFrame, grammar: Grammar, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below ``threshold``, columns unchanged."""
+    name = fresh(docs, "score")
+    return scored(docs, grammar).where(F.col(name) < threshold).drop(name)
