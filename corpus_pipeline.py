@@ -1,8 +1,13 @@
-"""The training-data pipeline over ``documents``: five stages, each on all that the one before it kept."""
+"""The training-data pipeline over ``documents``: five stages, each on all that the one before it kept.
+
+Every stage but the last returns the columns of its input unchanged, whatever further columns there are and whatever
+their names. Null text is judged as empty text, texts are read whole however long, rows with a null doc_id and
+repeated rows are judged each (near duplicates: one row of a repeated id stays, rows without id all stay), and an empty
+table gives an empty table. tests/llm/test_pipeline.py holds every stage against a plain version.
+"""
 
 from __future__ import annotations
 
-import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import decontaminate, files, minmax, packing, quality, toxicity
@@ -14,14 +19,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject."""
-    scored = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(docs.columns)
+    return toxicity.kept(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
 def low_quality_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules do not reject."""
-    scored = quality.scored(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
-    return scored.where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+    return quality.kept(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
