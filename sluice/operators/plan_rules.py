@@ -19,7 +19,6 @@ from sluice.plans.fixed_values import REQUIRED_ENV
 AFTER = "after"
 SSE_TYPE = "aws_s3_bucket_server_side_encryption_configuration"
 BUCKET_TYPE = "aws_s3_bucket"
-ENDING_CHARS = 12
 SSE_PATH = "$.apply_server_side_encryption_by_default"
 
 
@@ -119,17 +118,29 @@ BUNDLE_RULES = [
 ]
 
 FINDING = "array<struct<rule_id:string,control_ref:string,message:string>>"
+TAGGED = "array<struct<rule_id:string,control_ref:string,text:string,kind:int>>"
+# A plan there is; a finding; a bucket's address; text that a KMS configuration's address holds.
+PLAN, FOUND, BUCKET, COVERED = -1, 0, 1, 2
+BEGINNING = 4
+
+
+def _by_type(rules: list[Rule], fired: Callable[[Rule], Column]) -> tuple[Column, dict[str, list[Rule]]]:
+    """What the rules of a row's type give; a CASE on the type picks them."""
+    by_type: dict[str, list[Rule]] = {}
+    for rule in rules:
+        by_type.setdefault(rule.type, []).append(rule)
+    chain = None
+    for kind, group in by_type.items():
+        found = F.concat(*[fired(r) for r in group]) if len(group) > 1 else fired(group[0])
+        chain = F.when(F.col("type") == kind, found) if chain is None else chain.when(F.col("type") == kind, found)
+    return chain, by_type
 
 
 def row_findings(resources: DataFrame, rules: list[Rule]) -> DataFrame:
     """``plan_id, rule_id, control_ref, message`` of the rules that need one row only.
 
-    A CASE on the type picks the few rules of each row. Findings are a set, as in the rule
-    language: equal messages of a plan count once.
+    Findings are a set, as in the rule language: equal messages of a plan count once.
     """
-    by_type: dict[str, list[Rule]] = {}
-    for rule in rules:
-        by_type.setdefault(rule.type, []).append(rule)
     none = F.array().cast(FINDING)
 
     def fired(rule: Rule) -> Column:
@@ -140,60 +151,108 @@ def row_findings(resources: DataFrame, rules: list[Rule]) -> DataFrame:
         # A message cannot be formed without its subject, and then the rule does not fire.
         return F.when(rule.test() & F.col(rule.subject).isNotNull(), F.array(row)).otherwise(none)
 
-    chain = None
-    for kind, group in by_type.items():
-        found = F.concat(*[fired(r) for r in group]) if len(group) > 1 else fired(group[0])
-        chain = F.when(F.col("type") == kind, found) if chain is None else chain.when(F.col("type") == kind, found)
+    chain, by_type = _by_type(rules, fired)
     some = resources.where(F.col("type").isin(*by_type))
     listed = explode_found(some, "plan_id", array=chain, alias="_found")
     return listed.select("plan_id", "_found.rule_id", "_found.control_ref", "_found.message").distinct()
 
 
-def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
-    """Evidence buckets with no KMS configuration in the plan whose address contains theirs.
+def _is_evidence_bucket() -> Column:
+    return (F.col("type") == BUCKET_TYPE) & F.contains(F.lower("name"), F.lit("evidence")) & F.col("address").isNotNull()
+
+
+def _covered_texts(shape: Column) -> Column:
+    """The texts within an address that can be a bucket's: they begin as one does and are as long as one is."""
+    starts = F.filter(
+        F.sequence(F.lit(1), F.length("address")),
+        lambda i: F.exists(shape["beginnings"], lambda b: F.substring(F.col("address"), i, F.length(b)) == b),
+    )
+    return F.flatten(
+        F.transform(
+            starts,
+            lambda i: F.transform(
+                F.filter(shape["lengths"], lambda n: i + n - 1 <= F.length("address")), lambda n: F.substring(F.col("address"), i, n)
+            ),
+        )
+    )
+
+
+def _tagged(resources: DataFrame, plans: bool = False) -> DataFrame:
+    """``plan_id, tags``: per resource its findings, its address if it is an evidence bucket, the texts that it covers.
 
-    Containment is turned into equality, so that buckets and configurations of a plan are never
-    paired up. A bucket address is known by its ending; each place of a configuration address where
-    such an ending occurs yields the text that ends there, cut to the lengths of the addresses with
-    that ending, and those texts are anti-joined on plan and address. Run it on a written resource
-    table, where the type filters reach the scan.
+    With ``plans`` every resource also says that there is its plan.
+
+    Containment of addresses becomes equality of texts, so buckets and configurations of a plan are never
+    paired up. Which texts a configuration gives is told by one small value, the lengths and the first characters
+    of the bucket addresses, from a scan that reads no planned values.
     """
-    buckets = resources.where(
-        (F.col("type") == BUCKET_TYPE) & F.contains(F.lower("name"), F.lit("evidence")) & F.col("address").isNotNull()
-    ).select("plan_id", "address").distinct()
+    none = F.array().cast(TAGGED)
+    evidence = EVIDENCE_BUCKET_RULE
+
+    def tag(rule: Rule, text: Column, kind: int) -> Column:
+        return F.struct(
+            F.lit(rule.id).alias("rule_id"), F.lit(rule.control).cast("string").alias("control_ref"), text.alias("text"), F.lit(kind).alias("kind")
+        )
+
+    def fired(rule: Rule) -> Column:
+        return F.when(rule.test() & F.col(rule.subject).isNotNull(), F.array(tag(rule, rule.text(), FOUND))).otherwise(none)
+
+    shape = resources.where(_is_evidence_bucket()).agg(
+        F.struct(
+            F.collect_set(F.length("address")).alias("lengths"), F.collect_set(F.substring("address", 1, BEGINNING)).alias("beginnings")
+        )
+    ).scalar()
     kms = any_item(items_at(F.col(AFTER), "$.rule"), lambda r: json_at(r, f"{SSE_PATH}.sse_algorithm") == '"aws:kms"')
-    configs = resources.where((F.col("type") == SSE_TYPE) & F.col("address").isNotNull() & kms).select(
-        "plan_id", F.col("address").alias("_holder")
-    ).distinct()
-    endings = buckets.groupBy("plan_id", F.expr(f"right(address, {ENDING_CHARS})").alias("_ending")).agg(
-        F.collect_set(F.length("address")).alias("_lengths")
+    covers = (F.col("type") == SSE_TYPE) & F.col("address").isNotNull() & kms
+    chain, by_type = _by_type(CONTROL_RULES, fired)
+    some = resources if plans else resources.where(F.col("type").isin(*by_type, BUCKET_TYPE))
+    there = F.struct(F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias("control_ref"), F.lit(None).cast("string").alias("text"), F.lit(PLAN).alias("kind"))
+    return some.withColumn("_shape", shape).select(
+        "plan_id",
+        F.concat(
+            *([F.array(there)] if plans else []),
+            F.coalesce(chain, none),
+            F.when(_is_evidence_bucket(), F.array(tag(evidence, F.col("address"), BUCKET))).otherwise(none),
+            F.when(covers, F.transform(_covered_texts(F.col("_shape")), lambda t: tag(evidence, t, COVERED))).otherwise(none),
+        ).cast(TAGGED).alias("tags"),
     )
-    # At most ENDING_CHARS numbers: endings are shorter only where a whole address is.
-    ending_sizes = buckets.agg(F.collect_set(F.expr(f"least(length(address), {ENDING_CHARS})"))).scalar()
-    sized = configs.select("plan_id", "_holder", F.explode(ending_sizes).alias("_n")).where("_n <= length(_holder)")
-    places = sized.select(
-        "plan_id", "_holder", "_n", F.explode(F.expr("sequence(_n, length(_holder))")).alias("_stop")
-    ).withColumn("_ending", F.expr("substring(_holder, _stop - _n + 1, _n)"))
-    met = places.join(endings, ["plan_id", "_ending"]).select("plan_id", "_holder", "_stop", F.explode("_lengths").alias("_len"))
-    covered = met.where("_len <= _stop").select(
-        "plan_id", F.expr("substring(_holder, _stop - _len + 1, _len)").alias("address")
-    ).distinct()
-    rule = EVIDENCE_BUCKET_RULE
-    return buckets.join(covered, ["plan_id", "address"], "left_anti").select(
-        "plan_id", F.lit(rule.id).alias("rule_id"), F.lit(rule.control).alias("control_ref"), rule.text().alias("message")
+
+
+def _denials(tagged: DataFrame) -> DataFrame:
+    """Findings, and the plans there are, from tagged rows: one grouping by plan and text."""
+    rows = explode_found(tagged, "plan_id", array="tags", alias="_t").select("plan_id", "_t.*")
+    met = rows.groupBy("plan_id", "rule_id", "control_ref", "text").agg(F.min("kind").alias("kind"), F.max("kind").alias("most"))
+    message = F.concat(F.lit(f"[{EVIDENCE_BUCKET_RULE.control}] {EVIDENCE_BUCKET_RULE.message}"), "text")
+    return met.where(F.col("most") < COVERED).select(
+        "plan_id", "kind", "rule_id", "control_ref", F.when(F.col("kind") == BUCKET, message).otherwise(F.col("text")).alias("message")
     )
 
 
 def plan_denials(resources: DataFrame) -> DataFrame:
-    """All findings of the control rules, per plan."""
-    return row_findings(resources, CONTROL_RULES).unionByName(evidence_bucket_findings(resources))
+    """All findings of the control rules, per plan: ``plan_id, rule_id, control_ref, message``.
 
+    One pass tags the resources, and one grouping by plan and text makes findings a set and drops the evidence buckets
+    whose address a KMS configuration of their plan holds.
+    """
+    return _denials(_tagged(resources)).drop("kind")
 
-def plan_verdicts(resources: DataFrame, denials: DataFrame) -> DataFrame:
-    """One row per plan: number of findings, and allowed if there are none."""
-    marked = resources.select("plan_id", F.lit(0).cast("bigint").alias("_n")).unionByName(
-        denials.select("plan_id", F.lit(1).cast("bigint").alias("_n"))
-    )
+
+def evidence_bucket_findings(resources: DataFrame) -> DataFrame:
+    """Evidence buckets with no KMS configuration in the plan whose address contains theirs."""
+    return plan_denials(resources).where(F.col("rule_id") == EVIDENCE_BUCKET_RULE.id)
+
+
+def plan_verdicts(resources: DataFrame, denials: DataFrame | None = None) -> DataFrame:
+    """One row per plan: number of findings, and allowed if there are none.
+
+    Without ``denials`` the control rules are run here, in the same pass that lists the plans.
+    """
+    if denials is None:
+        marked = _denials(_tagged(resources, plans=True)).select("plan_id", (F.col("kind") != PLAN).cast("bigint").alias("_n"))
+    else:
+        marked = resources.select("plan_id", F.lit(0).cast("bigint").alias("_n")).unionByName(
+            denials.select("plan_id", F.lit(1).cast("bigint").alias("_n"))
+        )
     counts = marked.groupBy("plan_id").agg(F.sum("_n").alias("n_findings"))
     return counts.withColumn("allow", F.col("n_findings") == 0)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.functions import detect
+from sluice.operators import drift as D
 from sluice.operators import quality as Q
 from sluice.operators import violations as R
 from sluice.operators.tables import fixed_table
@@ -116,6 +117,34 @@ def drift_labels(spark, folder):
     return Q.drift(weekly(spark, folder), "week", "event_type", EVENT_TYPES, 0).withColumn("psi", F.round("psi", 6))
 
 
+_DRIFT_SQL = f"""WITH e AS (SELECT {_WEEK} AS week, {_LATER_TYPE} AS event_type,
+      CASE WHEN event_id % 50 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 20 = 1 THEN NULL ELSE value END AS value, user_id % 97 AS user_group FROM events),
+    v AS (SELECT week, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, user_group::DOUBLE AS user_group, event_type FROM e),
+    q AS (SELECT quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS ve,
+      quantile_disc(user_group, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS ue, list_distinct(list(event_type)) AS items FROM v WHERE week = 0),
+    b AS (
+      SELECT week, 'value' AS "column", CASE WHEN value IS NULL THEN '0' ELSE (len(list_filter(list_distinct(ve), lambda x: x < value)) + 1)::VARCHAR END AS bin FROM v, q
+      UNION ALL SELECT week, 'user_group', CASE WHEN user_group IS NULL THEN '0' ELSE (len(list_filter(list_distinct(ue), lambda x: x < user_group)) + 1)::VARCHAR END FROM v, q
+      UNION ALL SELECT week, 'event_type', CASE WHEN event_type IS NULL THEN '0' WHEN list_contains(items, event_type) THEN event_type ELSE 'other' END FROM v, q),
+    c AS (SELECT week, "column", bin, count(*) AS n FROM b GROUP BY ALL),
+    t AS (SELECT week, "column", sum(n) AS total FROM c GROUP BY ALL),
+    g AS (SELECT t.week, t."column", total, greatest(coalesce(c.n / total, 0), 0.0001) AS s, x.bin
+      FROM t JOIN (SELECT DISTINCT "column", bin FROM c) x USING ("column") LEFT JOIN c ON c.week = t.week AND c."column" = t."column" AND c.bin = x.bin)
+    SELECT g."column", g.week AS period, any_value(g.total)::BIGINT AS n, round(sum((g.s - z.s) * ln(g.s / z.s)), 6) AS psi, sum((g.s - z.s) * ln(g.s / z.s)) > 0.2 AS alert
+    FROM g JOIN g z ON z.week = 0 AND z."column" = g."column" AND z.bin = g.bin GROUP BY 1, 2"""
+
+
+@query("drift_columns", _DRIFT_SQL)
+def drift_columns(spark, folder):
+    """Two numbers and a text at once, with missing values; no bins are known beforehand."""
+    week = F.expr("cast(floor(datediff(to_date(ts), date'2024-01-01') / 7) as int)")
+    rows = table(spark, folder, "events").select(
+        week.alias("week"), F.expr("CASE WHEN event_id % 50 = 0 THEN double('NaN') WHEN event_id % 20 = 1 THEN NULL ELSE value END").alias("value"),
+        F.expr("user_id % 97").alias("user_group"), F.expr(_LATER_TYPE).alias("event_type"),
+    )
+    return D.drift_columns(rows, "week", 0, ["value", "user_group"], ["event_type"]).withColumn("psi", F.round("psi", 6))
+
+
 _TRAIN_SQL = "('0x' || md5(vec_id::VARCHAR)[1:8])::BIGINT % 100 < 80"
 
 

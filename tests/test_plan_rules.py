@@ -163,3 +163,28 @@ def test_read_plans(spark, tmp_path):
     (tmp_path / "r.txt").write_text("{}")
     out = read_plans(spark, str(tmp_path)).select("plan_id", F.is_variant_null("after").alias("n")).collect()
     assert [(r["plan_id"], r["n"]) for r in out] == [("p.json", True)]
+
+
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("SortAggregate"), plan.count("from_json"), plan.count("NestedLoop")
+
+
+def test_two_scans(spark):
+    """One for what the bucket addresses look like, one for everything else."""
+    from sluice.plans import all_queries
+
+    for name in ("plan_denies", "plan_allow"):
+        assert scans(all_queries()[name].run(spark, "/root/testdata/sf0.001")) == (2, 0, 0, 0)
+
+
+def test_verdicts_in_one_pass_equal_those_in_two(spark):
+    plans = [
+        ("p1", "aws_iam_user", "u", "a.u", "{}"), ("p2", "aws_iam_user", "u", "a.u", None), ("p3", "other", "x", "o.x", "{}"), (None, "other", "x", None, None),
+        ("p1", P.BUCKET_TYPE, "Evidence", "b.e", "{}"), ("p1", P.SSE_TYPE, "s", "x/b.e/y", None),
+        ("p4", P.BUCKET_TYPE, "evidence", "b.e", "{}"), ("p4", P.SSE_TYPE, "s", "x/b.e/y", '{"rule":[{"apply_server_side_encryption_by_default":{"sse_algorithm":"aws:kms"}}]}'),
+    ]
+    df = spark.createDataFrame(plans, "plan_id string, type string, name string, address string, t string").withColumn("after", F.try_parse_json("t")).drop("t")
+    one = {(r.plan_id, r.n_findings, r.allow) for r in P.plan_verdicts(df).collect()}
+    assert one == {(r.plan_id, r.n_findings, r.allow) for r in P.plan_verdicts(df, P.plan_denials(df)).collect()}
+    assert one == {("p1", 2, False), ("p2", 0, True), ("p3", 0, True), (None, 0, True), ("p4", 0, True)}
