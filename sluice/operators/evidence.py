@@ -6,9 +6,10 @@ them; nested records are built in parts of bounded size only for writing a docum
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.rows import first_by
 from sluice.operators.tables import fixed_table
 from sluice.plans import fixed_values as V
 
@@ -17,6 +18,8 @@ CONTROL_SCHEMA = (
     "frameworks array<struct<name:string,ref:string>>, "
     "tools struct<opa_policies:array<string>,checkov_checks:array<string>,evidence_sources:array<string>>"
 )
+PART_BYTES = 1 << 20  # of a control's links in one record of a document
+STRETCH = 64  # parts that one task sums up
 LINK_COLUMNS = ["control_id", "kind", "tool_id", "package", "rule", "description"]
 
 
@@ -78,8 +81,7 @@ def current_controls(controls: DataFrame) -> DataFrame:
     """Catalog without blank ids; of repeated ids the last one stays."""
     rest = [c for c in controls.columns if c != "id"]
     kept = controls.where((F.col("id") != "") & F.col("id").isNotNull())
-    last = kept.groupBy("id").agg(F.max_by(F.struct(*rest), "ordinal").alias("_c"))
-    return last.select("id", *[F.col(f"_c.{c}").alias(c) for c in rest])
+    return first_by(kept, ["id"], F.col("ordinal").desc_nulls_last(), F.xxhash64(*rest)).select("id", *rest)
 
 
 def all_links(current: DataFrame, policies: DataFrame, checks: DataFrame) -> DataFrame:
@@ -118,6 +120,64 @@ def nested_links(links: DataFrame, max_links: int = 1000) -> DataFrame:
     return placed.groupBy("control_id", "part").agg(F.sort_array(F.collect_list(F.struct(*columns, "n"))).alias("links"))
 
 
+def link_parts(links: DataFrame, max_bytes: int = PART_BYTES) -> DataFrame:
+    """Distinct links with their number ``n`` and the ``part`` of their control that they go to.
+
+    A control's links stand in order, and a part takes as many as fit: their JSON texts add up to ``max_bytes`` at most,
+    or it is one link. Links of a control are summed up within stretches of about ``STRETCH`` parts, to which a hash
+    deals them, so a control with most of the links is many tasks; up to one stretch they stay in order as a whole.
+    """
+    columns = ["kind", "tool_id", "package", "rule", "description"]
+    once = links.groupBy("control_id", *columns).agg(F.count(F.lit(1)).alias("n"))
+    sized = once.withColumn("_size", F.octet_length(F.to_json(F.struct(*columns, "n"))).cast("bigint"))
+    stretches = sized.groupBy("control_id").agg(F.ceil(F.sum("_size") / (STRETCH * max_bytes)).alias("_stretches"))
+    placed = sized.join(stretches, "control_id").withColumn("_stretch", F.pmod(F.xxhash64(*columns), F.col("_stretches")))
+    order = Window.partitionBy("control_id", "_stretch").orderBy(*columns)
+    # A link above half the bound stands alone; the others share runs of half the bound, by where they begin.
+    alone = F.col("_size") > max_bytes / 2
+    before = placed.withColumns(
+        {
+            "_begin": F.sum(F.when(alone, 0).otherwise(F.col("_size"))).over(order) - F.when(alone, 0).otherwise(F.col("_size")),
+            "_large": F.when(alone, F.sum(F.when(alone, 1).otherwise(0)).over(order)).otherwise(0),
+        }
+    ).withColumn("_run", F.floor(F.col("_begin") / (max_bytes / 2)))
+    ranked = before.withColumn("_local", F.dense_rank().over(Window.partitionBy("control_id", "_stretch").orderBy("_run", "_large")) - 1)
+    counts = ranked.groupBy("control_id", "_stretch").agg((F.max("_local") + 1).alias("_parts"))
+    starts = counts.select(
+        "control_id", "_stretch",
+        (F.sum("_parts").over(Window.partitionBy("control_id").orderBy("_stretch")) - F.col("_parts")).alias("_start"),
+    )
+    return ranked.join(starts, ["control_id", "_stretch"]).select(
+        "control_id", (F.col("_start") + F.col("_local")).alias("part"), *columns, "n"
+    )
+
+
+def control_parts(current: DataFrame, links: DataFrame, max_bytes: int = PART_BYTES) -> DataFrame:
+    """Controls of the catalog and of the mappings as records of a document: ``id``, catalog fields, ``in_catalog, part, tools``.
+
+    Every control has a part 0, which alone carries the catalog fields; further parts carry further links.
+    """
+    parts = link_parts(links, max_bytes).groupBy("control_id", "part").agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("kind") == kind, _record(kind)))).alias(kind) for kind in V.TOOL_KEYS]
+    )
+    tools = F.struct(*[F.coalesce(F.col(kind), F.array()).alias(kind) for kind in V.TOOL_KEYS])
+    rest = [c for c in current.columns if c not in ("id", "tools")]
+    first = (F.col("id") == F.col("control_id")) & (F.col("_part") == F.col("part"))
+    heads = current.withColumn("_part", F.lit(0).cast("bigint"))
+    joined = heads.join(parts, first, "full_outer").withColumn("_id", F.coalesce("id", "control_id"))
+    known = current.select(F.col("id").alias("_known")).distinct()
+    marked = joined.join(known, F.col("_id") == F.col("_known"), "left")
+    return marked.select(
+        F.col("_id").alias("id"), *rest, F.col("_known").isNotNull().alias("in_catalog"), F.coalesce("part", "_part").alias("part"), tools.alias("tools")
+    )
+
+
+def _record(kind: str) -> Column:
+    """A tool as a list item: checks have a ``check_id``, all others an ``id``; fields that are NULL are left out of JSON."""
+    name = F.col("tool_id").alias("check_id" if kind == "checkov_checks" else "id")
+    return F.struct(name, "package", "rule", "description", "n")
+
+
 def dangling(links: DataFrame, inventory: DataFrame, path: str = "path") -> DataFrame:
     """Artifacts that controls refer to and the inventory does not hold."""
     return links.select("control_id", F.col("tool_id").alias(path)).join(

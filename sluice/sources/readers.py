@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.patterns import SPACE_CHARS
 from sluice.functions.rows import keep_where
-from sluice.operators.evidence import CONTROL_SCHEMA
+from sluice.operators.evidence import CONTROL_SCHEMA, PART_BYTES, control_parts
 from sluice.operators.moves import FLOW_SCHEMA
 from sluice.plans import fixed_values as V
+from sluice.sources.paths import below
+from sluice.sources.staging import replace_partitions, stored
 
 DEFAULT_PREFIXES = "clean/,sensitive/"
 
@@ -28,20 +30,13 @@ def _existing(spark: SparkSession, path: str, **options) -> DataFrame | None:
         raise
 
 
-def below(path: Column, folder: str) -> Column:
-    """Part of a file path below a folder. File paths are percent-encoded; the folder is cut off where it
-    first occurs, as its name may be repeated further down."""
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    root = "/" + folder.removeprefix("file:").lstrip("/") if folder.startswith(("file:", "/")) else folder
-    return F.substring(plain, F.instr(plain, root) + len(root), F.length(plain))
-
-
-def read_corpus(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
-    """``prefix, s3_key, body`` of every ``*.json`` file under the prefixes.
+def read_corpus(spark: SparkSession, root: str, prefixes: list[str] | None = None, digests: bool = False) -> DataFrame:
+    """``prefix, s3_key, body`` of every ``*.json`` file under the prefixes, with ``digests`` also ``digest`` (SHA-256).
 
     ``body`` is NULL for files that are not JSON. A prefix with no files gives no rows. All files
     are read, however many a listing page would hold.
     """
+    more = [F.sha2("value", 256).alias("digest")] if digests else []
     base = root.rstrip("/")
     found = None
     for prefix in prefix_list() if prefixes is None else prefixes:
@@ -49,9 +44,44 @@ def read_corpus(spark: SparkSession, root: str, prefixes: list[str] | None = Non
         if files is None:
             continue
         key = F.concat(F.lit(prefix), below(F.col("_metadata.file_path"), f"{base}/{prefix}"))
-        rows = files.select(F.lit(prefix).alias("prefix"), key.alias("s3_key"), F.try_parse_json("value").alias("body"))
+        rows = files.select(F.lit(prefix).alias("prefix"), key.alias("s3_key"), F.try_parse_json("value").alias("body"), *more)
         found = rows if found is None else found.unionByName(rows)
-    return spark.createDataFrame([], "prefix string, s3_key string, body variant") if found is None else found
+    if found is None:
+        return spark.createDataFrame([], "prefix string, s3_key string, body variant" + (", digest string" if digests else ""))
+    return found
+
+
+MANIFEST = "s3_key string, digest string"
+
+
+def corpus_changes(corpus: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The rows of a corpus (``s3_key, digest`` and more) that the manifest lacks or has with another digest, and what is gone.
+
+    ``change`` is ``new``, ``changed`` or ``gone``; a vanished document is a row with its key alone, so that whatever
+    was made of it can be taken out. Documents with the same digest give no row and go no further.
+    """
+    known = manifest.select(F.col("s3_key").alias("_key"), F.col("digest").alias("_digest"))
+    met = corpus.join(known, F.col("s3_key") == F.col("_key"), "full_outer")
+    change = (
+        F.when(F.col("s3_key").isNull(), "gone").when(F.col("_key").isNull(), "new").when(~F.col("digest").eqNullSafe(F.col("_digest")), "changed")
+    )
+    rest = [c for c in corpus.columns if c != "s3_key"]
+    named = met.select(F.coalesce("s3_key", "_key").alias("s3_key"), *rest, change.alias("change"))
+    return named.where(F.col("change").isNotNull())
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """``s3_key, digest`` of the last run that was recorded at ``path``; no rows before the first."""
+    runs = stored(spark, path, f"{MANIFEST}, run bigint")
+    return runs.where(F.col("run") == runs.agg(F.max("run")).scalar()).select("s3_key", "digest")
+
+
+def record_manifest(corpus: DataFrame, path: str, run: int) -> None:
+    """Record the state of a corpus as that of ``run``, after its changes have been taken on.
+
+    Until then the run before stays the last one, so a sync that fails is done again. A run recorded twice replaces itself.
+    """
+    replace_partitions(corpus.select("s3_key", "digest").withColumn("run", F.lit(run).cast("long")), path, "run")
 
 
 def parsed_lines(lines: DataFrame, column: str = "value", out: str = "record") -> DataFrame:
@@ -147,17 +177,22 @@ def read_catalog(spark: SparkSession, path: str, schema: str = CONTROL_SCHEMA) -
     return spark.read.schema(schema).json(path)
 
 
-def evidence_document(controls: DataFrame, artifacts: dict[str, DataFrame], generated_at: str, tool: str) -> DataFrame:
+def evidence_document(
+    controls: DataFrame, artifacts: dict[str, DataFrame], generated_at: str, tool: str, links: DataFrame | None = None, max_bytes: int = PART_BYTES
+) -> DataFrame:
     """``section, payload`` rows of a unified evidence document, ready for ``write_report``.
 
-    Each control and each artifact record is a row of its own, so the document has no size limit.
+    With ``links`` the controls come with the lists of their tools, and those that only a mapping knows come too; a
+    control with many links is several rows of at most ``max_bytes`` of links. Without, they come as they are.
+    Each artifact record is a row of its own, so the document has no size limit.
     """
     spark = controls.sparkSession
     head = spark.range(1).select(
         F.lit("run_metadata").alias("section"),
         F.to_json(F.struct(F.lit(generated_at).alias("generated_at_utc"), F.lit(tool).alias("tool"))).alias("payload"),
     )
-    rows = head.unionByName(controls.select(F.lit("controls").alias("section"), F.to_json(F.struct("*")).alias("payload")))
+    listed = controls if links is None else control_parts(controls, links, max_bytes)
+    rows = head.unionByName(listed.select(F.lit("controls").alias("section"), F.to_json(F.struct("*")).alias("payload")))
     for name, records in artifacts.items():
         rows = rows.unionByName(
             records.select(F.lit(f"artifacts.{name}").alias("section"), F.to_json(F.struct("*")).alias("payload"))

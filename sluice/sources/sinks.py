@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.decisions import decision_id
-from sluice.functions.rows import fresh
+from sluice.functions.rows import first_by, fresh
 from sluice.operators.tables import fixed_table
+from sluice.sources.paths import below
 from sluice.sources.staging import replace_partitions, staged, stored
 
 QUARANTINED = "RESTRICTED_PII"
@@ -57,13 +58,6 @@ def append_new_evidence(rows: DataFrame, path: str, lookback_days: int = 1) -> N
     append_evidence(once.join(held.where(near).select("decision_id"), "decision_id", "left_anti"), path)
 
 
-def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key. Every task keeps one row per key before the shuffle, so no key gathers its rows."""
-    place = fresh(rows, "_place")
-    ranked = rows.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col(place) == 1).drop(place)
-
-
 def write_zones(df: DataFrame, label: str, path: str, batch_id: int) -> None:
     """Write rows to ``zone=.../batch_id=...`` under ``path`` in one pass over them.
 
@@ -110,18 +104,39 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 
 
+def manifest(required: DataFrame, files: DataFrame, name: str = "name") -> DataFrame:
+    """The required rows with the ``sha256`` of the file at exactly that path, or ``missing``.
+
+    ``files`` has ``path, content``; a file of the same name in another folder does not count.
+    """
+    digests = files.select(F.col("path").alias(name), F.sha2("content", 256).alias("sha256"))
+    found = required.join(digests, name, "left")
+    return found.withColumn("missing", F.col("sha256").isNull())
+
+
 def artifact_manifest(spark: SparkSession, required: list[tuple[str, str]], folder: str) -> DataFrame:
-    """One row per required artifact: its hash, or ``missing``.
+    """One row per required artifact: ``name, source, sha256, missing``.
 
-    ``required`` lists names and sources; only files of those names are read from ``folder``.
+    ``required`` lists paths below ``folder`` and their sources; only files of those base names are opened.
     """
     wanted = fixed_table(spark, required, "name string, source string")
-    names = "{" + ",".join(name for name, _ in required) + "}"
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(folder)
-        .select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256"))
-        .groupBy("name").agg(F.min("sha256").alias("sha256"))
+    names = "{" + ",".join(sorted({name.rpartition("/")[2] for name, _ in required})) + "}"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(folder)
+    found = files.select(F.ltrim(below(F.col("_metadata.file_path"), folder.rstrip("/")), F.lit("/")).alias("path"), "content")
+    return manifest(wanted, found).select("name", "source", "sha256", "missing")
+
+
+def coverage_report(validated: DataFrame, generated_at: str) -> DataFrame:
+    """``section, payload`` rows of a coverage report: the totals, then every control that lacks evidence and why.
+
+    Ready for ``write_report``; the list has a row per control, so it has no size limit.
+    """
+    totals = validated.agg(F.count(F.lit(1)).alias("total_controls"), F.count("reason").alias("missing_evidence_count"))
+    head = totals.select(
+        F.lit("summary").alias("section"),
+        F.to_json(F.struct(F.lit(generated_at).alias("generated_at"), "total_controls", "missing_evidence_count")).alias("payload"),
     )
-    return wanted.join(files, "name", "left").select(
-        "name", "source", "sha256", F.col("sha256").isNull().alias("missing")
+    lacking = validated.where(F.col("reason").isNotNull())
+    return head.unionByName(
+        lacking.select(F.lit("missing").alias("section"), F.to_json(F.struct(F.col("id").alias("control_id"), "reason")).alias("payload"))
     )

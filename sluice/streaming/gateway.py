@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions import detect
+from sluice.functions.rows import first_by
 from sluice.operators import gateway, moves
 from sluice.session import shared_folder
-from sluice.sources.sinks import first_by
 from sluice.sources.staging import replace_partitions
 
 

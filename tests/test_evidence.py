@@ -45,6 +45,40 @@ def test_nested_links_split_a_hot_control(spark):
     assert max(len(r["links"]) for r in rows) < 120 and sum(r["control_id"] == "hot" for r in rows) > 6
 
 
+def test_parts_hold_what_fits(spark):
+    """A control with most of the links, one with a link above the bound, repeated links; no part is above the bound."""
+    long = "x" * 900
+    rows = [("hot", "opa_policies", f"P-{i:05d}", "pkg", "r", None) for i in range(5000)] + [("c1", "checkov_checks", "K", None, None, "d")] * 3
+    rows += [("big", "opa_policies", n, None, None, d) for n, d in (("a", "s"), ("b", long), ("c", "s"), ("d", long), ("e", "s"))]
+    links = spark.createDataFrame(rows, "control_id string, kind string, tool_id string, package string, rule string, description string")
+    size = F.octet_length(F.to_json(F.struct("kind", "tool_id", "package", "rule", "description", "n")))
+    out = E.link_parts(links, 600).withColumn("size", size).collect()
+    assert sorted((r.control_id, r.tool_id) for r in out) == sorted({(r[0], r[2]) for r in rows})
+    parts = {}
+    for r in out:
+        parts.setdefault((r.control_id, r.part), []).append(r)
+    assert all(sum(r["size"] for r in p) <= 600 or len(p) == 1 for p in parts.values())
+    hot = sorted(k for c, k in parts if c == "hot")
+    assert hot == list(range(len(hot))) and len(hot) < 2 * sum(r["size"] for r in out if r.control_id == "hot") / 600 * 1.5
+    assert {r.n for r in out if r.control_id == "c1"} == {3}
+    assert len([1 for p in parts.values() if p[0].description == long]) == 2
+    # within a stretch the links stand in order
+    some = E.link_parts(links.where("tool_id < 'P-00100'"), 600).orderBy("part", "tool_id").where("control_id = 'hot'").collect()
+    assert [r.tool_id for r in some] == [f"P-{i:05d}" for i in range(100)]
+
+
+def test_control_parts(spark):
+    current = E.current_controls(catalog(spark, 3))
+    links = E.all_links(current, E.fixed_policy_links(spark), E.fixed_check_links(spark))
+    rows = E.control_parts(current, links, 150).collect()
+    assert {(r.id, r.in_catalog) for r in rows if r.part == 0} >= {("CTRL-00", True), ("CTRL-01", True), ("ISO27001-A.12.4.1", False)}
+    assert all(r.name is None for r in rows if r.part or not r.in_catalog) and {r.name for r in rows if r.id == "CTRL-01" and not r.part} == {"c1"}
+    event = [r for r in rows if r.id == "ISO27001-A.12.4.1"]
+    assert len(event) > 1 and sum(len(r.tools.checkov_checks) for r in event) == 4 and sum(len(r.tools.opa_policies) for r in event) == 1
+    assert [len(getattr(r.tools, k)) for r in rows if r.id == "CTRL-00" for k in V.TOOL_KEYS] == [0, 0, 0]
+    assert len({(r.id, r.part) for r in rows}) == len(rows)
+
+
 def test_validation(spark):
     ev = "evidence struct<opa_policy:array<string>,checkov_check:string,terraform_guardrail:string,test_case:string>"
     rows = [("a", None), ("b", ([], "", None, None)), ("c", (["x"], None, None, None)), ("d", ([], "y", None, None)), ("e", (None, None, None, None))]

@@ -98,6 +98,52 @@ def test_manifest(spark, tmp_path):
     assert rows["y.json"]["missing"] and rows["y.json"]["sha256"] is None
 
 
+def test_manifest_is_by_whole_path(spark, tmp_path):
+    for name, body in (("a/x.json", b"1"), ("b/x.json", b"2"), ("y.json", b"3"), ("b c/%z+.json", b"4")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    required = [("a/x.json", "s"), ("x.json", "s"), ("c/y.json", "s"), ("y.json", "s"), ("b c/%z+.json", "s")]
+    for folder in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}"):
+        rows = {r["name"]: r["sha256"] for r in sinks.artifact_manifest(spark, required, folder).collect()}
+        digest = {n: hashlib.sha256(b).hexdigest() for n, b in (("a/x.json", b"1"), ("y.json", b"3"), ("b c/%z+.json", b"4"))}
+        assert rows == {n: digest.get(n) for n, _ in required}
+
+
+def test_corpus_sync_by_change(spark, tmp_path):
+    """Only new and changed files come out; a second run gives none, a failed run is done again."""
+    (tmp_path / "clean").mkdir()
+    path = str(tmp_path / "manifest")
+
+    def changes():
+        now = readers.read_corpus(spark, str(tmp_path), ["clean/"], digests=True)
+        return now, {r["s3_key"]: r["change"] for r in readers.corpus_changes(now, readers.read_manifest(spark, path)).collect()}
+
+    assert changes()[1] == {}
+    for name in ("a", "b", "c"):
+        (tmp_path / "clean" / f"{name}.json").write_text(json.dumps({"text": name}))
+    now, found = changes()
+    assert found == {f"clean/{n}.json": "new" for n in "abc"} == changes()[1]
+    readers.record_manifest(now, path, 1)
+    assert changes()[1] == {}
+    (tmp_path / "clean" / "a.json").write_text('{"text": "other"}')
+    (tmp_path / "clean" / "b.json").rename(tmp_path / "clean" / "d.json")
+    now, found = changes()
+    assert found == {"clean/a.json": "changed", "clean/b.json": "gone", "clean/d.json": "new"}
+    for _ in range(2):
+        readers.record_manifest(now, path, 2)
+    assert changes()[1] == {} and readers.read_manifest(spark, path).count() == 3
+
+
+def test_coverage_report(spark, tmp_path):
+    checked = spark.createDataFrame([("a", None), ("b", "no evidence mapping")], "id string, reason string")
+    sinks.write_report(sinks.coverage_report(checked, "t"), str(tmp_path / "r"))
+    rows = sorted((r["section"], json.loads(r["payload"])) for r in spark.read.json(str(tmp_path / "r")).collect())
+    assert rows == [
+        ("missing", {"control_id": "b", "reason": "no evidence mapping"}),
+        ("summary", {"generated_at": "t", "total_controls": 2, "missing_evidence_count": 1}),
+    ]
+
+
 VECTOR = "namespace string, id string, values array<float>, metadata map<string,string>, seq bigint"
 
 
