@@ -1,31 +1,12 @@
-"""Exact top-k cosine search over vector tables, gating, and context blocks.
-
-Search never forms query-vector pairs as rows. Each task multiplies a tile of query vectors
-with a batch of index vectors and keeps the k best of every query; only those survivors are
-shuffled. Queries travel to the tasks as a broadcast matrix while they fit ``QUERY_BYTES``;
-more queries are laid out as a grid of query blocks and vector blocks, with the same result.
-"""
+"""Exact top-k cosine search over vector tables, gating, and context blocks."""
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.rows import keep_where
-
-# Ship the search code with the tasks, so that executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-QUERY_BYTES = 64 << 20
-CELL_BYTES = 64 << 20
-TILE = 256
-SCORE_DIGITS = 9
-ROUNDING = 2e-9  # more than rounding can move two scores against each other
+from sluice.operators import clustered
 
 
 def wrong_shape(vectors: DataFrame, dim: int, values: str = "values") -> DataFrame:
@@ -51,163 +32,17 @@ def readable(vectors: DataFrame, role: str, prefixes: dict[str, list[str]], path
     return vectors.where(test)
 
 
-def _matrix(column, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit rows, and which rows have no direction (those are left zero)."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    rows = flat.astype(np.float64).reshape(-1, dim)
-    norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-    blank = ~(np.isfinite(norms) & (norms > 0))
-    norms[blank] = 1.0
-    rows /= norms[:, None]
-    rows[blank] = 0.0
-    return rows, blank
-
-
-class _Best:
-    """The k best candidates of each query seen so far, in order of score and then id."""
-
-    def __init__(self, n_queries: int, k: int):
-        self.k = k
-        self.query = np.empty(0, dtype=np.int64)
-        self.score = np.empty(0)
-        self.ids = None
-        self.floor = np.full(n_queries, -np.inf)
-
-    def add(self, queries, index, ids: np.ndarray) -> None:
-        """Search one batch. Only scores that can still enter the best are rounded and kept."""
-        (asked, no_query), (rows, no_row) = queries, index
-        for start in range(0, len(asked), TILE):
-            tile = slice(start, start + TILE)
-            scores = asked[tile] @ rows.T
-            if no_row.any():
-                scores[:, no_row] = -np.inf
-            if no_query[tile].any():
-                scores[no_query[tile]] = -np.inf
-            floor = self.floor[tile].copy()
-            fresh = np.isneginf(floor)
-            if fresh.any() and scores.shape[1] > self.k:
-                place = scores.shape[1] - self.k
-                floor[fresh] = np.partition(scores[fresh], place, axis=1)[:, place]
-            row, col = np.nonzero(scores >= (floor - ROUNDING)[:, None])
-            self._merge(row + start, np.round(scores[row, col], SCORE_DIGITS), ids[col], tile)
-
-    def _merge(self, query, score, ids, tile) -> None:
-        if not len(query):
-            return
-        stay = (self.query >= tile.start) & (self.query < tile.stop)
-        query = np.concatenate([self.query[stay], query])
-        score = np.concatenate([self.score[stay], score])
-        ids = ids if self.ids is None else np.concatenate([self.ids[stay], ids])
-        order = np.lexsort((ids, -score, query))
-        query, score, ids = query[order], score[order], ids[order]
-        first = np.r_[True, query[1:] != query[:-1]]
-        starts = np.flatnonzero(first)
-        rank = np.arange(len(query)) - starts[np.cumsum(first) - 1]
-        keep = rank < self.k
-        full = rank == self.k - 1
-        self.floor[query[full]] = score[full]
-        rest = ~stay
-        self.query = np.concatenate([self.query[rest], query[keep]])
-        self.score = np.concatenate([self.score[rest], score[keep]])
-        self.ids = ids[keep] if self.ids is None else np.concatenate([self.ids[rest], ids[keep]])
-
-    def rows(self, query_ids: np.ndarray, id_type, query_type) -> pa.RecordBatch:
-        none = self.ids is None
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([] if none else query_ids[self.query], type=query_type),
-                pa.array([] if none else self.ids, type=id_type),
-                pa.array(self.score, type=pa.float64(), mask=np.isneginf(self.score)),
-            ],
-            names=["query_id", "id", "score"],
-        )
-
-
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int, dim: int, *, query_bytes: int = QUERY_BYTES,
-    cell_bytes: int = CELL_BYTES,
+    vectors: DataFrame, queries: DataFrame, k: int, dim: int, *, cell_bytes: int = clustered.CELL_BYTES, cluster_rows: int = clustered.CLUSTER_ROWS
 ) -> DataFrame:
     """``query_id, rank, id, score`` of the k nearest vectors of each query, by cosine.
 
     ``vectors`` has unique ``id`` and ``values``, ``queries`` has ``query_id`` and ``values``; rows
     of another length than ``dim`` take no part. Scores are compared at nine decimals so that equal
     vectors tie wherever they are computed, and ties go to the smaller id. A vector of zeros has no
-    angle: its score is NULL and comes last.
+    angle: its score is NULL and comes last. A table that is searched again keeps its ``clustered.build``.
     """
-    index = vectors.where(F.size("values") == dim).select("id", "values")
-    asked = queries.where(F.size("values") == dim).select("query_id", "values")
-    bound = max(1, query_bytes // (8 * dim))
-    # The coalesce keeps the limit inside the plan: all tasks run at once instead of one after another.
-    head = asked.limit(bound + 1).coalesce(1).toArrow()
-    if head.num_rows <= bound:
-        found = _search_broadcast(index, head, k, dim)
-    else:
-        found = _search_grid(index, asked, k, dim, cell_bytes)
-    order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), F.asc("id"))
-    return (
-        found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        .select("query_id", "rank", "id", "score")
-    )
-
-
-def _match_schema(index: DataFrame, asked_type: str) -> str:
-    return f"query_id {asked_type}, id {dict(index.dtypes)['id']}, score double"
-
-
-def _arrow_type(spark_type: str):
-    return pa.string() if spark_type == "string" else {"bigint": pa.int64(), "int": pa.int32()}[spark_type]
-
-
-def _search_broadcast(index: DataFrame, head: pa.Table, k: int, dim: int) -> DataFrame:
-    spark = index.sparkSession
-    id_type = _arrow_type(dict(index.dtypes)["id"])
-    query_type = head.schema.field("query_id").type
-    sent = spark.sparkContext.broadcast(
-        (_matrix(head.column("values"), dim), head.column("query_id").to_numpy())
-    )
-
-    def search(batches):
-        matrix, query_ids = sent.value
-        best = _Best(len(query_ids), k)
-        for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            best.add(matrix, _matrix(batch.column("values"), dim), ids)
-        yield best.rows(query_ids, id_type, query_type)
-
-    kind = "string" if pa.types.is_string(query_type) else {"int64": "bigint", "int32": "int"}[str(query_type)]
-    return index.mapInArrow(search, _match_schema(index, kind))
-
-
-def _search_grid(index: DataFrame, asked: DataFrame, k: int, dim: int, cell_bytes: int) -> DataFrame:
-    """Every block of queries meets every block of vectors in one cell; a cell fits a task."""
-    side = max(1, cell_bytes // (8 * dim))
-    query_blocks = -(-asked.count() // side)
-    vector_blocks = max(1, -(-index.count() // side))
-    id_type, query_type = _arrow_type(dict(index.dtypes)["id"]), _arrow_type(dict(asked.dtypes)["query_id"])
-
-    def spread(df: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(key), F.lit(own_blocks)),
-                other: F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1)).cast("array<bigint>")),
-            }
-        )
-
-    left = spread(asked, "query_id", "qb", query_blocks, "vb", vector_blocks).groupBy("qb", "vb")
-    right = spread(index, "id", "vb", vector_blocks, "qb", query_blocks).groupBy("qb", "vb")
-
-    def cell(asked_rows: pa.Table, index_rows: pa.Table) -> pa.Table:
-        best = _Best(asked_rows.num_rows, k)
-        if asked_rows.num_rows and index_rows.num_rows:
-            best.add(
-                _matrix(asked_rows.column("values"), dim), _matrix(index_rows.column("values"), dim),
-                index_rows.column("id").to_numpy(),
-            )
-        return pa.Table.from_batches([best.rows(asked_rows.column("query_id").to_numpy(), id_type, query_type)])
-
-    return left.cogroup(right).applyInArrow(cell, _match_schema(index, dict(asked.dtypes)["query_id"]))
+    return clustered.top_k(clustered.build(vectors, dim, cluster_rows), queries, k, cell_bytes)
 
 
 def with_metadata(matches: DataFrame, vectors: DataFrame) -> DataFrame:

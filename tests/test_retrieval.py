@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from sluice.operators import clustered
 from sluice.operators import retrieval as R
 
 DIM = 4
@@ -29,9 +30,9 @@ def data(ids):
 
 
 @pytest.mark.parametrize("id_type,ids", [("bigint", int), ("string", lambda i: f"v{i:03d}")])
-@pytest.mark.parametrize("sizes", [{}, {"query_bytes": 64, "cell_bytes": 256}])
+@pytest.mark.parametrize("sizes", [{}, {"cell_bytes": 256}, {"cluster_rows": 5}, {"cell_bytes": 64, "cluster_rows": 1}])
 def test_top_k_is_exact(spark, id_type, ids, sizes):
-    """A third of the vectors are equal and some are zero; both layouts give the brute-force rows."""
+    """A third of the vectors are equal and some are zero; all sizes of clusters and cells give the brute-force rows."""
     vectors, queries = data(ids)
     v = spark.createDataFrame([*vectors, (ids(500), [1.0])], f"id {id_type}, values array<float>").repartition(5)
     q = spark.createDataFrame([*queries, (77, [1.0, 2.0])], "query_id bigint, values array<float>")
@@ -48,11 +49,11 @@ def test_fewer_vectors_than_k_and_none(spark):
     assert R.top_k(v, q.where("query_id > 7"), 5, 2).count() == 0
 
 
-def test_search_shuffles_only_survivors(spark):
+def test_search_shuffles_each_vector_once_and_survivors(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0])], "id bigint, values array<float>")
     q = spark.createDataFrame([(7, [1.0, 1.0])], "query_id bigint, values array<float>")
     plan = R.top_k(v, q, 5, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Exchange") == 1
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("Exchange") == 2
 
 
 def test_gate_and_prefix_lock(spark):
@@ -78,3 +79,32 @@ def test_contexts(spark):
     text = {r[0]: r[1] for r in R.explanations(m.where("rank < 4")).collect()}
     assert text[1] == ("ID: a\nScore: 0.500\nTitle: One\n\n\nID: b\nScore: 0.250\nTitle: b\nTactic: x\n\n\n"
                        "ID: c\nScore: 0.100\nTitle: c\nDescription: s\n")
+
+
+def test_far_clusters_are_not_met(spark, monkeypatch):
+    """Vectors around few directions: a question meets its own cluster alone, and no more rows are dealt for more blocks."""
+    rng = np.random.default_rng(3)
+    centres = np.eye(16)[:8] * 10
+    vectors = [(i, (centres[i % 8] + rng.normal(0, 0.05, 16)).tolist()) for i in range(800)]
+    queries = [(i, (centres[i % 8] + rng.normal(0, 0.05, 16)).tolist()) for i in range(64)]
+    v = spark.createDataFrame(vectors, "id bigint, values array<double>")
+    q = spark.createDataFrame(queries, "query_id bigint, values array<double>")
+    placed = []
+    real = clustered._placed
+    monkeypatch.setattr(clustered, "_placed", lambda *a: placed.append(real(*a)) or placed[-1])
+    index = clustered.build(v, 16, 100)
+    assert len(index.clusters.sizes) == 8 and index.clusters.sizes.sum() == 800 and index.clusters.radii.max() < 0.2
+    out = clustered.top_k(index, q, 5).collect()
+    got = {(r["query_id"], r["rank"], r["id"], round(r["score"], 6)) for r in out}
+    assert got == brute([(i, np.array(x)) for i, x in vectors], [(i, np.array(x)) for i, x in queries], 5)
+    assert [p.count() for p in placed] == [64, 0]
+
+
+def test_an_index_is_searched_again(spark):
+    vectors, queries = data(int)
+    index = clustered.build(spark.createDataFrame(vectors, "id bigint, values array<float>"), DIM, 20)
+    q = spark.createDataFrame(queries, "query_id bigint, values array<float>")
+    for part, k in ((queries[:7], 3), (queries[7:], 200)):
+        out = clustered.top_k(index, spark.createDataFrame(part, q.schema), k, 512).collect()
+        got = {(r["query_id"], r["rank"], r["id"], None if r["score"] is None else round(r["score"], 6)) for r in out}
+        assert got == brute(vectors, part, k)
