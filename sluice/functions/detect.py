@@ -6,7 +6,7 @@ arrays and decisions are then derived from those columns, so a pattern is never
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions import patterns as P
@@ -162,6 +162,51 @@ def injection_phrases(text: Column, phrases: list[str] | None = None) -> Column:
     )
 
 
+GRAM = 5
+
+
+def phrase_hits(texts: DataFrame, phrases: DataFrame, *keys: str, text: str = "text", phrase: str = "phrase") -> DataFrame:
+    """``<keys>, phrase`` of every phrase that the lower-cased text contains, for phrase tables of any size.
+
+    Every phrase has an anchor, a run of GRAM characters in it that few phrases hold: one that begins with a blank if the
+    phrase has a blank before its last letters, else any; a phrase that is shorter is its own. Texts are joined with anchors
+    by the runs of characters that they hold, those after blanks alone if that will do, and only such candidates
+    are tested, so no text meets every phrase. Phrases are compared as they are; an empty one is in every text, a NULL
+    one in none. ``keys`` tell texts apart: of rows with equal keys all texts count.
+    """
+    asked = phrases.select(F.col(phrase).alias("phrase")).where(F.col("phrase").isNotNull()).distinct()
+    none = F.array().cast("array<string>")
+
+    def runs_of(whole: str, n: int, first: str = "") -> Column:
+        """All runs of n characters; the pattern looks ahead, so they may overlap and the text is read once."""
+        return F.array(F.lit("")) if n == 0 else F.regexp_extract_all(whole, F.lit(f"(?s)(?=({first}.{{{n - len(first)}}}))"), F.lit(1))
+
+    blank = [runs_of("phrase", n, " ") for n in range(GRAM, 2, -1)]
+    held = F.when(F.size(blank[0]) > 0, blank[0])
+    for runs in blank[1:]:
+        held = held.when(F.size(runs) > 0, runs)
+    held = held.when(F.length("phrase") >= GRAM, runs_of("phrase", GRAM)).otherwise(F.array("phrase"))
+    runs = asked.select("phrase", F.explode(F.array_distinct(held)).alias("run"))
+    rare = runs.groupBy("run").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("phrase").orderBy("n", "run")
+    anchors = runs.join(rare, "run").withColumn("place", F.row_number().over(order)).where("place = 1").select("phrase", F.col("run").alias("anchor"))
+    # which kinds of anchors there are: their lengths, negative for those that begin with a blank
+    kind = F.length("anchor") * F.when((F.length("anchor") > 2) & F.startswith("anchor", F.lit(" ")), -1).otherwise(1)
+    kinds = anchors.agg(F.coalesce(F.collect_set(kind), F.array().cast("array<int>"))).scalar()
+    low = texts.select(*keys, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text")).withColumn("_kinds", kinds)
+    parts = F.concat(
+        *[F.when(F.array_contains("_kinds", n), runs_of("_text", n)).otherwise(none) for n in range(GRAM + 1)],
+        *[F.when(F.array_contains("_kinds", -n), runs_of("_text", n, " ")).otherwise(none) for n in range(3, GRAM + 1)],
+    )
+    placed = low.select(*keys, F.explode(F.array_distinct(parts)).alias("anchor"))
+    met = placed.join(anchors, "anchor").select(*keys, "phrase").distinct()
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"t.{key}").eqNullSafe(F.col(f"m.{key}"))
+    tested = low.alias("t").join(met.alias("m"), same).where(F.contains("t._text", "m.phrase"))
+    return tested.select(*[F.col(f"m.{key}").alias(key) for key in keys], "m.phrase").distinct()
+
+
 def leaks_ssn(text: Column) -> Column:
     """Model output holds an SSN-shaped run of digits, with no word edge required."""
     return F.rlike(F.coalesce(text, F.lit("")), F.lit(P.SSN_LOOSE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.rows import keep_where
+from sluice.functions.rows import fresh, keep_where
 from sluice.operators import clustered
 
 
@@ -32,6 +32,35 @@ def readable(vectors: DataFrame, role: str, prefixes: dict[str, list[str]], path
     return vectors.where(test)
 
 
+def prefix_access(requests: DataFrame, locks: DataFrame, role: str = "role", path: str = "path") -> DataFrame:
+    """The requests with ``lock``, the longest prefix of the path that their role has a lock for, and ``allowed``.
+
+    ``locks`` has ``role, prefix, allow``: what stands under a prefix is allowed or not unless a longer one says
+    otherwise. A role with locks may read nothing else; a role without any is not locked, and a NULL role or
+    path is refused. Of two locks on one prefix the refusal holds. Each distinct role and path is joined with the locks
+    by the beginnings of the path that are as long as some lock, so the locks are a table of any size.
+    """
+    lock, allowed, own_role, own_path = (fresh(requests, n) for n in ("lock", "allowed", "_role", "_path"))
+    held = locks.where(F.col("role").isNotNull() & F.col("prefix").isNotNull()).groupBy("role", "prefix").agg(
+        F.bool_and(F.coalesce("allow", F.lit(False))).alias("allow")
+    )
+    lengths = held.agg(F.coalesce(F.collect_set(F.length("prefix")), F.array().cast("array<int>"))).scalar()
+    pairs = requests.select(F.col(role).alias("r"), F.col(path).alias("p")).where(F.col("r").isNotNull() & F.col("p").isNotNull()).distinct()
+    starts = F.transform(F.filter("_lengths", lambda n: n <= F.length("p")), lambda n: F.substring("p", F.lit(1), n))
+    tried = pairs.withColumn("_lengths", lengths).select("r", "p", F.explode(starts).alias("prefix"))
+    met = tried.join(held, (F.col("r") == F.col("role")) & (tried["prefix"] == held["prefix"])).select("r", "p", tried["prefix"], "allow")
+    # the longest match as one number: twice its length, and one more if it allows
+    best = met.groupBy("r", "p").agg(F.max(F.length("prefix") * 2 + F.col("allow").cast("int")).alias("best"))
+    locked = held.select(F.col("role").alias("r")).distinct().withColumn("locked", F.lit(True))
+    known = pairs.join(best, ["r", "p"], "left").join(locked, "r", "left").select(
+        F.col("r").alias(own_role), F.col("p").alias(own_path),
+        F.expr("substring(p, 1, cast(best div 2 as int))").alias(lock),
+        F.when(F.col("best").isNotNull(), F.col("best") % 2 == 1).otherwise(F.col("locked").isNull()).alias(allowed),
+    )
+    joined = requests.join(known, (F.col(role) == F.col(own_role)) & (F.col(path) == F.col(own_path)), "left")
+    return joined.withColumn(allowed, F.coalesce(allowed, F.lit(False))).drop(own_role, own_path)
+
+
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int, dim: int, *, cell_bytes: int = clustered.CELL_BYTES, cluster_rows: int = clustered.CLUSTER_ROWS
 ) -> DataFrame:

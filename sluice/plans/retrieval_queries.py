@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.functions.patterns import SPACE_CHARS
 from sluice.operators import corpus, moves, retrieval
 from sluice.plans import triggers as T
+from sluice.operators.tables import fixed_table
 from sluice.plans.registry import query, table
 from sluice.plans.text_queries import SQL_STATE, scanned_documents
 from sluice.sources import sinks
@@ -130,6 +131,42 @@ def gated_matches(spark, folder):
     return found.withColumn("score", F.round("score", 6))
 
 
+_LOCKS = [
+    ("ingest", "clean/", True), ("ingest", "clean/src1", False), ("ingest", "clean/src11/", True), ("audit", "", True), ("audit", "sensitive/", False),
+    ("audit", "sensitive/src2/en", True), ("guest", "clean/src3/de/", True), ("ghost", "none/", True), ("twice", "clean/", True), ("twice", "clean/", False),
+]
+_ROLES = ["ingest", "audit", "guest", "ghost", "twice", "admin"]
+
+
+@query(
+    "prefix_acl",
+    f"""WITH locks(role, prefix, allow) AS (VALUES {', '.join(f"('{r}', '{p}', {str(a).lower()})" for r, p, a in _LOCKS)}
+      UNION ALL SELECT 'n' || n_nationkey, 'clean/src' || (n_nationkey % 7), n_nationkey % 2 = 0 FROM nation),
+    roles AS (SELECT unnest({_ROLES}) AS role UNION ALL SELECT 'n' || n_nationkey FROM nation),
+    d AS (SELECT DISTINCT CASE WHEN doc_id % 3 = 0 THEN 'sensitive/' ELSE 'clean/' END || source || '/' || lang || '/' AS path FROM documents),
+    m AS (SELECT d.path, r.role, l.prefix, bool_and(l.allow) AS allow FROM d, roles r JOIN locks l ON l.role = r.role WHERE starts_with(d.path, l.prefix) GROUP BY ALL),
+    b AS (SELECT *, row_number() OVER (PARTITION BY path, role ORDER BY length(prefix) DESC) AS place FROM m)
+    SELECT d.path, r.role, prefix AS lock, coalesce(allow, r.role NOT IN (SELECT role FROM locks)) AS allowed
+    FROM d CROSS JOIN roles r LEFT JOIN b ON b.path = d.path AND b.role = r.role AND place = 1""",
+)
+def prefix_acl(spark, folder):
+    """Every role's access to the folders of the documents: nested locks, locks of each nation, a role without any."""
+    nations = table(spark, folder, "nation")
+    locks = fixed_table(spark, _LOCKS, "role string, prefix string, allow boolean").unionByName(
+        nations.select(
+            F.expr("concat('n', n_nationkey)").alias("role"), F.expr("concat('clean/src', n_nationkey % 7)").alias("prefix"),
+            F.expr("n_nationkey % 2 = 0").alias("allow"),
+        )
+    )
+    roles = fixed_table(spark, [(r,) for r in _ROLES], "role string").unionByName(nations.select(F.expr("concat('n', n_nationkey)").alias("role")))
+    listed = roles.agg(F.collect_list("role")).scalar()  # few: the fixed ones and a role per nation
+    paths = table(spark, folder, "documents").select(
+        F.expr("concat(CASE WHEN doc_id % 3 = 0 THEN 'sensitive/' ELSE 'clean/' END, source, '/', lang, '/')").alias("path")
+    ).distinct()
+    requests = paths.withColumn("roles", listed).select("path", F.explode("roles").alias("role"))
+    return retrieval.prefix_access(requests, locks).select("path", "role", "lock", "allowed")
+
+
 _SQL_META = """meta AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 <> 0 THEN text END AS m_text,
     CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN text END AS m_content,
     CASE WHEN doc_id % 8 = 0 THEN 'chunk ' || doc_id END AS m_chunk,

@@ -195,6 +195,22 @@ def evidence_previews(spark, folder):
     return masked.select("doc_id", masking.safe_preview(F.col("masked_text")).alias("preview"))
 
 
+_PHRASES_SQL = r"""p AS (SELECT DISTINCT lower(array_to_string(string_split_regex(trim(text), '\s+')[1:3], ' ')) AS phrase FROM benchmark
+      UNION SELECT DISTINCT left(lower(array_to_string(string_split_regex(trim(text), '\s+')[2:3], ' ')), 4) FROM benchmark WHERE item_id % 9 = 0)"""
+
+
+@query(
+    "phrase_table_hits",
+    f"WITH {_PHRASES_SQL} SELECT DISTINCT doc_id, phrase FROM documents, p WHERE contains(lower(text), phrase)",
+)
+def phrase_table_hits(spark, folder):
+    """Phrases of a table, the beginnings of the benchmark's items and some short ones, in whole documents."""
+    words = F.split(F.trim("text"), r"\s+")
+    items = table(spark, folder, "benchmark").select("item_id", F.array_join(F.slice(words, 1, 3), " ").alias("a"), F.array_join(F.slice(words, 2, 2), " ").alias("b"))
+    phrases = items.select(F.lower("a").alias("phrase")).union(items.where("item_id % 9 = 0").select(F.left(F.lower("b"), F.lit(4))))
+    return detect.phrase_hits(table(spark, folder, "documents"), phrases, "doc_id")
+
+
 @query(
     "label_counts",
     T.sql_docs() + f"""

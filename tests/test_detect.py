@@ -121,6 +121,28 @@ def test_united_spans(spark):
     assert [[tuple(x) for x in r["s"]] for r in df.collect()] == [[(0, 3, "a"), (3, 4, "c"), (5, 13, "d"), (20, 21, "f")], []]
 
 
+def test_phrase_table(spark):
+    """Substrings, not words: overlapping, short, empty, of other planes; every text and phrase pair against ``in``."""
+    phrases = ["act as", "jailbreak", "a", "", "é\n", "ignore previous instructions", "aaaaaa", "\U0001f600x", "act as", "ACT AS", None, "aaaa", "zzzzz9"]
+    texts = ["Contact asks", "JAILBREAK now", "", None, "cafÉ\nx", "aaaaaaa", "\U0001f600X y", "please Ignore previous instructions" + " and more" * 3000, "a a a", "Contact asks"]
+    rows = [(k if k < 9 else 0, t, "x") for k, t in enumerate(texts)] + [(None, "act as", "x")]
+    df = spark.createDataFrame(rows, "id int, text string, phrase string")
+    table = spark.createDataFrame([(p,) for p in phrases], "phrase string")
+    got = sorted(map(tuple, detect.phrase_hits(df, table, "id").collect()), key=str)
+    want = {(k, p) for k, t, _ in rows for p in phrases if p is not None and p in (t or "").lower()}
+    assert got == sorted(want, key=str)
+    assert detect.phrase_hits(df, table.limit(0), "id").count() == 0 and detect.phrase_hits(df.limit(0), table, "id").count() == 0
+
+
+def test_many_phrases_make_no_pairs(spark):
+    phrases = spark.range(100_000).select(F.concat(F.lit("phrase "), F.md5(F.col("id").cast("string").cast("binary"))).alias("phrase"))
+    texts = spark.range(400).select("id", F.concat(F.lit("so PHRASE "), F.upper(F.md5((F.col("id") * 3).cast("string").cast("binary"))), F.lit("!")).alias("text"))
+    hits = detect.phrase_hits(texts, phrases, "id")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert hits.count() == 400
+
+
 def test_patterns_run_once_per_row(spark):
     df = detect.detect_entities(spark.createDataFrame([(1, "a")], "id int, text string"))
     plan = detect.explode_entities(df, "id")._jdf.queryExecution().executedPlan().toString()

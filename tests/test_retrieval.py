@@ -108,3 +108,25 @@ def test_an_index_is_searched_again(spark):
         out = clustered.top_k(index, spark.createDataFrame(part, q.schema), k, 512).collect()
         got = {(r["query_id"], r["rank"], r["id"], None if r["score"] is None else round(r["score"], 6)) for r in out}
         assert got == brute(vectors, part, k)
+
+
+def test_prefix_access(spark):
+    locks = spark.createDataFrame([
+        ("in", "a/", True), ("in", "a/b/", False), ("in", "a/b/c", True), ("all", "", True), ("all", "x", False), ("two", "a/", True), ("two", "a/", False),
+        ("nul", "a/", None), (None, "a/", True), ("nop", None, True),
+    ], "role string, prefix string, allow boolean")
+    paths = ["a/1", "a/b/1", "a/b/cd", "b", "", "x/a/", None, "\u00e9"]
+    roles = ["in", "all", "two", "nul", "free", "nop", None]
+    requests = spark.createDataFrame([(r, p, "own") for r in roles for p in paths] * 2, "role string, path string, lock string")
+    out = R.prefix_access(requests, locks)
+    assert out.columns == ["role", "path", "lock", "_lock", "allowed"]
+    rules = {"in": [("a/", True), ("a/b/", False), ("a/b/c", True)], "all": [("", True), ("x", False)], "two": [("a/", False)], "nul": [("a/", False)]}
+
+    def plain(r, p):
+        if r is None or p is None:
+            return None, False
+        met = [x for x in rules.get(r, []) if p.startswith(x[0])]
+        return max(met, key=lambda x: len(x[0])) if met else (None, r not in rules)
+
+    got = [((r.role, r.path), (r._lock, r.allowed)) for r in out.collect()]
+    assert len(got) == 2 * len(roles) * len(paths) and all(v == plain(*k) for k, v in got) and {r.lock for r in out.collect()} == {"own"}
