@@ -1,13 +1,17 @@
 """Benchmark passages in documents: windows that share enough shingles with an item, then exact similarity.
 
-A window of a document has as many words as a benchmark item. Items are found by the shingles they share with
-the document; all others have similarity 0. A window passes on if it has as many shingles of the item as the
-least similarity asks for, a bound that loses nothing. What passes is judged by the weighted Jaccard similarity
-of its shingles, each weighted by how often it stands there, carried on from window to window.
+A window of a document has as many words as a benchmark item. Items are found by their rarest shingles: a window that is alike
+enough shares so many of an item's shingles that it must hold one of these, so all others are passed over and nothing is lost.
+A window passes on if it has as many shingles of the item as the least similarity asks for, a bound that loses nothing
+either. What passes is judged by the weighted Jaccard similarity of its shingles, each weighted by how often it stands there,
+carried on from window to window. Items below five words are one shingle of their own length, found in windows of that length.
+
+The benchmark is written as index files of bounded size by tasks and read by tasks; it never passes through the driver.
 """
 
 from __future__ import annotations
 
+import io
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,8 +24,9 @@ from pyspark.sql import DataFrame
 from sluice.llm import files, hashing
 
 PERCENT = 75
-BLOCK_CHARS = 32 << 20  # benchmark text that one pass over the documents holds
+BLOCK_CHARS = 8 << 20  # benchmark text in one index file, or one item
 FOUND = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+FILTER_BITS = 20
 
 
 def similarities(shingles: np.ndarray, n: int, starts: np.ndarray, item: np.ndarray) -> Iterator[tuple[int, float]]:
@@ -51,117 +56,187 @@ def similarities(shingles: np.ndarray, n: int, starts: np.ndarray, item: np.ndar
 
 @dataclass
 class Item:
-    item_id: int
+    item_id: int | None
     words: int
     shingles: np.ndarray
 
 
+def least_shared(n: int, m: int, percent: int) -> int:
+    """How many shingles a window of n must share with an item of m for the similarity, repeated ones counted."""
+    return max(1, int(np.ceil(percent * (n + m) / (100 + percent) - 1e-6)))
+
+
 @dataclass
 class Index:
-    """Items by shingle."""
+    """Items of five words and more by their rarest shingles, and shorter ones by their length and only shingle."""
 
     items: list[Item]
+    percent: int = PERCENT
     filter: np.ndarray = field(init=False)
     known: np.ndarray = field(init=False)
     holders: dict[int, list[int]] = field(init=False)
+    short: dict[int, dict[int, list[int]]] = field(init=False)
 
     def __post_init__(self):
-        self.holders = {}
+        self.holders, self.short = {}, {}
+        every = Counter(s for item in self.items if item.words >= hashing.SHINGLE for s in set(item.shingles.tolist()))
         for k, item in enumerate(self.items):
-            for s in set(item.shingles.tolist()):
+            if item.words < hashing.SHINGLE:
+                self.short.setdefault(item.words, {}).setdefault(int(item.shingles[0]), []).append(k)
+                continue
+            # the shortest window that can be alike has the item's share of its shingles, all of them shared
+            m = len(item.shingles)
+            spare = m - least_shared(max(1, -(-m * self.percent // 100)), m, self.percent) + 1
+            rarest = sorted(item.shingles.tolist(), key=lambda s: (every[s], s))[: max(1, spare)]
+            for s in set(rarest):
                 self.holders.setdefault(s, []).append(k)
         self.known = np.array(sorted(self.holders), dtype=np.uint64)
-        self.filter = np.zeros(1 << 20, dtype=bool)
-        self.filter[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        self.filter = np.zeros(1 << FILTER_BITS, dtype=bool)
+        self.filter[(self.known & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
 
     def hits(self, shingles: np.ndarray) -> np.ndarray:
-        """Places of the shingles that an item holds."""
-        maybe = np.flatnonzero(self.filter[(shingles & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        """Places of the shingles by which items are found."""
+        maybe = np.flatnonzero(self.filter[(shingles & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)])
         return maybe[np.isin(shingles[maybe], self.known)] if len(maybe) else maybe
 
-    def search(self, shingles: np.ndarray, words: int, percent: int) -> list[tuple[int, float, int, int]]:
+    def search(self, shingles: np.ndarray, words: int, hits: np.ndarray) -> Iterator[tuple[int | None, float, int, int]]:
         """(item, similarity, first word, words) of each item's best window that is alike enough."""
-        places: dict[int, list[int]] = {}
-        for at in self.hits(shingles).tolist():
-            for k in self.holders[int(shingles[at])]:
-                places.setdefault(k, []).append(at)
-        found = []
-        for k, own in places.items():
+        for k in sorted({k for s in np.unique(shingles[hits]).tolist() for k in self.holders[s]}):
             item = self.items[k]
             n = max(1, min(item.words, words) - hashing.SHINGLE + 1)
             best = (0.0, 0)
-            for start, similarity in similarities(shingles, n, self._enough(own, len(shingles), n, item, percent), item.shingles):
+            for start, similarity in similarities(shingles, n, self._enough(shingles, n, item), item.shingles):
                 if similarity > best[0]:
                     best = (similarity, start)
-            if 100 * best[0] >= percent - 1e-9:
-                found.append((item.item_id, best[0], best[1], min(item.words, words)))
-        return found
-
-    def _enough(self, places: list[int], total: int, n: int, item: Item, percent: int) -> np.ndarray:
-        """Starts of the windows with as many of the places as the similarity asks for, whatever they hold."""
-        least = max(1, int(np.ceil(percent * (n + len(item.shingles)) / (100 + percent) - 1e-6)))
-        if len(places) < least:
-            return np.empty(0, np.int64)
-        sums = np.zeros(total + 1, dtype=np.int64)
-        sums[np.array(places) + 1] = 1
-        sums = np.cumsum(sums)
-        return np.flatnonzero(sums[n:] - sums[:-n] >= least)
-
-
-def build(rows: list[tuple[int, str | None]]) -> Index:
-    """An index of benchmark items; items without words are in none."""
-    texts = pa.array([t for _, t in rows], pa.string())
-    items = []
+            if 100 * best[0] >= self.percent - 1e-9:
+                yield item.item_id, best[0], best[1], min(item.words, words)
+
+    def _enough(self, shingles: np.ndarray, n: int, item: Item) -> np.ndarray:
+        """Starts of the windows with as many places of the item's shingles as the similarity asks for."""
+        sums = np.concatenate(([0], np.cumsum(np.isin(shingles, item.shingles))))
+        return np.flatnonzero(sums[n:] - sums[:-n] >= least_shared(n, len(item.shingles), self.percent))
+
+    def search_short(self, words: np.ndarray, size: int) -> Iterator[tuple[int | None, float, int, int]]:
+        """The items of ``size`` words that the words hold, each at its first place."""
+        made, _ = hashing.shingles(words, np.array([0, len(words)]), size)
+        first = dict(zip(*(x.tolist() for x in np.unique(made, return_index=True))))
+        for s, held in self.short[size].items():
+            if s in first:
+                for k in held:
+                    yield self.items[k].item_id, 1.0, first[s], size
+
+    def found(self, texts: pa.Array) -> Iterator[tuple[int, tuple[int | None, float, int, int]]]:
+        """(row, match) of all matches in a column of texts."""
+        for first, _, words, starts in hashing.word_chunks(texts):
+            made, offsets = hashing.shingles(words, starts)
+            hit = self.hits(made)
+            row_of = np.searchsorted(offsets, hit, side="right") - 1
+            for k in np.unique(row_of).tolist():
+                own = hit[row_of == k] - offsets[k]
+                for match in self.search(made[offsets[k] : offsets[k + 1]], int(starts[k + 1] - starts[k]), own):
+                    yield first + k, match
+            for size in sorted(self.short):
+                for k in np.flatnonzero(np.diff(starts) >= size).tolist():
+                    for match in self.search_short(words[starts[k] : starts[k + 1]], size):
+                        yield first + k, match
+
+
+def _items(ids: list[int | None], texts: pa.Array) -> Iterator[Item]:
+    """Items of a batch; those without words are none. An item below five words is one shingle, its whole sequence."""
     for first, last, words, starts in hashing.word_chunks(texts):
         made, offsets = hashing.shingles(words, starts)
         for k in range(first, last):
-            own = made[offsets[k - first] : offsets[k - first + 1]]
-            if len(own):
-                items.append(Item(rows[k][0], int(starts[k - first + 1] - starts[k - first]), own))
-    return Index(items)
-
-
-def _blocks(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes over runs of the benchmark, in order of item, each of at most BLOCK_CHARS characters or one item."""
-    held, size = [], 0
-    for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").orderBy("item_id", "text").toLocalIterator():
-        n = len(row.text or "")
-        if held and size + n > BLOCK_CHARS:
-            yield build(held)
-            held, size = [], 0
-        held.append((row.item_id, row.text))
-        size += n
-    if held:
-        yield build(held)
+            n = int(starts[k - first + 1] - starts[k - first])
+            if 0 < n < hashing.SHINGLE:
+                own = words[starts[k - first] : starts[k - first + 1]]
+                yield Item(ids[k], n, hashing.shingles(own, np.array([0, n]), n)[0])
+            elif n:
+                yield Item(ids[k], n, made[offsets[k - first] : offsets[k - first + 1]])
+
+
+def _packed(items: list[Item]) -> bytes:
+    ids = [item.item_id for item in items]
+    out = io.BytesIO()
+    np.savez(
+        out, ids=np.array([i or 0 for i in ids], dtype=np.int64), null=np.array([i is None for i in ids]), words=np.array([i.words for i in items], dtype=np.int64),
+        sizes=np.array([len(i.shingles) for i in items], dtype=np.int64), shingles=np.concatenate([i.shingles for i in items]),
+    )
+    return out.getvalue()
+
+
+def _unpacked(raw: bytes) -> list[Item]:
+    held = np.load(io.BytesIO(raw))
+    ends = np.cumsum(held["sizes"])
+    whole, null = held["shingles"], held["null"].tolist()
+    rows = zip(held["ids"].tolist(), null, held["words"].tolist(), (ends - held["sizes"]).tolist(), ends.tolist())
+    return [Item(None if gone else i, n, whole[a:b]) for i, gone, n, a, b in rows]
+
+
+def write_index(benchmark: DataFrame) -> tuple[str, list[str]]:
+    """Write the benchmark as index files of at most about BLOCK_CHARS characters; the folder and the files' names."""
+    folder = files.new_folder(benchmark.sparkSession, "benchmark")
+    source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def close() -> pa.RecordBatch:
+            out = files.NewFile(folder, ".npz")
+            out.write(_packed(held))
+            out.close()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([out.name])], names=["file"])
+
+        for batch in batches:
+            for part in files.chunks_of([batch], "text", 1 << 20):
+                held += _items(part["item_id"].to_pylist(), part["text"])
+                size += sum(map(len, part["text"].to_pylist()))
+                if held and size >= BLOCK_CHARS:
+                    yield close()
+                    size = 0
+        if held:
+            yield close()
+
+    parts = max(1, -(-chars // BLOCK_CHARS))
+    dealt = source.repartition(parts, F.xxhash64("item_id", "text"))
+    return folder, sorted(r.file for r in files.written(dealt.mapInArrow(run, "file string"), "benchmark-files").collect())
+
+
+_indexes: dict[tuple[str, str, int], Index] = {}
+
+
+def _index(folder: str, name: str, percent: int) -> Index:
+    """The worker's index of a file; one at a time is held."""
+    key = (folder, name, percent)
+    if key not in _indexes:
+        _indexes.clear()
+        with files.open_input(folder, name) as source:
+            _indexes[key] = Index(_unpacked(source.read()), percent)
+    return _indexes[key]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document row and item: doc_id, item_id, similarity, first_word, n_words of the best window.
 
-    Each block of the benchmark is one narrow pass over all documents, whole texts; blocks are of bounded
-    size. Null and empty texts match nothing; a text shorter than an item is one window. Null ids are kept
-    as null. Repeated items and documents are reported each.
+    Each index file is one narrow pass over all documents, whole texts, however long. Null and empty texts match nothing; a
+    text shorter than an item of five words and more is one window. Null ids are kept as null. Repeated items and
+    documents are reported each, ties go to the first window. Other columns, whatever their names, are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    folder, names = write_index(benchmark)
     out = None
-    for index in _blocks(benchmark):
-        part = source.mapInArrow(_scan(index, percent), FOUND)
+    for name in names:
+        part = source.mapInArrow(_scan(folder, name, percent), FOUND)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
 
 
-def _scan(index: Index, percent: int):
+def _scan(folder: str, name: str, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             ids = batch["doc_id"].to_pylist()
-            for first, last, words, starts in hashing.word_chunks(batch["text"]):
-                made, offsets = hashing.shingles(words, starts)
-                hit = index.hits(made)
-                for k in np.unique(np.searchsorted(offsets, hit, side="right") - 1).tolist():
-                    n = int(starts[k + 1] - starts[k])
-                    for found in index.search(made[offsets[k] : offsets[k + 1]], n, percent):
-                        rows.append((ids[first + k], *found))
+            rows = [(ids[row], *match) for row, match in _index(folder, name, percent).found(batch["text"])]
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 names = [f.split()[0] for f in FOUND.split(", ")]
@@ -172,22 +247,19 @@ def _scan(index: Index, percent: int):
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage; columns unchanged. Rows whose id is null are judged too."""
-    names = docs.columns
+    folder, names = write_index(benchmark)
     rest = docs
-    for index in _blocks(benchmark):
-        rest = rest.mapInArrow(_keep(index, percent, names), docs.schema)
+    for name in names:
+        rest = rest.mapInArrow(_keep(folder, name, percent), docs.schema)
     return rest
 
 
-def _keep(index: Index, percent: int, names: list[str]):
+def _keep(folder: str, name: str, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in files.chunks_of(batches, "text"):
             keep = np.ones(batch.num_rows, dtype=bool)
-            for first, last, words, starts in hashing.word_chunks(batch["text"]):
-                made, offsets = hashing.shingles(words, starts)
-                for k in np.unique(np.searchsorted(offsets, index.hits(made), side="right") - 1).tolist():
-                    n = int(starts[k + 1] - starts[k])
-                    keep[first + k] = not index.search(made[offsets[k] : offsets[k + 1]], n, percent)
+            for row, _ in _index(folder, name, percent).found(batch["text"]):
+                keep[row] = False
             yield batch.filter(pa.array(keep))
 
     return run
