@@ -6,7 +6,7 @@ that bit. Rank directories hold the set bits before each 512-bit block, so a ran
 set bits of one block.
 
 File, all integers little-endian: magic, levels (u32), ids (u64), documents (u64); per level its chunks
-(u64); then the documents' ids (i64 each, the least number for null) and ends (u64 each), and per level: chunks (u8 or u16 each), bitmap
+(u64); then the documents' ids (i64 each, 0 for null), a bitmap of those that are null, ends (u64 each), and per level: chunks (u8 or u16 each), bitmap
 bytes (none for the last level), rank directory (u64 per block). A file is one segment of the corpus in
 ascending doc_id order; the index table has the ids before each segment.
 """
@@ -25,17 +25,17 @@ from pyspark.sql import DataFrame, Window
 from sluice.llm import files, ordered, tokens
 
 # Fixed values of the format.
-MAGIC = b"DACIDS01"
+MAGIC = b"DACIDS02"
 WIDTHS = (8, 8, 16)
 RANK_BLOCK = 512
 HEADER = struct.Struct("<8sIQQ3Q")
 END_ID = 2
 SEGMENT_IDS = 4 << 20
-NULL_ID = -(1 << 63)
 
 
-def encode(ids: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray) -> bytes:
-    """One segment: uint32 ids, the documents' ends in them and the documents' own ids."""
+def encode(ids: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray, nulls: np.ndarray | None = None) -> bytes:
+    """One segment: uint32 ids, the documents' ends in them, the documents' own ids and which of these are null."""
+    nulls = np.zeros(len(doc_ids), dtype=bool) if nulls is None else nulls
     levels, rest = [], ids.astype(np.uint32)
     for level, width in enumerate(WIDTHS):
         kind = np.uint8 if width == 8 else np.dtype("<u2")
@@ -50,7 +50,8 @@ def encode(ids: np.ndarray, ends: np.ndarray, doc_ids: np.ndarray) -> bytes:
         levels.append((len(chunk), chunk.tobytes() + bits.tobytes() + set_bits[:-1:RANK_BLOCK].astype("<u8").tobytes()))
         rest = rest[more]
     head = HEADER.pack(MAGIC, len(WIDTHS), len(ids), len(ends), *(n for n, _ in levels))
-    return head + doc_ids.astype("<i8").tobytes() + ends.astype("<u8").tobytes() + b"".join(body for _, body in levels)
+    names = np.where(nulls, 0, doc_ids).astype("<i8").tobytes() + np.packbits(nulls, bitorder="little").tobytes()
+    return head + names + ends.astype("<u8").tobytes() + b"".join(body for _, body in levels)
 
 
 class Segment:
@@ -69,6 +70,7 @@ class Segment:
             return found
 
         self.doc_ids = view("<i8", documents)
+        self.nulls = np.unpackbits(view(np.uint8, -(-documents // 8)), count=documents, bitorder="little").astype(bool)
         self.ends = view("<u8", documents).astype(np.int64)
         self.chunks, self.bits, self.ranks = [], [], []
         for level, (width, n) in enumerate(zip(WIDTHS, counts)):
@@ -127,14 +129,15 @@ def _writer(folder: str, path: str, end_id: int, segment_ids: int):
         end = int(end_id).to_bytes(4, "little")
         held: list[bytes] = []
         ends: list[int] = []
-        names: list[int] = []
+        names: list[int | None] = []
         total = part = 0
         open_bucket = None
 
         def close():
             nonlocal total, part
             out = files.NewFile(folder, ".dac")
-            out.write(encode(np.frombuffer(b"".join(held), dtype="<u4"), np.array(ends), np.array(names)))
+            ids = np.array([0 if n is None else n for n in names], dtype=np.int64)
+            out.write(encode(np.frombuffer(b"".join(held), dtype="<u4"), np.array(ends), ids, np.array([n is None for n in names])))
             out.close()
             row = pa.RecordBatch.from_pylist(
                 [{"bucket_no": open_bucket, "part": part, "file": out.name, "documents": len(ends), "ids": total, "bytes": out.size}],
@@ -156,7 +159,7 @@ def _writer(folder: str, path: str, end_id: int, segment_ids: int):
                 held.append(ids)
                 total += len(ids) // 4
                 ends.append(total)
-                names.append(NULL_ID if doc is None else doc)
+                names.append(doc)
         if ends:
             yield close()
 
@@ -168,7 +171,8 @@ def write(docs: DataFrame, tokenizer: str = tokens.DEFAULT_FILE, end_id: int = E
 
     The table has one row per segment: file, documents, ids and start (ids
     before it). Only files named there count, so a task that ran twice does no harm. Null text
-    is empty and has its end id alone; null ids come first; equal ids stand in order of their texts.
+    is empty and has its end id alone; null ids come first; equal ids stand in order of their texts, repeated rows each.
+    A long text is encoded whole. An empty table gives no segment. Other columns are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sorted_docs = ordered.in_order(source, ordered.bounds(source, "doc_id"), "doc_id", "text")
@@ -196,7 +200,7 @@ def read(folder: str, index: DataFrame) -> DataFrame:
                 crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts, segment.ends)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(segment.doc_ids, mask=segment.doc_ids == NULL_ID),
+                        pa.array(segment.doc_ids, mask=segment.nulls),
                         pa.array(starts + seg["start"]),
                         pa.array(segment.ends - starts),
                         pa.array(np.array(crcs, dtype=np.int64)),

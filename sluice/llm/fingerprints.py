@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
+from sluice.functions.rows import fresh
 from sluice.llm import files, hashing, ordered
 
 WINDOW = 64
@@ -69,7 +71,11 @@ def _inside(offsets: np.ndarray, n: int) -> np.ndarray:
 
 
 def digests(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> list[bytes]:
-    """Filter chain of each row of bytes. A text below WINDOW bytes is one feature; an empty one has none."""
+    """Filter chain of each row of bytes.
+
+    A text below WINDOW bytes is one feature, and so is a longer one none of whose windows is chosen, since all are
+    flat: its whole bytes. An empty text has none.
+    """
     rows = len(offsets) - 1
     levels = entropy_levels(data)
     feature_rows, hashes = [], []
@@ -86,7 +92,8 @@ def digests(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> list[by
         feature_rows.append(np.searchsorted(offsets, chosen, side="right") - 1)
         hashes.append(hashing.window_hashes(data, chosen, WINDOW))
     sizes = np.diff(offsets)
-    for row in np.flatnonzero((sizes > 0) & (sizes < WINDOW)):
+    chosen_rows = np.bincount(feature_rows[0], minlength=rows) if feature_rows else np.zeros(rows, dtype=np.int64)
+    for row in np.flatnonzero((sizes > 0) & (chosen_rows == 0)):
         hashes.append(hashing.window_hashes(data[offsets[row] : offsets[row + 1]], np.array([0]), int(sizes[row])))
         feature_rows.append(np.array([row]))
     if not feature_rows:
@@ -148,8 +155,11 @@ def entropy_ranks(docs: DataFrame) -> np.ndarray:
 
 
 def fingerprint(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """The rows with a column ``fingerprint`` (hex of the filter chain); null text is empty, with ''."""
-    schema = docs.drop("fingerprint").schema.add("fingerprint", "string")
+    """The rows with one more column, hex of the filter chain: ``fingerprint``, or ``fresh(docs, "fingerprint")`` if they have one.
+
+    Null text is empty, with ''. Texts are read whole; repeated rows have equal fingerprints; all other columns stay.
+    """
+    schema = StructType([*docs.schema.fields]).add(fresh(docs, "fingerprint"), "string")
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +168,7 @@ def fingerprint(docs: DataFrame, ranks: np.ndarray) -> DataFrame:
             columns = [batch[n] for n in names[:-1]] + [pa.array([d.hex() for d in made], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.drop("fingerprint").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 NEIGHBOUR_SCHEMA = "doc_id long, text string, next_text string"
@@ -175,7 +185,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     cuts = ordered.bounds(source, "doc_id")
     ends = source.agg(F.min("doc_id").alias("low"), F.max(F.col("doc_id").isNull()).alias("nulls")).first()
     is_first = F.col("doc_id").isNull() if ends.nulls else F.col("doc_id") == F.lit(ends.low)
-    own, before = ordered.bucket(F.col("doc_id"), cuts), ordered.bucket(F.col("doc_id") - 1, cuts)
+    own, before = ordered.bucket(F.col("doc_id"), cuts), ordered.bucket(F.col("doc_id"), cuts, strict=True)
     spots = F.array(
         F.struct(own.cast("int").alias("bucket_no"), F.lit(0).alias("late")),
         F.when((own > before) & F.col("doc_id").isNotNull(), F.struct((own - 1).cast("int").alias("bucket_no"), F.lit(1).alias("late"))),

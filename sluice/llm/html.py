@@ -37,11 +37,13 @@ CONTENT = {"article", "main"}
 BOILERPLATE = set("nav footer aside form head title menu dialog button".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
 BOILERPLATE_WORD = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|disqus|replies|nav\w*|menu|breadcrumbs?|side-?bar|"
-    r"cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|footer|"
-    r"masthead|site-?header|pagination|pager|widget|toolbar)(?:$|[-_\s])",
+    r"(?:^|[-_])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|comments?|disqus|replies|nav\w*|menu|breadcrumbs?|side-?bar|"
+    r"cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscribe|signup|footer|masthead|site-?header|pagination|pager|widget|toolbar)(?:$|[-_])"
+    r"|^(?:share|sharing|social|related|recommend\w*)(?:$|[-_])",
     re.I,
 )
+COMMENT_WORD = re.compile(r"(?:^|[-_])(?:comments?|disqus|replies)(?:$|[-_])", re.I)
+MODIFIER = re.compile(r"(?:has|no|not|with|without|is|hide|js)[-_]", re.I)  # "has-sidebar" says something of an element, not what it is
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{RAW})\b(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
@@ -53,37 +55,49 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
-def _keyed(name: str, rest: str) -> tuple[str, bool]:
-    """An element's key (name and classes) and whether it is boilerplate by name, class, id or role."""
+HARD, SOFT = 2, 1  # boilerplate by name, role or as reader comments; boilerplate by a class or id alone
+
+
+def _keyed(name: str, rest: str) -> tuple[str, int]:
+    """An element's key (name and classes) and whether it is boilerplate: HARD, SOFT or 0."""
     found = {k.lower(): (a or b or c).strip() for k, a, b, c in ATTRIBUTE.findall(rest)} if "=" in rest else {}
-    words = f"{found.get('class', '')} {found.get('id', '')}"
-    known = name in BOILERPLATE or found.get("role", "").lower() in ROLES
-    known = known or (name not in ("html", "body", *CONTENT) and bool(words.strip()) and bool(BOILERPLATE_WORD.search(words)))
-    return ".".join([name, *sorted(found.get("class", "").lower().split())]), known
+    key = ".".join([name, *sorted(found.get("class", "").lower().split())])
+    if name in BOILERPLATE or found.get("role", "").lower() in ROLES:
+        return key, HARD
+    words = [] if name in ("html", "body", *CONTENT) else f"{found.get('class', '')} {found.get('id', '')}".split()
+    words = [w for w in words if not MODIFIER.match(w)]
+    if any(COMMENT_WORD.search(w) for w in words):
+        return key, HARD
+    return key, SOFT if any(BOILERPLATE_WORD.search(w) for w in words) else 0
 
 
 def events(page: str) -> Iterator[tuple]:
-    """("text", key, boilerplate, block, text, inside) and ("tag", key, inside), in page order.
+    """("text", key, boilerplate, block, text, inside, around, hard) and ("tag", key, inside), in page order.
 
     A text's key is its nearest block element and the nearest named section around it. ``inside`` says
-    whether an article or main element is open.
+    whether an article or main element is open. An element that is boilerplate by a class alone makes a text so unless
+    an article or main element stands between them; ``around`` has the numbers of such elements that are open around the
+    text and, if there is one, its article.
     """
-    stack: list[tuple[str, str, bool]] = []  # open block elements: name, key, boilerplate
+    stack: list[tuple[str, str, int, int]] = []  # open block elements: name, key, boilerplate, number
     block = at = 0
     inside = 0
 
     def text_event(text):
         inner = stack[-1][1] if stack else ""
-        section = next((k for n, k, _ in reversed(stack[:-1]) if n not in CONTENT and n not in ("html", "body", "ul", "ol", "div", "section")), "")
-        named = next((k for _, k, _ in reversed(stack[:-1]) if "." in k), section)
-        return ("text", f"{inner} in {named}", any(b for _, _, b in stack), block, text, inside > 0)
+        section = next((k for n, k, _, _ in reversed(stack[:-1]) if n not in CONTENT and n not in ("html", "body", "ul", "ol", "div", "section")), "")
+        named = next((k for _, k, _, _ in reversed(stack[:-1]) if "." in k), section)
+        opened = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] in CONTENT), -1)
+        hard = any(b == HARD for _, _, b, _ in stack) or any(b == SOFT for _, _, b, _ in stack[opened + 1 :] if opened >= 0)
+        around = tuple(number for _, _, b, number in (stack if opened < 0 else stack[:opened]) if b == SOFT)
+        return ("text", f"{inner} in {named}", hard or (opened < 0 and bool(around)), block, text, inside > 0, () if hard else around, hard)
 
     def leave(names):
         """Close open elements down to one of these names, if there is one."""
         nonlocal inside
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth][0] in names:
-                for name, _, _ in stack[depth:]:
+                for name, *_ in stack[depth:]:
                     inside -= name in CONTENT
                 del stack[depth:]
                 return
@@ -113,10 +127,11 @@ def events(page: str) -> Iterator[tuple]:
         if name in SIBLINGS and stack and stack[-1][0] in SIBLINGS[name]:
             leave({stack[-1][0]})
         key, known = _keyed(name, m["rest"] or "")
-        header_of_page = name == "header" and not inside
+        if name == "header" and not inside:
+            known = HARD
         yield ("tag", key, inside > 0)
         if name not in VOID:
-            stack.append((name, key, known or header_of_page))
+            stack.append((name, key, known, block))
             inside += name in CONTENT
     if at < len(page):
         yield text_event(page[at:])
@@ -173,9 +188,17 @@ def main_text(page: str | None, weights: Weights) -> str:
         total += score
         if total > best:
             best, best_first, best_last = total, first, len(texts)
+    region = [t for t in texts[best_first:best_last] if not t[7]]
+    held: Counter = Counter()
+    for t in region:
+        for number in t[6]:
+            held[number] += len(t[4].split())
+    # a class does not make boilerplate of the element that holds most of the region, or all that is an article
+    most = sum(len(t[4].split()) for t in region)
+    dropped = {number for number, n in held.items() if 2 * n <= most}
     blocks: dict[int, list[str]] = {}
-    for _, _, boilerplate, block, text, _ in texts[best_first:best_last]:
-        if not boilerplate:
+    for _, _, _, block, text, _, around, _ in region:
+        if not dropped.intersection(around):
             blocks.setdefault(block, []).append(html.unescape(text))
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
@@ -206,7 +229,10 @@ def fit(pages: DataFrame, bound: int = LABELLED_PAGES) -> Weights:
 
 
 def extract(pages: DataFrame, weights: Weights) -> DataFrame:
-    """One row per page: page_id, url, text. Null html is empty; repeated pages are returned each."""
+    """One row per page: page_id, url, text. Null html is empty; repeated pages are returned each, and an empty table gives none.
+
+    Pages are read whole, however long; of regions that score alike the first is taken. Other columns are not read.
+    """
     source = pages.select("page_id", "url", "html")
     schema = source.select("page_id", "url").schema.add("text", "string")
 

@@ -26,20 +26,21 @@ def bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> l
     return sorted(set(found))
 
 
-def bucket(key: Column, cuts: list) -> Column:
-    """How many of the cuts are at or below the key; null keys come first, in bucket 0."""
+def bucket(key: Column, cuts: list, strict: bool = False) -> Column:
+    """How many of the cuts are at or below the key, or below it (``strict``); null keys come first, in bucket 0."""
     if not cuts:
         return F.lit(0)
-    tree = _tree(key, cuts, 0, len(cuts))
+    tree = _tree(key, cuts, 0, len(cuts), strict)
     return F.when(key.isNull(), F.lit(0)).otherwise(tree)
 
 
-def _tree(key: Column, cuts: list, low: int, high: int) -> Column:
+def _tree(key: Column, cuts: list, low: int, high: int, strict: bool) -> Column:
     if high - low > 64:
         mid = (low + high) // 2
-        return F.when(key < F.lit(cuts[mid]), _tree(key, cuts, low, mid)).otherwise(_tree(key, cuts, mid + 1, high))
+        before = key <= F.lit(cuts[mid]) if strict else key < F.lit(cuts[mid])
+        return F.when(before, _tree(key, cuts, low, mid, strict)).otherwise(_tree(key, cuts, mid + 1, high, strict))
     below = F.array(*(F.lit(c) for c in cuts[low:high]))
-    return F.lit(low) + F.size(F.filter(below, lambda c: c <= key))
+    return F.lit(low) + F.size(F.filter(below, lambda c: c < key if strict else c <= key))
 
 
 def bucket_of(value, cuts: list) -> int:
