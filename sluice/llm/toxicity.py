@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words of a clause become classes: insult, threat, target, negation, report, other. Small machines follow
-negation, reported speech and target, and are composed into one; where it reads an insult or a threat it
-emits a match with what holds there. A document scores by its matched clauses, with weights per kind of
-match, not by its words. Insult words and stems and their weights are learned from labelled documents: a
+Words of a clause become classes: insult, threat, target, negation, report, copula, modal, other. Five small machines
+follow insults (is one said of somebody: after a copula or a target?), threats (is one announced: after a modal or a
+future?), target, negation and reported speech, and are composed into one. Where it reads an insult or a threat it emits a match
+with what holds there. A document scores by its matched clauses, with weights per kind of match, not by its words: a unit counts once,
+in the strongest clause that it stands in. Insult words and stems and their weights are learned from labelled documents: a
 unit counts by its distinct neighbours, so a word that stands in copies of one document is not taken.
 """
 
@@ -30,17 +31,20 @@ THRESHOLD = 0.5
 STEMS = (4, 5, 6, 7)  # letters of a learned stem
 LEAST_PRECISION = 0.6
 CHANCE = 0.05  # units expected in the lexicon by chance alone
-MAX_CANDIDATES = 20_000
 NEGATED_WORDS = 3
+SAID_WORDS = 4  # words from a copula or target to its insult, and from a modal to its threat
 THREAT_WEIGHT = 3.0
 
 # Function words of four languages, and verbs of threat.
 TARGET = set("you your you're u ur he she they them him her du dich dir ihr euch sie tu te toi vous tú usted ustedes él ella ellos".split())
 NEGATION = set("not no never don't doesn't isn't aren't wasn't nor neither nicht kein keine nie pas jamais ni nunca".split())
 REPORT = set("said says wrote called quoted claimed reported sagte schrieb nannte dit écrit déclaré dijo escribió llamó".split())
+COPULA = set("is are am was were be being such ist bist sind war waren seid es êtes est sont était eres es son era fue".split())
+MODAL = set("will would shall should must gonna going want i'll we'll werde werden wird sollte muss will vais va allons dois voy vamos debo quiero".split())
 THREAT = set("kill murder hurt destroy stab shoot töten umbringen tuer matar".split())
-CLASSES = ("other", "insult", "threat", "target", "negation", "report")
-KINDS = list(product(("insult", "threat"), (False, True), (False, True), (False, True)))  # targeted, negated, reported
+CLASSES = ("other", "insult", "threat", "target", "negation", "report", "copula", "modal")
+#: What a clause says: an insult or a threat; directed at somebody or announced; with a target, negated, reported.
+KINDS = list(product(("insult", "threat"), (False, True), (False, True), (False, True), (False, True)))
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;\n]")
@@ -54,15 +58,22 @@ class Machine:
         self.says = says
 
 
+def within(words: int, *names: str) -> Machine:
+    """The machine that says whether one of the classes was read at most so many words ago."""
+    begin = {name: words for name in names}
+    return Machine([begin | {"*": 0}] + [begin | {"*": k} for k in range(words)], [(False,)] + [(True,)] * words)
+
+
 #: A target was read in this clause.
 TARGETED = Machine([{"target": 1, "*": 0}, {"*": 1}], [(False,), (True,)])
 #: A negation was read at most NEGATED_WORDS words ago.
-NEGATED = Machine(
-    [{"negation": NEGATED_WORDS, "*": 0}] + [{"negation": NEGATED_WORDS, "*": k} for k in range(NEGATED_WORDS)],
-    [(False,)] + [(True,)] * NEGATED_WORDS,
-)
+NEGATED = within(NEGATED_WORDS, "negation")
 #: A verb of speech was read in this clause.
 REPORTED = Machine([{"report": 1, "*": 0}, {"*": 1}], [(False,), (True,)])
+#: An insult here is said of somebody: a copula or a target was read shortly before.
+INSULTING = within(SAID_WORDS, "copula", "target")
+#: A threat here is announced: a modal or a future was read shortly before.
+THREATENING = within(SAID_WORDS, "modal")
 
 
 def compose(*machines: Machine) -> Machine:
@@ -83,7 +94,7 @@ def compose(*machines: Machine) -> Machine:
     return Machine(table, says)
 
 
-GRAMMAR = compose(TARGETED, NEGATED, REPORTED)
+GRAMMAR = compose(TARGETED, NEGATED, REPORTED, INSULTING, THREATENING)
 
 
 class Lexicon:
@@ -93,7 +104,8 @@ class Lexicon:
         import ahocorasick
 
         self.units = units
-        self.fixed = {w: k for k, group in ((2, THREAT), (3, TARGET), (4, NEGATION), (5, REPORT)) for w in group}
+        groups = ((7, MODAL), (6, COPULA), (5, REPORT), (4, NEGATION), (3, TARGET), (2, THREAT))
+        self.fixed = {w: k for k, group in groups for w in group}
         self.search = ahocorasick.Automaton()
         for unit in {u.rstrip("*") for u in units} | THREAT:
             self.search.add_word(unit, len(unit))
@@ -107,10 +119,10 @@ class Lexicon:
     def kind(self, word: str) -> int:
         return 1 if self.unit(word) else self.fixed.get(word, 0)
 
-    def matches(self, text: str) -> dict[tuple, set[str]]:
-        """The distinct units that the clauses of a text match, by kind of match."""
+    def matches(self, text: str) -> dict[str, tuple]:
+        """The strongest kind of match of each unit, over the clauses of a text that hold it."""
         low = text.lower()
-        found: dict[tuple, set[str]] = defaultdict(set)
+        found: dict[str, tuple] = {}
         done = -1
         for end, size in self.search.iter(low):
             start = end - size + 1
@@ -119,10 +131,13 @@ class Lexicon:
             first = max(low.rfind(c, 0, start) for c in ".!?;\n") + 1
             stop = CLAUSE_END.search(low, end)
             done = stop.start() if stop else len(low)
-            self._clause(low[first:done], found)
+            for unit, kind in self.clause(low[first:done]):
+                if unit not in found or PRIOR[kind] > PRIOR[found[unit]]:
+                    found[unit] = kind
         return found
 
-    def _clause(self, clause: str, found: dict[tuple, set[str]]) -> None:
+    def clause(self, clause: str) -> Iterator[tuple[str, tuple]]:
+        """(unit, kind) of each insult and threat that the composed machine reads in a clause."""
         words = WORD.findall(clause)
         kinds = [self.kind(w) for w in words]
         # a target may follow: the same machine is read from the end for it
@@ -133,20 +148,27 @@ class Lexicon:
         state = 0
         for k, kind in enumerate(kinds):
             if kind in (1, 2):
-                targeted, negated, reported = GRAMMAR.says[state]
-                found[CLASSES[kind], targeted or after[k], negated, reported].add(self.unit(words[k]) or words[k])
+                targeted, negated, reported, directed, announced = GRAMMAR.says[state]
+                strong = directed if kind == 1 else announced
+                yield self.unit(words[k]) or words[k], (CLASSES[kind], strong, targeted or after[k], negated, reported)
             state = GRAMMAR.table[state][kind]
 
-
     def features(self, text: str) -> list[float]:
-        """By kind of match, the summed weights of its units."""
-        found = self.matches(text)
-        return [sum(self.units.get(u, THREAT_WEIGHT) for u in sorted(found[k])) if k in found else 0.0 for k in KINDS]
+        """By kind of match, the summed weights of the units whose strongest clause is of that kind."""
+        sums = dict.fromkeys(KINDS, 0.0)
+        for unit, kind in sorted(self.matches(text).items()):
+            sums[kind] += self.units.get(unit, THREAT_WEIGHT)
+        return [sums[k] for k in KINDS]
+
+
+#: Where a kind's factor starts, and stays if no labelled document shows it.
+PRIOR = {
+    kind: 1.0 + 0.3 * kind[1] + 0.2 * kind[2] - 0.5 * kind[3] - 0.5 * kind[4] + (0.2 * (kind[1] and kind[2]) if kind[0] == "threat" else 0.0) for kind in KINDS
+}
 
 
 def prior_weights() -> np.ndarray:
-    """Where a kind's factor starts and stays if no labelled document shows it."""
-    return np.array([1.0 + 0.3 * targeted - 0.5 * negated - 0.5 * reported for _, targeted, negated, reported in KINDS])
+    return np.array([PRIOR[k] for k in KINDS])
 
 
 class Grammar:
@@ -165,6 +187,17 @@ class Grammar:
         return float(L.sigmoid(self.intercept + np.dot(self.lexicon.features(text or ""), self.weights)))
 
 
+def likely(counts: DataFrame, toxic: int, clean: int, units: int) -> DataFrame:
+    """The rows of (unit, toxic, clean, neighbours) that ``choose`` can take, by its bounds on precision and gain."""
+    rate = (toxic + 0.5) / (toxic + clean + 1)
+    seen = F.least("toxic", "neighbours")
+    share = seen / (seen + F.col("clean"))
+    lost = F.when(F.col("clean") > 0, F.col("clean") * F.ln((1 - share) / (1 - rate))).otherwise(0.0)
+    gain = seen * F.ln(share / rate) + lost
+    close = 1e-9  # logarithms may differ in their last digit
+    return counts.where((seen > 0) & (share >= max(LEAST_PRECISION, rate) - close) & (gain >= math.log(max(units, 1) / CHANCE) - close))
+
+
 def choose(counts: list[tuple[str, int, int, int]], toxic: int, clean: int, units: int) -> dict[str, float]:
     """Weights of the units that tell toxic documents apart; counts are (unit, toxic, clean, distinct neighbours).
 
@@ -173,16 +206,16 @@ def choose(counts: list[tuple[str, int, int, int]], toxic: int, clean: int, unit
     before a stem, a longer stem before a shorter one.
     """
     rate = (toxic + 0.5) / (toxic + clean + 1)
-    likely = []
+    able = []
     for unit, n_toxic, n_clean, neighbours in counts:
         seen = min(n_toxic, neighbours)
         share = seen / (seen + n_clean) if seen else 0.0
         gain = seen * math.log(share / rate) if share else 0.0
         gain += n_clean * math.log((1 - share) / (1 - rate)) if n_clean else 0.0
         if share >= max(LEAST_PRECISION, rate) and gain >= math.log(max(units, 1) / CHANCE):
-            likely.append((gain, unit, seen, n_clean))
+            able.append((gain, unit, seen, n_clean))
     chosen: dict[str, tuple[float, int]] = {}
-    for gain, unit, seen, n_clean in sorted(likely, key=lambda x: (-x[0], x[1].endswith("*"), -len(x[1]), x[1])):
+    for gain, unit, seen, n_clean in sorted(able, key=lambda x: (-x[0], x[1].endswith("*"), -len(x[1]), x[1])):
         bare = unit.rstrip("*")
         longer = sum(n for u, (_, n) in chosen.items() if u != bare and u.startswith(bare)) if unit.endswith("*") else 0
         if any(bare[:n] + "*" in chosen for n in STEMS if n <= len(bare)) or 1.1 * longer >= seen:
@@ -209,8 +242,7 @@ def _units(text: str) -> dict[str, str]:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = L.SAMPLE) -> Grammar:
     """Lexicon and weights from at most ``bound`` labelled documents.
 
-    Units are counted by Spark over the sample; at most MAX_CANDIDATES that keep to toxic documents, the
-    most frequent, come to the driver with their counts.
+    Units are counted by Spark over the sample; only those that beat chance among all units come to the driver.
     """
     sample = files.written(L.labelled(docs, labels, LABEL, bound).select("text", F.col("y").cast("int").alias("y")), "labelled")
 
@@ -227,10 +259,11 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = L.SAMPLE) -> Grammar:
     counts = placed.groupBy("unit").agg(
         F.sum("toxic").alias("toxic"), F.sum(F.col("n") - F.col("toxic")).alias("clean"), F.sum((F.col("toxic") > 0).cast("int")).alias("neighbours")
     )
+    # a unit of one toxic document cannot beat chance, so it is no trial either
     counts = files.written(counts.where("toxic > 1"), "units")
-    top = counts.where(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))).orderBy(F.desc("neighbours"), "unit").limit(MAX_CANDIDATES)
     ys = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chosen = choose([(r.unit, r.toxic, r.clean, r.neighbours) for r in top.collect()], ys.get(1, 0), ys.get(0, 0), counts.count())
+    toxic, clean, units_n = ys.get(1, 0), ys.get(0, 0), counts.count()
+    chosen = choose([(r.unit, r.toxic, r.clean, r.neighbours) for r in likely(counts, toxic, clean, units_n).collect()], toxic, clean, units_n)
     lexicon = Lexicon(chosen)
     blank = Grammar(lexicon, 0.0, prior_weights())
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from sluice.llm import chat, codes, decontaminate, fingerprints, html, labels, minmax, packing, quality, toxicity, warc
+from sluice.llm.queries import QUERIES
 
 WORDS = [f"word{i}" for i in range(40)]
 BODY = " ".join(WORDS)
@@ -98,10 +99,76 @@ def test_classifiers(spark, docs):
 
 def test_grammar():
     lexicon = toxicity.Lexicon({"idiot": 3.0, "moro*": 2.0})
-    assert set(lexicon.matches("You are an idiot. He said it.")) == {("insult", True, False, False)}
-    assert set(lexicon.matches("not an idiot")) == {("insult", False, True, False)}
-    assert set(lexicon.matches("she said morons")) == {("insult", True, False, True)}
+    assert lexicon.matches("You are an idiot. He said it.") == {"idiot": ("insult", True, True, False, False)}
+    assert lexicon.matches("not an idiot") == {"idiot": ("insult", False, False, True, False)}
+    assert lexicon.matches("she said morons") == {"moro*": ("insult", True, True, False, True)}
     assert not lexicon.matches("") and not lexicon.matches("humoros idiotic")
+    # threats: announced by a modal or a future, of a target before or after, negated, reported
+    assert lexicon.matches("i will kill you") == {"kill": ("threat", True, True, False, False)}
+    assert lexicon.matches("the frost may kill plants") == {"kill": ("threat", False, False, False, False)}
+    assert lexicon.matches("we will never hurt them") == {"hurt": ("threat", True, True, True, False)}
+    assert lexicon.matches("he wrote they would destroy it") == {"destroy": ("threat", True, True, False, True)}
+    # a unit counts in its strongest clause, whatever the order
+    for text in ("an idiot! you are an idiot", "you are an idiot! an idiot; not an idiot"):
+        assert lexicon.matches(text) == {"idiot": ("insult", True, True, False, False)}
+    assert sum(lexicon.features("an idiot; an idiot")) == 3.0 and sum(lexicon.features("morons kill")) == 2.0 + toxicity.THREAT_WEIGHT
+
+
+def test_composed_machine_equals_the_five():
+    """Every state of the composition says what the machines say one by one."""
+    import random
+
+    draw = random.Random(6)
+    machines = (toxicity.TARGETED, toxicity.NEGATED, toxicity.REPORTED, toxicity.INSULTING, toxicity.THREATENING)
+    for _ in range(300):
+        one, five = 0, [0] * 5
+        for _ in range(12):
+            word = draw.randrange(len(toxicity.CLASSES))
+            one, five = toxicity.GRAMMAR.table[one][word], [m.table[s][word] for m, s in zip(machines, five)]
+            assert toxicity.GRAMMAR.says[one] == tuple(x for m, s in zip(machines, five) for x in m.says[s])
+
+
+def plain_kind(words, k, lexicon):
+    """The kind of the match at a word, by looking at the clause around it."""
+    kinds = [toxicity.CLASSES[lexicon.kind(w)] for w in words]
+    insult = kinds[k] == "insult"
+    near = kinds[max(0, k - toxicity.SAID_WORDS) : k]
+    return (
+        kinds[k], any(c in (("copula", "target") if insult else ("modal",)) for c in near), "target" in kinds[:k] + kinds[k + 1 :],
+        "negation" in kinds[max(0, k - toxicity.NEGATED_WORDS) : k], "report" in kinds[:k],
+    )
+
+
+def test_op6_query(spark):
+    """Scores from clauses by hand with the fitted lexicon and weights; precision and recall on held-out rows."""
+    import math
+    import re
+
+    folder = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    grammar = toxicity.fit(docs, marks)
+    lexicon, factors = grammar.lexicon, dict(zip(toxicity.KINDS, grammar.weights))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    toxic = {r.doc_id: r.toxic for r in marks.collect()}
+    rows = QUERIES["op6_toxicity_grammar"](spark, folder).collect()
+    assert len(rows) == len(texts)
+    hits = {True: 0, False: 0}
+    for r in rows:
+        strongest = {}
+        for clause in re.split(r"[.!?;\n]", texts[r.doc_id].lower()):
+            words = toxicity.WORD.findall(clause)
+            for k, word in enumerate(words):
+                if lexicon.kind(word) in (1, 2):
+                    kind = plain_kind(words, k, lexicon)
+                    unit = lexicon.unit(word) or word
+                    if unit not in strongest or toxicity.PRIOR[kind] > toxicity.PRIOR[strongest[unit]]:
+                        strongest[unit] = kind
+        z = grammar.intercept + sum(lexicon.units.get(u, toxicity.THREAT_WEIGHT) * factors[kind] for u, kind in strongest.items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        if r.held_out and r.doc_id in toxic:
+            assert not (r.predicted and not toxic[r.doc_id])
+            hits[bool(r.predicted)] += toxic[r.doc_id]
+    assert hits[True] >= hits[False]
 
 
 def test_chat(spark):
