@@ -3,8 +3,8 @@
 Words of a clause become classes: insult, threat, target, negation, report, copula, modal, other. Five small machines
 follow insults (is one said of somebody: after a copula or a target?), threats (is one announced: after a modal or a
 future?), target, negation and reported speech, and are composed into one. Where it reads an insult or a threat it emits a match
-with what holds there. A document scores by its matched clauses, with weights per kind of match, not by its words: a unit counts once,
-in the strongest clause that it stands in. Insult words and stems and their weights are learned from labelled documents: a
+with what holds there. A document scores by its matched clauses, with weights per kind of match, not by its words: a unit counts once
+for each kind of clause that it stands in, however often. Insult words and stems and their weights are learned from labelled documents: a
 unit counts by its distinct neighbours, so a word that stands in copies of one document is not taken.
 """
 
@@ -119,10 +119,10 @@ class Lexicon:
     def kind(self, word: str) -> int:
         return 1 if self.unit(word) else self.fixed.get(word, 0)
 
-    def matches(self, text: str) -> dict[str, tuple]:
-        """The strongest kind of match of each unit, over the clauses of a text that hold it."""
+    def matches(self, text: str) -> dict[tuple, set[str]]:
+        """The distinct units that the clauses of a text match, by kind of match."""
         low = text.lower()
-        found: dict[str, tuple] = {}
+        found: dict[tuple, set[str]] = defaultdict(set)
         done = -1
         for end, size in self.search.iter(low):
             start = end - size + 1
@@ -132,8 +132,7 @@ class Lexicon:
             stop = CLAUSE_END.search(low, end)
             done = stop.start() if stop else len(low)
             for unit, kind in self.clause(low[first:done]):
-                if unit not in found or PRIOR[kind] > PRIOR[found[unit]]:
-                    found[unit] = kind
+                found[kind].add(unit)
         return found
 
     def clause(self, clause: str) -> Iterator[tuple[str, tuple]]:
@@ -154,11 +153,9 @@ class Lexicon:
             state = GRAMMAR.table[state][kind]
 
     def features(self, text: str) -> list[float]:
-        """By kind of match, the summed weights of the units whose strongest clause is of that kind."""
-        sums = dict.fromkeys(KINDS, 0.0)
-        for unit, kind in sorted(self.matches(text).items()):
-            sums[kind] += self.units.get(unit, THREAT_WEIGHT)
-        return [sums[k] for k in KINDS]
+        """By kind of match, the summed weights of its units."""
+        found = self.matches(text)
+        return [sum(self.units.get(u, THREAT_WEIGHT) for u in sorted(found[k])) if k in found else 0.0 for k in KINDS]
 
 
 #: Where a kind's factor starts, and stays if no labelled document shows it.

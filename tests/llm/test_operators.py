@@ -99,18 +99,21 @@ def test_classifiers(spark, docs):
 
 def test_grammar():
     lexicon = toxicity.Lexicon({"idiot": 3.0, "moro*": 2.0})
-    assert lexicon.matches("You are an idiot. He said it.") == {"idiot": ("insult", True, True, False, False)}
-    assert lexicon.matches("not an idiot") == {"idiot": ("insult", False, False, True, False)}
-    assert lexicon.matches("she said morons") == {"moro*": ("insult", True, True, False, True)}
-    assert not lexicon.matches("") and not lexicon.matches("humoros idiotic")
+
+    def kinds(text):
+        return {(unit, *kind) for kind, units in lexicon.matches(text).items() for unit in units}
+
+    assert kinds("You are an idiot. He said it.") == {("idiot", "insult", True, True, False, False)}
+    assert kinds("not an idiot") == {("idiot", "insult", False, False, True, False)}
+    assert kinds("she said morons") == {("moro*", "insult", True, True, False, True)}
+    assert not kinds("") and not kinds("humoros idiotic")
     # threats: announced by a modal or a future, of a target before or after, negated, reported
-    assert lexicon.matches("i will kill you") == {"kill": ("threat", True, True, False, False)}
-    assert lexicon.matches("the frost may kill plants") == {"kill": ("threat", False, False, False, False)}
-    assert lexicon.matches("we will never hurt them") == {"hurt": ("threat", True, True, True, False)}
-    assert lexicon.matches("he wrote they would destroy it") == {"destroy": ("threat", True, True, False, True)}
-    # a unit counts in its strongest clause, whatever the order
-    for text in ("an idiot! you are an idiot", "you are an idiot! an idiot; not an idiot"):
-        assert lexicon.matches(text) == {"idiot": ("insult", True, True, False, False)}
+    assert kinds("i will kill you") == {("kill", "threat", True, True, False, False)}
+    assert kinds("the frost may kill plants") == {("kill", "threat", False, False, False, False)}
+    assert kinds("we will never hurt them") == {("hurt", "threat", True, True, True, False)}
+    assert kinds("he wrote they would destroy it") == {("destroy", "threat", True, True, False, True)}
+    # a unit counts once for each kind of clause
+    assert kinds("an idiot! you are an idiot; you are an idiot") == {("idiot", "insult", False, False, False, False), ("idiot", "insult", True, True, False, False)}
     assert sum(lexicon.features("an idiot; an idiot")) == 3.0 and sum(lexicon.features("morons kill")) == 2.0 + toxicity.THREAT_WEIGHT
 
 
@@ -154,16 +157,13 @@ def test_op6_query(spark):
     assert len(rows) == len(texts)
     hits = {True: 0, False: 0}
     for r in rows:
-        strongest = {}
+        met = set()
         for clause in re.split(r"[.!?;\n]", texts[r.doc_id].lower()):
             words = toxicity.WORD.findall(clause)
             for k, word in enumerate(words):
                 if lexicon.kind(word) in (1, 2):
-                    kind = plain_kind(words, k, lexicon)
-                    unit = lexicon.unit(word) or word
-                    if unit not in strongest or toxicity.PRIOR[kind] > toxicity.PRIOR[strongest[unit]]:
-                        strongest[unit] = kind
-        z = grammar.intercept + sum(lexicon.units.get(u, toxicity.THREAT_WEIGHT) * factors[kind] for u, kind in strongest.items())
+                    met.add((lexicon.unit(word) or word, plain_kind(words, k, lexicon)))
+        z = grammar.intercept + sum(lexicon.units.get(u, toxicity.THREAT_WEIGHT) * factors[kind] for u, kind in met)
         assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
         if r.held_out and r.doc_id in toxic:
             assert not (r.predicted and not toxic[r.doc_id])
