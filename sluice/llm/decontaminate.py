@@ -6,7 +6,7 @@ A window passes on if it has as many shingles of the item as the least similarit
 either. What passes is judged by the weighted Jaccard similarity of its shingles, each weighted by how often it stands there,
 carried on from window to window. Items below five words are one shingle of their own length, found in windows of that length.
 
-The benchmark is written as index files of bounded size by tasks and read by tasks; it never passes through the driver.
+The benchmark is written as files of items by tasks and read by tasks; it never passes through the driver.
 """
 
 from __future__ import annotations
@@ -172,11 +172,14 @@ def _unpacked(raw: bytes) -> list[Item]:
     return [Item(None if gone else i, n, whole[a:b]) for i, gone, n, a, b in rows]
 
 
-def write_index(benchmark: DataFrame) -> tuple[str, list[str]]:
-    """Write the benchmark as index files of at most about BLOCK_CHARS characters; the folder and the files' names."""
+def write_index(benchmark: DataFrame) -> tuple[str, list[tuple[str, ...]]]:
+    """Write the benchmark as files of items; the folder, and the files of each index of about BLOCK_CHARS characters.
+
+    Every task writes what it reads, at most BLOCK_CHARS to a file; small files are read together. Names and sizes of
+    the files come to the driver, the items never do.
+    """
     folder = files.new_folder(benchmark.sparkSession, "benchmark")
     source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    chars = source.agg(F.sum(F.length("text"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -186,7 +189,7 @@ def write_index(benchmark: DataFrame) -> tuple[str, list[str]]:
             out.write(_packed(held))
             out.close()
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([out.name])], names=["file"])
+            return pa.RecordBatch.from_arrays([pa.array([out.name]), pa.array([size], pa.int64())], names=["file", "chars"])
 
         for batch in batches:
             for part in files.chunks_of([batch], "text", 1 << 20):
@@ -198,45 +201,55 @@ def write_index(benchmark: DataFrame) -> tuple[str, list[str]]:
         if held:
             yield close()
 
-    parts = max(1, -(-chars // BLOCK_CHARS))
-    dealt = source.repartition(parts, F.xxhash64("item_id", "text"))
-    return folder, sorted(r.file for r in files.written(dealt.mapInArrow(run, "file string"), "benchmark-files").collect())
+    rows = files.written(source.mapInArrow(run, "file string, chars long"), "benchmark-files").orderBy("file").collect()
+    groups: list[list[str]] = []
+    room = 0
+    for row in rows:
+        if not groups or row.chars > room:
+            groups.append([])
+            room = BLOCK_CHARS
+        groups[-1].append(row.file)
+        room -= row.chars
+    return folder, [tuple(g) for g in groups]
 
 
-_indexes: dict[tuple[str, str, int], Index] = {}
+_indexes: dict[tuple[str, tuple[str, ...], int], Index] = {}
 
 
-def _index(folder: str, name: str, percent: int) -> Index:
-    """The worker's index of a file; one at a time is held."""
-    key = (folder, name, percent)
+def _index(folder: str, names: tuple[str, ...], percent: int) -> Index:
+    """The worker's index of some files; one at a time is held."""
+    key = (folder, names, percent)
     if key not in _indexes:
         _indexes.clear()
-        with files.open_input(folder, name) as source:
-            _indexes[key] = Index(_unpacked(source.read()), percent)
+        items = []
+        for name in names:
+            with files.open_input(folder, name) as source:
+                items += _unpacked(source.read())
+        _indexes[key] = Index(items, percent)
     return _indexes[key]
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document row and item: doc_id, item_id, similarity, first_word, n_words of the best window.
 
-    Each index file is one narrow pass over all documents, whole texts, however long. Null and empty texts match nothing; a
+    Each index is one narrow pass over all documents, whole texts, however long. Null and empty texts match nothing; a
     text shorter than an item of five words and more is one window. Null ids are kept as null. Repeated items and
     documents are reported each, ties go to the first window. Other columns, whatever their names, are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    folder, names = write_index(benchmark)
+    folder, indexes = write_index(benchmark)
     out = None
-    for name in names:
-        part = source.mapInArrow(_scan(folder, name, percent), FOUND)
+    for names in indexes:
+        part = source.mapInArrow(_scan(folder, names, percent), FOUND)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
 
 
-def _scan(folder: str, name: str, percent: int):
+def _scan(folder: str, files_: tuple[str, ...], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
-            rows = [(ids[row], *match) for row, match in _index(folder, name, percent).found(batch["text"])]
+            rows = [(ids[row], *match) for row, match in _index(folder, files_, percent).found(batch["text"])]
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 names = [f.split()[0] for f in FOUND.split(", ")]
@@ -247,18 +260,18 @@ def _scan(folder: str, name: str, percent: int):
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage; columns unchanged. Rows whose id is null are judged too."""
-    folder, names = write_index(benchmark)
+    folder, indexes = write_index(benchmark)
     rest = docs
-    for name in names:
-        rest = rest.mapInArrow(_keep(folder, name, percent), docs.schema)
+    for names in indexes:
+        rest = rest.mapInArrow(_keep(folder, names, percent), docs.schema)
     return rest
 
 
-def _keep(folder: str, name: str, percent: int):
+def _keep(folder: str, names: tuple[str, ...], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in files.chunks_of(batches, "text"):
             keep = np.ones(batch.num_rows, dtype=bool)
-            for row, _ in _index(folder, name, percent).found(batch["text"]):
+            for row, _ in _index(folder, names, percent).found(batch["text"]):
                 keep[row] = False
             yield batch.filter(pa.array(keep))
 

@@ -74,6 +74,10 @@ def test_many_index_files(spark, monkeypatch):
     items = [(i, " ".join(f"w{i}y{j}" for j in range(20))) for i in range(12)] + [(None, "null item of five words"), (50, None)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert len(decontaminate.write_index(benchmark)[1]) > 3
+    with monkeypatch.context() as patch:  # as many files as partitions make one index
+        patch.setattr(decontaminate, "BLOCK_CHARS", 1 << 20)
+        ((names),) = decontaminate.write_index(benchmark.repartition(7))[1]
+        assert len(names) > 3
     docs = [(i, f"x {items[i][1]} y", "own") for i in range(12)] + [(70, "a null item of five words", "own"), (71, "clean", "own")]
     table = spark.createDataFrame(docs, "doc_id long, text string, item_id string")
     found = {(r.doc_id, r.item_id) for r in decontaminate.matches(table, benchmark).collect()}
