@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sluice.functions import movement as M
 from sluice.functions.labels import label_from_hits, state_label_from_hits
 from sluice.functions.patterns import SPACE_CHARS
+from sluice.functions.rows import first_by
 from sluice.operators.tables import fixed_table
 from sluice.plans import fixed_values as V
 
@@ -54,15 +55,22 @@ def parsed_rules(conditions: Column, mode: str = "first") -> Column:
 
 
 def flows_by_pair(flows: DataFrame, mode: str = "first") -> DataFrame:
-    """One row per ``(from, to)`` with its flows in file order."""
+    """One row per ``(from, to)``: its first flow in file order, or for the any-flow mode the list of its flows.
+
+    Of flows of a pair that say the same only the first can decide, so the list holds each form once.
+    """
     flow = F.struct(
         "ordinal", F.coalesce("id", F.lit("<unknown>")).alias("id"),
         F.coalesce("allowed", F.lit(False)).alias("allowed"),
         parsed_rules(F.col("conditions"), mode).alias("rules"),
     )
-    return flows.groupBy(F.col("from").alias("_src"), F.col("to").alias("_dst")).agg(
-        F.sort_array(F.collect_list(flow)).alias("_flows")
-    )
+    rows = flows.select(F.col("from").alias("_src"), F.col("to").alias("_dst"), flow.alias("_flow"))
+    order = F.col("_flow.ordinal"), F.col("_flow.id")
+    if mode == "first":
+        return first_by(rows, ["_src", "_dst"], *order).withColumnRenamed("_flow", "_flows")
+    keyed = rows.withColumns({"_allowed": F.col("_flow.allowed"), "_rules": F.col("_flow.rules")})
+    forms = first_by(keyed, ["_src", "_dst", "_allowed", "_rules"], *order)
+    return forms.groupBy("_src", "_dst").agg(F.sort_array(F.collect_list("_flow")).alias("_flows"))
 
 
 def judge(
@@ -82,8 +90,6 @@ def judge(
     if mode not in ("first", "any"):
         raise ValueError("mode is 'first' or 'any'")
     pairs = flows_by_pair(flows, mode)
-    if mode == "first":
-        pairs = pairs.withColumn("_flows", F.get("_flows", F.lit(0)))
     joined = moves.join(pairs, (F.col(src) == F.col("_src")) & (F.col(dst) == F.col("_dst")), "left")
     to_model = F.coalesce((F.col(src) == "rag_orchestrator") & (F.col(dst) == "llm"), F.lit(False))
     columns = F.col(label), F.col(action), F.col(redacted)

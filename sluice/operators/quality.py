@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_NULL_FRACTION = 0.3
@@ -97,7 +97,8 @@ def drift(df: DataFrame, period: str, bin_column: str, bins: list, baseline) ->
             F.count_if(~F.coalesce(F.col(bin_column).isin(bins), F.lit(False))),
         ).alias("_counts")
     )
-    base = counted.where(F.col("period") == baseline).select("_counts").scalar()
+    # one row per period, so all of them are few
+    base = F.max(F.when(F.col("period") == baseline, F.col("_counts"))).over(Window.partitionBy())
 
     def share(counts: Column) -> Column:
         total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, c: a + c)

@@ -100,7 +100,7 @@ def nested_links(spark, folder):
     first = F.array_min(F.transform("links", lambda x: F.concat(x["kind"], F.lit(" "), x["tool_id"])))
     total = F.aggregate("links", F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
     return parts.select("control_id", total.alias("_n"), first.alias("_first")).groupBy("control_id").agg(
-        F.sum("_n").alias("n_links"), F.min("_first").alias("first_link")
+        F.sum("_n").alias("n_links"), F.array_min(F.collect_list("_first")).alias("first_link")
     )
 
 
