@@ -65,7 +65,7 @@ def chosen_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     ``nodes`` has tree_id, node_id, parent_id, role, text, score. A parent that is not in the table makes a
     root; null text and role are empty, null score 0. Null ids are values like any other. Rows that repeat a
     node id count once, the least by role and text. Ties of score go to the least leaf id. Nodes on a cycle
-    have no root: that raises. Other columns are not read.
+    have no root: that raises. Texts are whole, however long; an empty table gives no rows. Other columns are not read.
     """
     source = nodes.select(
         "tree_id",

@@ -146,7 +146,8 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Equal sets are one unit from the start, under their least id. A text without words has no set and
     stays alone; so does a row without doc_id, whose component_id is null and which is kept. Rows of one
-    doc_id are one node: their links are united and each row is returned. Extra columns are not read.
+    doc_id are one node: their links are united and each row is returned. Texts are read whole, however long; an empty
+    table gives no rows. Extra columns, whatever their names, are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scan, kind = _scan(True)

@@ -165,7 +165,8 @@ def pack(
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids (little-endian uint32).
 
     Null text is empty and still has its end id; a document without ids (``end_id=None``) gives no row.
-    A null doc_id stays null. Repeated rows are packed each on their own. Other columns are not read.
+    A null doc_id stays null. Repeated rows are packed each on their own. A long text fills whole sequences, and what is
+    left of it is packed with others; an empty table gives no rows. Other columns, whatever their names, are not read.
     A sequence is its pieces in order of offset, padded to ``padded_length`` of their sum.
     """
     source = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -195,6 +195,28 @@ def test_chat_paths(spark):
     assert chat.format_best(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_chat_of_odd_rows(spark):
+    """Long texts, repeated rows, and columns with the operator's own names."""
+    schema = "tree_id string, node_id int, parent_id int, role string, text string, score double, row string, node string, path string, formatted string"
+    long = "long <turn:x> \\ text " * 20_000
+    rows = [("t", 1, None, "user", long, 0.0), ("t", 2, 1, "assistant", long[::-1], 0.5), ("t", 2, 1, "assistant", long[::-1], 0.5)]
+    made = chat.format_best(spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], schema)).collect()
+    (one,) = made
+    assert chat.parse_turns(one.formatted) == [("user", long), ("assistant", long[::-1])]
+
+
+def test_warc_of_odd_rows(spark):
+    """A long page, repeated rows, columns with the operator's own names, an empty table."""
+    schema = "page_id long, url string, html string, file string, payload string, original long"
+    long = "<p>ö long page" * 50_000
+    rows = [(2, "u", long), (1, "u", long), (1, "u", long), (5, "", "")]
+    pages = spark.createDataFrame([(*r, "x", "y", 7) for r in rows], schema)
+    got = sorted((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read(*warc.write(pages)).collect())
+    size = len(long.encode())
+    assert [g[0] for g in got] == [1, 1, 2, 5] and got[2] == (2, "revisit", 1, size) and {g[3] for g in got[:3]} == {size}
+    assert warc.read(*warc.write(pages.limit(0))).count() == 0
+
+
 def test_html():
     page = "<nav><a href='/'>menu</a></nav><article><h1>T &amp; x</h1><p>one<br>two  <b>three<p>four</article><footer>foot</footer><script>var a='</p>'</script>"
     weights = html.Weights({k: n for k, n in html.count_labels(page * 1).items()})
