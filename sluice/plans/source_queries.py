@@ -95,7 +95,7 @@ def evidence_document(spark, folder):
         F.aggregate(F.concat(*[F.col(f"p.tools.{k}.n") for k in kinds]), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n_all"),
     )
     joined = one.groupBy(F.col("id").alias("item")).agg(
-        F.lit("controls").alias("section"), F.max("name").alias("name"), F.max("domain").alias("domain"), F.bool_or("in_catalog").alias("in_catalog"),
+        F.lit("controls").alias("section"), *[F.array_max(F.collect_list(c)).alias(c) for c in ("name", "domain")], F.bool_or("in_catalog").alias("in_catalog"),
         F.sum("n_opa_policies").alias("n_policies"), F.sum("n_checkov_checks").alias("n_checks"), F.sum("n_evidence_sources").alias("n_sources"),
         F.sum("n_all").alias("n_links"), F.sort_array(F.flatten(F.collect_list("texts"))).alias("texts"), F.bool_and("within").alias("within"),
     )

@@ -25,6 +25,17 @@ def test_query(spark, con, name):
         assert not compare.type_gaps(df, con, q.sql)
 
 
+@pytest.mark.parametrize(
+    ("name", "scans"),
+    [("control_index", 4), ("first_controls", 4), ("nested_links", 6), ("evidence_document", 2), ("framework_counts", 1), ("tool_validation", 1),
+     ("dangling_artifacts", 2), ("corpus_upsert", 2), ("drift_psi", 2), ("drift_labels", 1), ("plan_denies", 2), ("plan_allow", 2)],
+)
+def test_plans_sort_no_rows_to_aggregate(spark, name, scans):
+    plan = all_queries()[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") == 0 and plan.count("FileScan") <= scans
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_driver_contract(spark):
     assert driver.entry(spark).count() == 600
     bare = {n for n in set(driver.queries()) - set(driver.oracle_sql()) if n != "pipeline" and not n.startswith("op")}
