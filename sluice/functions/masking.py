@@ -22,12 +22,13 @@ SPAN = "struct<start:int,end:int,type:string>"
 def spans_of(text: Column, kind: str, pattern: str) -> Column:
     """Spans of all values of a pattern, as array of (start, end, type); positions count characters from 0.
 
-    The pattern's one group is its value, which ends where the match ends. What stands before a match is
-    taken along, so the matches' lengths add up to their ends.
+    The pattern's one group is its value, which ends where the match ends. What stands between matches comes from
+    a split at them, so lengths add up to the matches' ends.
     """
-    whole = rf"\G[\s\S]*?(?:{pattern})"  # each match begins where the last one ended, so the rest is read once
-    lengths = F.transform(F.regexp_extract_all(text, F.lit(whole), F.lit(0)), lambda m: F.length(m))
-    values = F.transform(F.regexp_extract_all(text, F.lit(whole), F.lit(1)), lambda v: F.length(v))
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
+    matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.length(m))
+    values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda v: F.length(v))
+    lengths = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: g + m)
     none = F.array().cast("array<struct<end:int,size:int>>")
     added = F.aggregate(
         F.arrays_zip(lengths.alias("match"), values.alias("value")), none,
@@ -81,7 +82,8 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "spans", detectors:
     found = df.withColumns({low: F.lower(F.col(text)), every: F.array().cast(f"array<{SPAN}>")})
     for kind, pattern, needle in P.SPANS if detectors is None else detectors:
         more = F.concat(every, spans_of(F.col(text), kind, pattern))
-        found = found.withColumn(every, F.when(F.contains(low, F.lit(needle)), more).otherwise(F.col(every)))
+        met = F.when(F.contains(low, F.lit(needle)), F.rlike(text, F.lit(pattern)))  # most texts with the word have no match
+        found = found.withColumn(every, F.when(met, more).otherwise(F.col(every)))
     return found.withColumn(out, F.when(F.size(every) > 0, united(F.col(every)))).drop(low, every)
 
 

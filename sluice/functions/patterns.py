@@ -49,10 +49,10 @@ ADDRESS = (
 MRN_GAP = SPACE.replace("[", "[:", 1)
 SPANS = [
     ("SSN", rf"(?=\p{{Nd}}){EDGE_L}({SSN_CORE}){EDGE_R}", "-"),
-    ("ROUTING", r"(?i:routing (?:number )?)(\p{Nd}{9})", "routing "),
+    ("ROUTING", r"(?=[Rr])(?i:routing (?:number )?)(\p{Nd}{9})", "routing "),
     ("PASSPORT", PASSPORT, "port"),
     ("PASSPORT", rf"{PASSPORT_WORD}[^\n]*?[^\p{{L}}\p{{N}}_\n]([A-Za-z]*[0-9][A-Za-z0-9]*)", "port"),
-    ("MRN", rf"{EDGE_L}(?i:mrn){MRN_GAP}*(\p{{Nd}}+)", "mrn"),
+    ("MRN", rf"(?=[Mm]){EDGE_L}(?i:mrn){MRN_GAP}*(\p{{Nd}}+)", "mrn"),
 ]
 # The detectors that no rule uses: street addresses and bare words of nine digits.
 SPARE_SPANS = [("ADDRESS", f"({ADDRESS})", " "), ("ROUTING", f"({NINE_DIGITS})", "")]
