@@ -46,6 +46,42 @@ def test_corpus(spark, tmp_path):
     assert readers.read_corpus(spark, str(tmp_path), ["absent/"]).count() == 0
 
 
+def test_corpus_written_by_tasks(spark, tmp_path):
+    """One file a record, in many folders, without Hadoop's own writer, whose processes for each file took most of the time."""
+    rows = [("clean/", str(i), f"t{i}") for i in range(250)] + [("a/b", "1", None), ("a/b", None, "é\n"), ("a/b", None, "é\n"), (None, "9", "lost"), ("x/", "8", "left")]
+    records = spark.createDataFrame(rows, "prefix string, id string, text string").coalesce(1)
+    root = tmp_path / "corpus"
+    sinks.write_objects(records, f"file://{root}/", ["clean/", "a/b", "none/"])
+    made = [p for p in root.rglob("*") if p.is_file()]
+    assert len(made) == 253 and {p.suffix for p in made} == {".json"}
+    assert sorted(len(list(p.iterdir())) for p in (root / "clean").glob("*/*")) == [50, 100, 100]
+    assert sorted(p.read_text() for p in (root / "a" / "b").rglob("*.json")) == ['{"id":"1"}\n', '{"text":"é\\n"}\n', '{"text":"é\\n"}\n']
+    raw = readers.read_corpus(spark, str(root), ["clean/", "a/b", "none/"], digests=True)
+    plan = raw._jdf.queryExecution().toString()
+    assert "binaryFile" in plan.replace("BinaryFile", "binaryFile") and "FileScan text" not in plan
+    read = [(r.prefix, r.id, r.text) for r in raw.select("prefix", F.expr("body:id::string").alias("id"), F.expr("body:text::string").alias("text")).collect()]
+    assert sorted(read, key=str) == sorted(rows[:253], key=str)
+    assert {r.digest for r in raw.collect()} == {hashlib.sha256(p.read_bytes()).hexdigest() for p in made}
+
+
+def test_corpus_of_a_repeated_task(spark, tmp_path):
+    """Where an attempt has written all before, that of a second one adds nothing; a call of its own adds its records."""
+    bodies = spark.range(5).select(F.lit("c/").alias("prefix"), F.to_json(F.struct("id")).alias("body")).coalesce(1)
+    for _ in range(2):
+        bodies.mapInArrow(sinks._objects(str(tmp_path), "run"), "n long").collect()
+    assert readers.read_corpus(spark, str(tmp_path), ["c/"]).count() == 5
+    sinks.write_objects(bodies, str(tmp_path), ["c/"])
+    assert readers.read_corpus(spark, str(tmp_path), ["c/"]).count() == 10
+
+
+def test_corpus_in_a_store(spark, tmp_path):
+    """Other stores than local folders are written by Spark's writer, with the same records."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.objects.link./c", f"file://{tmp_path}")
+    records = spark.createDataFrame([("c/", "1", "x"), ("c/", "2", None), ("d/", "3", "z")], "prefix string, id string, text string")
+    sinks.write_objects(records, "viewfs://objects/c", ["c/", "d/"])
+    assert sorted(p.read_text() for p in tmp_path.rglob("*.json") if p.stat().st_size) == ['{"id":"1","text":"x"}\n', '{"id":"2"}\n', '{"id":"3","text":"z"}\n']
+
+
 def test_corpus_keys_are_whole_paths(spark, tmp_path):
     """Folders that repeat the prefix, blanks, plus and percent signs in names."""
     names = ["x/clean/y.json", "z/clean/y.json", "a b.json", "c+d.json", "50%25.json", "y.json"]
