@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 21  # bytes hashed at once; a longer text is cut between words
+SEGMENT = 1 << 18  # bytes hashed at once, with some 60 bytes of working memory each; a longer text is cut between words
 SPACES = b" \t\n\x0b\x0c\r"
 SHINGLE = 5
 

@@ -30,6 +30,7 @@ PERCENT = 75
 ROWS = 5
 PERMUTATIONS = 100
 STARS = 2
+SCAN_BYTES = 4 << 20  # of text in a batch
 LEAST_AGREE = 125  # of the values' sketches; four bits also agree by chance
 SKETCH = -(-2 * PERMUTATIONS // 16)  # longs that hold four bits of each value
 
@@ -151,7 +152,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scan, kind = _scan(True)
-    signed = files.written(source.mapInArrow(scan, kind), "signatures")
+    signed = files.written(source.mapInArrow(scan, kind), "signatures", batch_bytes=SCAN_BYTES)
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     units = named.groupBy("unit").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
@@ -165,7 +166,7 @@ def link_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     scan, kind = _scan(False)
     texts = source.join(active.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = texts.mapInArrow(scan, kind).join(active, "unit").where("doc_id = rep").dropDuplicates(["unit"])
-    sets = files.written(sets.select("unit", "rep", "members"), "sets", "lz4")
+    sets = files.written(sets.select("unit", "rep", "members"), "sets", "lz4", SCAN_BYTES)
 
     copies = named.join(units.select("unit", "rep"), "unit").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     links = files.written(copies, "links")

@@ -244,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = L.SAMPLE) -> Grammar:
     sample = files.written(L.labelled(docs, labels, LABEL, bound).select("text", F.col("y").cast("int").alias("y")), "labelled")
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in files.chunks_of(batches, "text", 1 << 20):
+        for batch in files.chunks_of(batches, "text", 1 << 18):
             rows = [(u, beside, y) for t, y in zip(batch["text"].to_pylist(), batch["y"].to_pylist()) for u, beside in _units(t).items()]
             if rows:
                 kinds = (pa.string(), pa.string(), pa.int32())
@@ -289,7 +289,7 @@ def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in files.chunks_of(batches, "text"):
+        for batch in files.chunks_of(batches, "text", 1 << 20):
             scores = pa.array([grammar.score(t) for t in batch["text"].to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch[n] for n in names[:-1]), scores], names=names)
 

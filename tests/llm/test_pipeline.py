@@ -2,16 +2,18 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sluice.llm import packing, quality, tokens, toxicity
+from sluice.llm import files, minmax, packing, quality, tokens, toxicity
 from sluice.llm.queries import QUERIES
 from tests.llm.test_decontaminate import best
 
@@ -231,3 +233,27 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_signatures_take_little_memory(spark):
+    """Working memory of the scan does not grow with the batch, and what Spark sends at once is bounded by bytes."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(700)) for i in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    run, kind = minmax._scan(True)
+    tracemalloc.start()
+    try:
+        rows = sum(made.num_rows for made in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == len(texts) and peak < 40 << 20
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(files.BATCH_BYTES)
+    met = files.written(docs.mapInArrow(sizes, "n long, size long"), "sizes", batch_bytes=1 << 20).collect()
+    assert spark.conf.get(files.BATCH_BYTES) == before
+    assert sum(r.n for r in met) == len(texts) and max(r.size for r in met) < 3 << 20 and len(met) > 3
