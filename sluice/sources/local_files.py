@@ -46,19 +46,40 @@ def binary_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     return listed.repartition(tasks).mapInArrow(_reading(len(folder)), "below string, content binary")
 
 
-def _entries(folder: str) -> Iterator[os.DirEntry]:
-    """What Spark's readers see in a folder; nothing if it has gone meanwhile."""
-    try:
-        with os.scandir(folder) as found:
-            for entry in found:
-                name = entry.name
-                if name.startswith(".") or name.endswith("._COPYING_"):
-                    continue
-                if name.startswith("_") and "=" not in name and not (name.startswith(("_metadata", "_common_metadata")) and _is_folder(entry)):
-                    continue
-                yield entry
-    except FileNotFoundError:
-        pass
+def _view():
+    """``entries`` of a folder, and of an entry ``is_folder`` and ``size``, as Spark's readers have them.
+
+    As inner functions they go to the tasks by value, whose workers need not have this package.
+    """
+
+    def entries(folder: str) -> Iterator[os.DirEntry]:
+        try:
+            with os.scandir(folder) as found:
+                for entry in found:
+                    name = entry.name
+                    if name.startswith(".") or name.endswith("._COPYING_"):
+                        continue
+                    if name.startswith("_") and "=" not in name and not (name.startswith(("_metadata", "_common_metadata")) and is_folder(entry)):
+                        continue
+                    yield entry
+        except FileNotFoundError:  # gone meanwhile
+            pass
+
+    def is_folder(entry: os.DirEntry) -> bool:
+        return os.path.isdir(entry.path) if entry.is_symlink() else entry.is_dir()
+
+    def size(entry: os.DirEntry) -> int:
+        try:
+            return entry.stat().st_size
+        except OSError:
+            if entry.is_symlink() or not os.path.lexists(entry.path):  # a link that leads nowhere, or gone meanwhile
+                return 0
+            raise
+
+    return entries, is_folder, size
+
+
+_entries, _is_folder, _size = _view()
 
 
 def _all_entries(folder: str) -> Iterator[os.DirEntry]:
@@ -70,19 +91,6 @@ def _all_entries(folder: str) -> Iterator[os.DirEntry]:
                 todo.append(entry.path)
 
 
-def _is_folder(entry: os.DirEntry) -> bool:
-    return os.path.isdir(entry.path) if entry.is_symlink() else entry.is_dir()
-
-
-def _size(entry: os.DirEntry) -> int:
-    try:
-        return entry.stat().st_size
-    except OSError:
-        if entry.is_symlink() or not os.path.lexists(entry.path):  # a link that leads nowhere, or gone meanwhile
-            return 0
-        raise
-
-
 def _listing(spark: SparkSession, folder: str, suffix: str) -> tuple[DataFrame, int]:
     """The chunks of files, staged, and the number of tasks to read them; one job lists what the one before it left."""
     cores = spark.sparkContext.defaultParallelism
